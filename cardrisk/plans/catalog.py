@@ -7,17 +7,27 @@ DOUBLE (after an exact DECIMAL sum), counts as BIGINT.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import bronze as bronze_ops
+from ..operators import generate as gen
 from ..operators import gold as gold_ops
-from ..operators import reports
+from ..operators import joins, maintain, quality, reports
 from ..operators import silver as silver_ops
-from ..sources.fixtures import transactions
-from .oracle import DAY
+from ..operators.caching import cached
+from ..schemas import DATE_COL, TX_RAW_SCHEMA
+from ..session import checkpoint_root, scratch_path
+from ..sinks.writers import write_layer, write_text_lines
+from ..sources.fixtures import load_table, transactions, transactions_json_lines
+from ..sources.readers import read_layer, read_raw_json
+from ..streaming.filedrop import ingest_available
+from .params import (BASE_BEFORE, CORRECTIONS_FROM, DAY, ERASE_USERS, MOVED_MERCHANT,
+                     SPLIT_HOUR, UPSERT_FROM)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -133,3 +143,238 @@ def q_risk_day(spark, sf_dir):
 @register("distinct_users")
 def q_distinct_users(spark, sf_dir):
     return reports.distinct_users(gold(spark, sf_dir))
+
+
+# -- generators (ids = the events ids, so the work grows with the tables) ------
+
+def event_ids(spark, sf_dir):
+    return gen.ids_from(load_table(spark, sf_dir, "events"), "event_id")
+
+
+@register("generate_p2")
+def q_generate_p2(spark, sf_dir):
+    return decimals_as_double(gen.generate_p2(event_ids(spark, sf_dir)))
+
+
+@register("generate_p3")
+def q_generate_p3(spark, sf_dir):
+    return gen.generate_p3(event_ids(spark, sf_dir))
+
+
+@register("generate_demo")
+def q_generate_demo(spark, sf_dir):
+    return gen.generate_demo(event_ids(spark, sf_dir))
+
+
+@register("generate_lognormal")
+def q_generate_lognormal(spark, sf_dir):
+    p = gen.P3Profile()
+    return event_ids(spark, sf_dir).select(
+        "id", gen.lognormal_pool_amount(F.col("id"), p.salt, p.amount_pool, p.mu, p.sigma)
+        .alias("amount"))
+
+
+@register("generate_gauss")
+def q_generate_gauss(spark, sf_dir):
+    p = gen.DemoProfile()
+    return event_ids(spark, sf_dir).select(
+        "id", gen.folded_gauss_amount(F.col("id"), p.salt, p.mean, p.std).alias("amount"))
+
+
+# -- quality -----------------------------------------------------------------------
+
+@register("reconcile_layers")
+def q_reconcile(spark, sf_dir):
+    return quality.reconcile_layers(tx(spark, sf_dir))
+
+
+@register("run_summary")
+def q_run_summary(spark, sf_dir):
+    return quality.run_summary(tx(spark, sf_dir), silver(spark, sf_dir), gold(spark, sf_dir))
+
+
+@register("pii_leak_scan")
+def q_pii_leak_scan(spark, sf_dir):
+    scans = [quality.pii_leak_scan(silver(spark, sf_dir, mode), f"silver_{mode}")
+             for mode in ("affix", "regex", "strict")]
+    out = scans[0]
+    for other in scans[1:]:
+        out = out.unionByName(other)
+    return out
+
+
+# -- bronze: raw JSON drop, batch and streaming ingestion --------------------------
+
+def json_drop(spark, sf_dir) -> str:
+    """Write the fixture as a raw JSON Lines drop (K4) with injected bad lines."""
+    path = scratch_path(spark, "raw")
+    write_text_lines(transactions_json_lines(tx(spark, sf_dir)), path, records_per_file=50_000)
+    return path
+
+
+@register("bronze_lineage")
+def q_bronze_lineage(spark, sf_dir):
+    raw = json_drop(spark, sf_dir)
+    bronze = scratch_path(spark, "bronze")
+    bronze_ops.ingest_bronze(spark, raw, bronze, TX_RAW_SCHEMA)
+    return bronze_ops.read_bronze(spark, bronze)
+
+
+@register("bronze_rejects")
+def q_bronze_rejects(spark, sf_dir):
+    raw = read_raw_json(spark, json_drop(spark, sf_dir), TX_RAW_SCHEMA)
+    return bronze_ops.reject_counts(raw)
+
+
+@register("bronze_stream_ingest")
+def q_bronze_stream(spark, sf_dir):
+    raw = json_drop(spark, sf_dir)
+    bronze, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "stream-ckpt")
+    ingest_available(spark, raw, bronze, ckpt, TX_RAW_SCHEMA)
+    ingest_available(spark, raw, bronze, ckpt, TX_RAW_SCHEMA)   # second run adds nothing
+    cols = [f.name for f in TX_RAW_SCHEMA.fields]
+    return bronze_ops.read_bronze(spark, bronze).select(*cols)
+
+
+# -- layout and joins ------------------------------------------------------------------
+
+@register("partitioned_roundtrip")
+def q_partitioned_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "gold")
+    write_layer(gold(spark, sf_dir), path, partition_by=[DATE_COL])
+    back = read_layer(spark, path).filter(F.col(DATE_COL) >= F.lit(_dt.date.fromisoformat(DAY)))
+    return decimals_as_double(back.select(*reports.GOLD_REPORT_COLUMNS))
+
+
+def _customers_by_nation(joined: DataFrame) -> DataFrame:
+    return (joined.groupBy("n_name")
+            .agg(F.count(F.lit(1)).alias("customers"),
+                 F.sum(F.col("c_acctbal").cast("decimal(15,2)")).cast("double")
+                  .alias("total_acctbal")))
+
+
+@register("join_broadcast_dim")
+def q_join_broadcast(spark, sf_dir):
+    customer = load_table(spark, sf_dir, "customer").select("c_nationkey", "c_acctbal")
+    nation = load_table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    joined, _ = joins.join_dimension(customer, nation, "c_nationkey")
+    return _customers_by_nation(joined)
+
+
+@register("join_merge_dim")
+def q_join_merge(spark, sf_dir):
+    customer = load_table(spark, sf_dir, "customer").select("c_nationkey", "c_acctbal")
+    nation = load_table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return _customers_by_nation(joins.join_merge(customer, nation, "c_nationkey"))
+
+
+# -- maintenance (R1-R5) ------------------------------------------------------------
+
+def _d(text: str) -> _dt.date:
+    return _dt.date.fromisoformat(text)
+
+
+def _silver_table(spark, sf_dir, df=None) -> str:
+    """Write Silver (or ``df``) as a date-partitioned table in the scratch area."""
+    path = scratch_path(spark, "silver")
+    write_layer(silver(spark, sf_dir) if df is None else df, path, partition_by=[DATE_COL])
+    return path
+
+
+def _silver_out(df: DataFrame) -> DataFrame:
+    cols = ["transaction_id", "user_id", "card_masked", "amount", DATE_COL, "event_ts",
+            "merchant", "merchant_category", "currency", "is_fraud_suspect"]
+    extra = [c for c in df.columns if c not in cols]
+    return decimals_as_double(df.select(*cols, *extra))
+
+
+def _incremental_tables(spark, sf_dir) -> tuple[str, str]:
+    """R1 scenario: the first load holds only the morning of DAY; the full day
+    then arrives and replaces that one partition in Silver and in Gold."""
+    full = silver(spark, sf_dir)
+    first = full.filter(~((F.col(DATE_COL) == F.lit(_d(DAY)))
+                          & (F.hour("event_ts") >= F.lit(SPLIT_HOUR))))
+    silver_path = _silver_table(spark, sf_dir, first)
+    gold_path = scratch_path(spark, "gold")
+    write_layer(gold_ops.risk_profile(read_layer(spark, silver_path)), gold_path,
+                partition_by=[DATE_COL])
+    day = full.filter(F.col(DATE_COL) == F.lit(_d(DAY)))
+    maintain.replace_partitions(day, silver_path)
+    maintain.refresh_gold(spark, silver_path, gold_path, [_d(DAY)])
+    return silver_path, gold_path
+
+
+@register("incremental_day")
+def q_incremental_day(spark, sf_dir):
+    silver_path, _ = _incremental_tables(spark, sf_dir)
+    return _silver_out(read_layer(spark, silver_path))
+
+
+@register("incremental_gold")
+def q_incremental_gold(spark, sf_dir):
+    _, gold_path = _incremental_tables(spark, sf_dir)
+    return decimals_as_double(read_layer(spark, gold_path).select(*reports.GOLD_REPORT_COLUMNS))
+
+
+@register("upsert_transactions")
+def q_upsert(spark, sf_dir):
+    full = silver(spark, sf_dir)
+    path = _silver_table(spark, sf_dir, full.filter(F.col(DATE_COL) < F.lit(_d(BASE_BEFORE))))
+    recent = full.filter((F.col(DATE_COL) >= F.lit(_d(UPSERT_FROM)))
+                         & F.col("transaction_id").isNotNull())
+    v1 = recent.withColumns({"amount": F.col("amount") + 1, "_seq": F.lit(1)})
+    v2 = recent.withColumns({
+        "amount": F.col("amount") + 2, "_seq": F.lit(2),
+        DATE_COL: F.when(F.col("merchant") == F.lit(MOVED_MERCHANT), F.date_sub(DATE_COL, 1))
+                   .otherwise(F.col(DATE_COL))})
+    maintain.upsert(spark, path, v1.unionByName(v2), order_col="_seq")
+    return _silver_out(read_layer(spark, path))
+
+
+@register("erase_user")
+def q_erase(spark, sf_dir):
+    path = _silver_table(spark, sf_dir)
+    request = spark.createDataFrame([(u,) for u in ERASE_USERS], "user_id bigint")
+    maintain.erase(spark, path, request)
+    return _silver_out(read_layer(spark, path))
+
+
+def _history(spark, sf_dir) -> str:
+    """R4 scenario: batch 1 = Silver, batch 2 = corrections (amount + 1) of the last days."""
+    path = scratch_path(spark, "history")
+    full = silver(spark, sf_dir)
+    maintain.append_batch(full, path, 1)
+    corrections = full.filter((F.col(DATE_COL) >= F.lit(_d(CORRECTIONS_FROM)))
+                              & F.col("transaction_id").isNotNull())
+    maintain.append_batch(corrections.withColumn("amount", (F.col("amount") + 1)
+                                                 .cast("decimal(12,2)")), path, 2)
+    return path
+
+
+@register("as_of_batch")
+def q_as_of(spark, sf_dir):
+    return _silver_out(maintain.read_as_of(spark, _history(spark, sf_dir), 1))
+
+
+@register("latest_as_of")
+def q_latest_as_of(spark, sf_dir):
+    return _silver_out(maintain.read_as_of(spark, _history(spark, sf_dir), 2,
+                                           key="transaction_id"))
+
+
+@register("published_gold")
+def q_published_gold(spark, sf_dir):
+    return decimals_as_double(maintain.published_view(gold(spark, sf_dir), "gold", "analyst"))
+
+
+# -- caching -----------------------------------------------------------------------
+
+@register("cached_filter")
+def q_cached_filter(spark, sf_dir):
+    checkpoint_root(spark)
+    day = reports.on_day(silver(spark, sf_dir), DAY).select("merchant_category")
+    with cached(day) as hot:
+        result = reports.category_day_count(hot, DAY).checkpoint(eager=True)
+    return result

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from ..sources.fixtures import transactions_sql
 
-DAY = "2024-01-15"          # the one-day breakdowns (F2)
-ERASE_USERS = (1, 3)        # users named in the erasure request (R3)
+from .params import (BASE_BEFORE, CORRECTIONS_FROM, DAY, ERASE_USERS, MOVED_MERCHANT,
+                     UPSERT_FROM)
 
 _TX = transactions_sql("VARCHAR")
 
@@ -97,3 +97,180 @@ ORACLE_SQL: dict[str, str] = {
         f"WHERE transaction_date = DATE '{DAY}' GROUP BY perfil_alto_riesgo"),
     "distinct_users": _q("SELECT DISTINCT user_id FROM gold"),
 }
+
+
+# -- generators: the md5 recipe restated in DuckDB ------------------------------
+
+def _h(salt: str, expr: str = "event_id", k: int = 8) -> str:
+    return f"CAST('0x' || substring(md5('{salt}:' || CAST({expr} AS VARCHAR)), 1, {k}) AS BIGINT)"
+
+
+def _u(salt: str, expr: str) -> str:
+    return f"(({_h(salt, expr)} + 0.5) / 4294967296.0)"
+
+
+def _normal(salt: str, expr: str) -> str:
+    return (f"(sqrt(-2.0 * ln({_u(salt + '/u1', expr)})) * "
+            f"cos(6.283185307179586 * {_u(salt + '/u2', expr)}))")
+
+
+def _uuid(salt: str, expr: str) -> str:
+    d = f"md5('{salt}:' || CAST({expr} AS VARCHAR))"
+    return (f"concat_ws('-', substring({d}, 1, 8), substring({d}, 9, 4), substring({d}, 13, 4), "
+            f"substring({d}, 17, 4), substring({d}, 21, 12))")
+
+
+def _list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def _lognormal(salt: str = "p3") -> str:
+    k = f"({_h(salt + '/amount_idx')} % 10000)"
+    return f"round(exp(3.0 + 1.2 * {_normal(salt + '/lognormal', k)}), 2)"
+
+
+def _gauss(salt: str = "demo") -> str:
+    return f"round(abs(150.0 + 300.0 * {_normal(salt + '/gauss', 'event_id')}) + 0.01, 2)"
+
+
+_P2_CATS = ("Retail", "Banca", "Restaurantes", "Viajes", "E-Commerce")
+_DEMO_MERCHANTS = ("Amazon", "Netflix", "Spotify", "Uber", "Rappi", "Falabella",
+                   "MercadoLibre", "Disney+", "Apple", "Google")
+_DEMO_CARDS = ("4532015112890367", "4916123456789012", "4556123456789013",
+               "4929123456789014", "4539123456789015", "4485123456789016",
+               "4716123456789017", "4024123456789018", "4532123456789019",
+               "4913123456789020")
+
+ORACLE_SQL["generate_p2"] = f"""SELECT event_id AS id,
+  {_uuid('p2/txid', 'event_id')} AS transaction_id,
+  CAST({_h('p2/user')} % 50000 AS INTEGER) AS user_id,
+  '4152' || lpad(CAST({_h('p2/card', k=12)} % 1000000000000 AS VARCHAR), 12, '0') AS card_number,
+  CAST(CAST((500 + {_h('p2/amount')} % 450000) / 100.0 AS DECIMAL(10,2)) AS DOUBLE) AS amount,
+  {_list(_P2_CATS)}[{_h('p2/category')} % 5 + 1] AS merchant_category,
+  DATE '2026-06-30' - CAST({_h('p2/date')} % 45 AS INTEGER) AS transaction_date,
+  CASE WHEN {_h('p2/suspect')} % 100 >= 97 THEN 1 ELSE 0 END AS is_fraud_suspect
+FROM events"""
+
+_P3_AMOUNT = _lognormal("p3")
+ORACLE_SQL["generate_p3"] = f"""SELECT 'tx-' || lpad(CAST(event_id AS VARCHAR), 8, '0') AS transaction_id,
+  {_uuid('p3/user_id', f"({_h('p3/user')} % 10000)")} AS user_id,
+  '4' || lpad(CAST({_h('p3/card_no', f"({_h('p3/card')} % 2000)", 15)} % 1000000000000000 AS VARCHAR), 15, '0') AS card,
+  CASE WHEN event_id % 50 = 0 THEN
+         CASE WHEN {_h('p3/defect')} % 3 = 0 THEN -abs({_P3_AMOUNT}) ELSE 0.0 END
+       ELSE {_P3_AMOUNT} END AS amount,
+  DATE '2026-01-01' + CAST({_h('p3/date')} % 181 AS INTEGER) AS transaction_date,
+  CAST(DATE '2026-01-01' + CAST({_h('p3/date')} % 181 AS INTEGER) AS TIMESTAMP) AS timestamp,
+  'merchant_' || lpad(CAST({_h('p3/merchant')} % 500 AS VARCHAR), 3, '0') AS merchant,
+  CASE WHEN {_h('p3/currency')} % 100 < 50 THEN 'USD' WHEN {_h('p3/currency')} % 100 < 70 THEN 'EUR'
+       WHEN {_h('p3/currency')} % 100 < 85 THEN 'CLP' WHEN {_h('p3/currency')} % 100 < 95 THEN 'BRL'
+       ELSE 'MXN' END AS currency
+FROM events"""
+
+_DEMO_AMOUNT = _gauss("demo")
+_DEMO_TS = (f"(CAST(DATE '2026-01-01' + CAST({_h('demo/date')} % 181 AS INTEGER) AS TIMESTAMP) "
+            f"+ to_hours(CAST({_h('demo/hour')} % 24 AS INTEGER)))")
+ORACLE_SQL["generate_demo"] = f"""SELECT 'demo-' || lpad(CAST(event_id AS VARCHAR), 6, '0') AS transaction_id,
+  {_uuid('demo/user_id', f"({_h('demo/user')} % 500)")} AS user_id,
+  {_list(_DEMO_CARDS)}[{_h('demo/card')} % 10 + 1] AS card,
+  CASE WHEN event_id % 75 = 0 THEN
+         CASE WHEN {_h('demo/defect')} % 2 = 0 THEN -abs({_DEMO_AMOUNT}) ELSE 0.0 END
+       ELSE {_DEMO_AMOUNT} END AS amount,
+  CAST({_DEMO_TS} AS DATE) AS transaction_date,
+  {_DEMO_TS} AS timestamp,
+  {_list(_DEMO_MERCHANTS)}[{_h('demo/merchant')} % 10 + 1] AS merchant,
+  ['USD', 'EUR', 'CLP', 'BRL'][{_h('demo/currency')} % 4 + 1] AS currency
+FROM events"""
+
+ORACLE_SQL["generate_lognormal"] = f"SELECT event_id AS id, {_P3_AMOUNT} AS amount FROM events"
+ORACLE_SQL["generate_gauss"] = f"SELECT event_id AS id, {_DEMO_AMOUNT} AS amount FROM events"
+
+
+# -- quality ---------------------------------------------------------------------
+
+_PCT = "ROUND(CAST({x} AS DOUBLE) * 100.0 / CAST({y} AS DOUBLE), 2)"
+
+ORACLE_SQL["reconcile_layers"] = _q(
+    "SELECT COUNT(*) AS bronze_rows, COUNT(*) FILTER (WHERE amount > 0) AS silver_rows, "
+    "COUNT(*) FILTER (WHERE NOT coalesce(amount > 0, false)) AS rejected_rows, "
+    + _PCT.format(x="COUNT(*) FILTER (WHERE amount > 0)", y="COUNT(*)")
+    + " AS retention_pct FROM transactions")
+
+ORACLE_SQL["run_summary"] = _q(
+    "SELECT (SELECT COUNT(*) FROM transactions) AS bronze_rows, "
+    "(SELECT COUNT(*) FROM silver) AS silver_rows, "
+    + _PCT.format(x="(SELECT COUNT(*) FROM silver)", y="(SELECT COUNT(*) FROM transactions)")
+    + " AS retention_pct, COUNT(*) AS gold_rows, COUNT(DISTINCT user_id) AS unique_users, "
+    "COUNT(*) FILTER (WHERE is_high_risk) AS high_risk_user_days, "
+    "COUNT(DISTINCT CASE WHEN is_high_risk THEN user_id END) AS high_risk_users FROM gold")
+
+_STRING_COLS = ("transaction_id", "card_masked", "merchant", "merchant_category", "currency")
+ORACLE_SQL["pii_leak_scan"] = _q(" UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{c}' AS column_name, "
+    f"COUNT(*) FILTER (WHERE regexp_matches({c}, '[0-9]{{13,19}}')) AS violations FROM {src}"
+    for layer, src in (("silver_affix", "silver"), ("silver_regex", "silver_regex"),
+                       ("silver_strict", "silver_strict"))
+    for c in _STRING_COLS))
+
+
+# -- bronze ------------------------------------------------------------------------
+
+_REASON = ("CASE WHEN merchant = 'merchant_11' THEN 'malformed' "
+           "WHEN merchant = 'merchant_7' AND amount IS NOT NULL THEN 'malformed' "
+           "WHEN amount IS NULL THEN 'null_amount' "
+           "WHEN transaction_date IS NULL THEN 'null_date' END")
+
+ORACLE_SQL["bronze_rejects"] = _q(
+    f"SELECT reason, COUNT(*) AS row_count FROM (SELECT {_REASON} AS reason FROM transactions) r "
+    "WHERE reason IS NOT NULL GROUP BY reason")
+
+ORACLE_SQL["bronze_stream_ingest"] = _q(
+    "SELECT transaction_id, user_id, card, CAST(amount AS DOUBLE) AS amount, transaction_date, "
+    "event_ts, merchant, merchant_category, currency, is_fraud_suspect FROM transactions "
+    f"WHERE ({_REASON}) IS NULL")
+
+
+# -- layout, joins, maintenance ------------------------------------------------------
+
+ORACLE_SQL["partitioned_roundtrip"] = _q(
+    f"SELECT {_GOLD_OUT} FROM gold WHERE transaction_date >= DATE '{DAY}'")
+
+_JOIN = ("SELECT n_name, COUNT(*) AS customers, "
+         "CAST(SUM(CAST(c_acctbal AS DECIMAL(15,2))) AS DOUBLE) AS total_acctbal "
+         "FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
+ORACLE_SQL["join_broadcast_dim"] = _JOIN
+ORACLE_SQL["join_merge_dim"] = _JOIN
+
+ORACLE_SQL["incremental_day"] = _q(_SILVER_OUT.format(src="silver"))
+ORACLE_SQL["incremental_gold"] = _q(f"SELECT {_GOLD_OUT} FROM gold")
+
+ORACLE_SQL["upsert_transactions"] = BASE + f""",
+upd AS (
+  SELECT transaction_id, user_id, card_masked, amount + 2 AS amount,
+         CASE WHEN merchant = '{MOVED_MERCHANT}' THEN transaction_date - 1
+              ELSE transaction_date END AS transaction_date,
+         event_ts, merchant, merchant_category, currency, is_fraud_suspect
+  FROM silver WHERE transaction_date >= DATE '{UPSERT_FROM}' AND transaction_id IS NOT NULL),
+base AS (SELECT * FROM silver WHERE transaction_date < DATE '{BASE_BEFORE}'),
+merged AS (
+  SELECT * FROM base WHERE transaction_id IS NULL
+     OR transaction_id NOT IN (SELECT transaction_id FROM upd)
+  UNION ALL SELECT * FROM upd)
+""" + _SILVER_OUT.format(src="merged")
+
+ORACLE_SQL["erase_user"] = _q(
+    _SILVER_OUT.format(src="silver") + " WHERE user_id NOT IN ("
+    + ", ".join(str(u) for u in ERASE_USERS) + ")")
+
+ORACLE_SQL["as_of_batch"] = _q(
+    "SELECT transaction_id, user_id, card_masked, CAST(amount AS DOUBLE) AS amount, "
+    "transaction_date, event_ts, merchant, merchant_category, currency, is_fraud_suspect, "
+    "1 AS _batch_id FROM silver")
+_CORRECTED = (f"transaction_date >= DATE '{CORRECTIONS_FROM}' AND transaction_id IS NOT NULL")
+ORACLE_SQL["latest_as_of"] = _q(
+    "SELECT transaction_id, user_id, card_masked, "
+    f"CAST(CASE WHEN {_CORRECTED} THEN amount + 1 ELSE amount END AS DOUBLE) AS amount, "
+    "transaction_date, event_ts, merchant, merchant_category, currency, is_fraud_suspect, "
+    f"CASE WHEN {_CORRECTED} THEN 2 ELSE 1 END AS _batch_id FROM silver")
+
+ORACLE_SQL["published_gold"] = _q(f"SELECT {_GOLD_OUT} FROM gold")
+ORACLE_SQL["cached_filter"] = ORACLE_SQL["category_day_count"]

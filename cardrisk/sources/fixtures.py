@@ -115,3 +115,31 @@ def transactions_sql(string_type: str = "VARCHAR") -> str:
             ELSE 'MXN' END                                                   AS currency,
        CASE WHEN event_id % 100 >= 97 THEN 1 ELSE 0 END                      AS is_fraud_suspect
 FROM events"""
+
+
+# Raw-drop defects (fixed values): a wrong-typed amount and a truncated line,
+# keyed on the merchant so the oracle can state them in SQL.
+WRONG_TYPE_MERCHANT = "merchant_7"
+TRUNCATED_MERCHANT = "merchant_11"
+TRUNCATE_AT = 20
+JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def transactions_json_lines(tx: DataFrame, defects: bool = True) -> DataFrame:
+    """The fixture rendered as JSON Lines text (column ``value``).
+
+    ``to_json`` omits NULL fields.  With ``defects`` two deterministic kinds
+    of bad line are injected: the amount of ``merchant_7`` rows is written
+    as a string (wrong type), and ``merchant_11`` lines are cut after 20
+    characters (malformed JSON).
+    """
+    cols = [F.col(c) for c in tx.columns]
+    line = F.to_json(F.struct(*cols), {"timestampNTZFormat": JSON_TS_FORMAT,
+                                       "dateFormat": "yyyy-MM-dd"})
+    if defects:
+        merchant = F.col("merchant")
+        line = (F.when(merchant == F.lit(TRUNCATED_MERCHANT), F.substring(line, 1, TRUNCATE_AT))
+                 .when(merchant == F.lit(WRONG_TYPE_MERCHANT),
+                       F.regexp_replace(line, r'"amount":(-?[0-9.]+)', '"amount":"$1x"'))
+                 .otherwise(line))
+    return tx.select(line.alias("value"))
