@@ -113,8 +113,11 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_CO
     old_dates = semi_join_keys(base.select(key, partition_col), new_keys, key)
     touched = touched_values(old_dates.select(partition_col)
                              .unionByName(updates.select(partition_col)), partition_col)
-    kept = semi_join_keys(base.filter(F.col(partition_col).isin(touched)), new_keys, key,
-                          anti=True)
+    scope = base.filter(F.col(partition_col).isin(touched))
+    # NULL keys never match: they bypass the anti-join instead of all hashing
+    # into one shuffle partition.
+    kept = (semi_join_keys(scope.filter(F.col(key).isNotNull()), new_keys, key, anti=True)
+            .unionByName(scope.filter(F.col(key).isNull())))
     return rewrite_partitions(spark, path, kept.unionByName(updates), touched, partition_col, fmt)
 
 
@@ -124,8 +127,10 @@ def erase(spark: SparkSession, path: str, subjects: DataFrame, subject_col: str
     only the partitions that hold one of their rows."""
     base = read_layer(spark, path, fmt)
     ids = subjects.select(subject_col)
-    touched = touched_values(
-        semi_join_keys(base.select(subject_col, partition_col), ids, subject_col), partition_col)
+    # (subject, date) pairs first: the partial aggregate collapses a hot
+    # subject's rows map-side, so no task sees a third of the table.
+    pairs = base.select(subject_col, partition_col).distinct()
+    touched = touched_values(semi_join_keys(pairs, ids, subject_col), partition_col)
     kept = semi_join_keys(base.filter(F.col(partition_col).isin(touched)), ids, subject_col,
                           anti=True)
     return rewrite_partitions(spark, path, kept, touched, partition_col, fmt)

@@ -7,7 +7,6 @@ configuration always wins.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -94,13 +93,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique directory path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", "", 1) if path.startswith("file:") else path,
-                    exist_ok=True)
