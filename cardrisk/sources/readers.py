@@ -21,8 +21,7 @@ def read_raw_json(spark: SparkSession, path: str | list[str], schema: T.StructTy
     read_schema = with_corrupt_column(schema) if keep_corrupt else schema
     reader = (spark.read.schema(read_schema)
               .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COL)
-              .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"))
+              .option("columnNameOfCorruptRecord", CORRUPT_COL))
     return reader.json(path)
 
 

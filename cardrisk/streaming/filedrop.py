@@ -21,8 +21,7 @@ def raw_stream(spark: SparkSession, raw_dir: str, schema: T.StructType,
                max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.schema(with_corrupt_column(schema))
               .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COL)
-              .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"))
+              .option("columnNameOfCorruptRecord", CORRUPT_COL))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return reader.json(raw_dir)
