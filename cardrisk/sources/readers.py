@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import parse_date, parse_timestamp
 from ..schemas import CORRUPT_COL, with_corrupt_column
 
 
@@ -25,6 +27,41 @@ def read_raw_json(spark: SparkSession, path: str | list[str], schema: T.StructTy
     return reader.json(path)
 
 
+def read_raw_json_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """S1 as the reference calls it: ``spark.read.json(path)`` with schema
+    inference (an extra job over all files; dates stay text, columns come
+    back sorted, a bad line adds ``_corrupt_record``).  Follow with
+    ``conform`` to get the declared schema."""
+    return spark.read.json(path)
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Project ``df`` onto ``schema`` in its column order.
+
+    Missing columns become typed NULLs; text dates and timestamps are parsed
+    (X13, invalid -> NULL); other columns are ``try_cast``.  Extra columns
+    are dropped, except ``_corrupt_record``.
+    """
+    present = set(df.columns)
+    cols = []
+    for field in schema.fields:
+        if field.name not in present:
+            cols.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        src, dtype = F.col(field.name), df.schema[field.name].dataType
+        if isinstance(field.dataType, T.DateType) and isinstance(dtype, T.StringType):
+            cols.append(parse_date(src).alias(field.name))
+        elif isinstance(field.dataType, T.TimestampNTZType) and isinstance(dtype, T.StringType):
+            cols.append(parse_timestamp(src).alias(field.name))
+        elif dtype == field.dataType:
+            cols.append(src)
+        else:
+            cols.append(src.try_cast(field.dataType).alias(field.name))
+    if CORRUPT_COL in present and CORRUPT_COL not in schema.fieldNames():
+        cols.append(F.col(CORRUPT_COL))
+    return df.select(*cols)
+
+
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet",
                options: Mapping[str, str] | None = None) -> DataFrame:
     """Read a layer table (latest version).  ``fmt`` is any Spark

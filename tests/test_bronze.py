@@ -54,3 +54,26 @@ def test_ingest_writes_quarantine_partition_with_lineage(spark):
 def test_lineage_label_for_generated_frames(spark):
     df = bronze.add_lineage(spark.range(2), source_label="demo_generated")
     assert {r._source_file for r in df.collect()} == {"demo_generated"}
+
+
+def test_inferred_read_then_conform_matches_declared(spark):
+    from cardrisk.sources.readers import conform, read_raw_json_inferred
+    src = _drop([GOOD, INT_ZERO, BAD_DATE])
+    inferred = read_raw_json_inferred(spark, src)
+    assert dict(inferred.dtypes)["transaction_date"] == "string"   # the reference's text dates
+    fixed = conform(inferred, P3_RAW_SCHEMA)
+    assert fixed.columns == P3_RAW_SCHEMA.fieldNames()
+    assert fixed.schema == P3_RAW_SCHEMA
+    rows = {r.transaction_id: r for r in fixed.collect()}
+    assert rows["tx-5"].transaction_date is None                   # 2026-13-01
+    assert rows["tx-2"].amount == 0.0
+    assert str(rows["tx-1"].transaction_date) == "2026-01-02"
+
+
+def test_date_helpers(spark):
+    from cardrisk.functions.dates import days_back, format_date, parse_date
+    import datetime as dt
+    row = spark.createDataFrame([("2026-02-30", "2024-01-15")], "a string, b string").select(
+        parse_date("a").alias("bad"), format_date(parse_date("b"), "dd/MM/yyyy").alias("fmt"),
+        days_back(dt.date(2024, 1, 30), 7).alias("back")).first()
+    assert row.bad is None and row.fmt == "15/01/2024" and row.back == dt.date(2024, 1, 23)
