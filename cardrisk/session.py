@@ -70,13 +70,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local runs, tests) a fresh
     private folder under the system temp dir is created and registered.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
+    configured = None
+    try:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 - key unknown to this session
+        configured = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext on a remote (Connect) session
+        sc = None
+    if sc is None:
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must be set on a remote session")
+        return configured.rstrip("/")
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
@@ -84,8 +91,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="cardrisk-ckpt-")
-    sc.setCheckpointDir(local)
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="cardrisk-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 

@@ -109,3 +109,26 @@ def test_cache_after_filter_keeps_pruning(spark):
     finally:
         df.unpersist()
     assert F is not None
+
+
+def test_rebalance_splits_a_hot_date(spark):
+    """A date holding a third of the rows is written by several tasks (AQE
+    splits the skewed REBALANCE partition), not by one straggler."""
+    import glob
+    from cardrisk.session import scratch_path
+    df = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(dt.date(2024, 1, 1)))
+         .otherwise(F.date_add(F.lit(dt.date(2024, 1, 2)), (F.col("id") % 60).cast("int")))
+         .alias(DATE_COL),
+        F.md5(F.col("id").cast("string")).alias("payload"))
+    path = scratch_path(spark, "skew")
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_layer(df, path, partition_by=[DATE_COL])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = glob.glob(f"{path}/{DATE_COL}=2024-01-01/*.parquet")
+    cold = glob.glob(f"{path}/{DATE_COL}=2024-01-03/*.parquet")
+    assert len(hot) > 1 and len(cold) >= 1
+    assert read_layer(spark, path).count() == 300_000
