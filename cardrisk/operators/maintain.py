@@ -72,7 +72,7 @@ def rewrite_partitions(spark: SparkSession, path: str, content: DataFrame, touch
         empty = staged.drop(partition_col).limit(0)
         for value in emptied:
             empty.write.format(fmt).mode("overwrite").save(_partition_dir(path, partition_col, value))
-    return {"rewritten": len(present), "emptied": len(emptied)}
+    return {"rewritten": len(present), "emptied": len(emptied), "touched": list(touched)}
 
 
 def latest_per_key(df: DataFrame, key: str = KEY_COL, order_col: str = BATCH_COL) -> DataFrame:
@@ -175,10 +175,11 @@ def published_view(df: DataFrame, layer: str, role: str = "analyst",
 
 
 def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, dates: list,
-                 threshold: int | None = None, fmt: str = "parquet") -> str:
-    """Recompute Gold only for ``dates`` from the Silver table and replace
-    those Gold partitions (static partition pruning on the Silver read)."""
+                 threshold: int | None = None, fmt: str = "parquet") -> dict:
+    """Recompute Gold only for ``dates`` from the Silver table (static
+    partition pruning on the read) and rewrite those Gold partitions; a date
+    with no Silver rows left is emptied in Gold too."""
     from .gold import RISK_THRESHOLD, risk_profile
     silver = read_layer(spark, silver_path, fmt).filter(F.col(DATE_COL).isin(list(dates)))
     gold = risk_profile(silver, RISK_THRESHOLD if threshold is None else threshold)
-    return replace_partitions(gold, gold_path, DATE_COL, fmt)
+    return rewrite_partitions(spark, gold_path, gold, list(dates), DATE_COL, fmt)
