@@ -400,3 +400,20 @@ def q_incremental_pipeline(spark, sf_dir):
         run_batch(spark, cfg, raw, batch_id)
     return decimals_as_double(read_layer(spark, cfg.path("gold"))
                               .select(*reports.GOLD_REPORT_COLUMNS))
+
+
+@register("stream_pipeline")
+def q_stream_pipeline(spark, sf_dir):
+    """Two file drops streamed through Bronze -> Silver -> Gold with
+    ``readStream`` + ``trigger(availableNow)`` + ``foreachBatch`` (run once per drop)."""
+    from ..streaming.filedrop import run_stream_pipeline
+    from .pipeline import PipelineConfig
+    full = tx(spark, sf_dir)
+    day, date = F.lit(_d(DAY)), F.col(DATE_COL)
+    raw, ckpt = scratch_path(spark, "stream-raw"), scratch_path(spark, "stream-ckpt")
+    cfg = PipelineConfig(raw_path="", root=scratch_path(spark, "stream-lake"), schema=TX_RAW_SCHEMA)
+    for name, part in (("d1", full.filter(date < day)), ("d2", full.filter(date >= day))):
+        write_text_lines(transactions_json_lines(part), f"{raw}/{name}")
+        run_stream_pipeline(spark, cfg, f"{raw}/*", ckpt)
+    return decimals_as_double(read_layer(spark, cfg.path("gold"))
+                              .select(*reports.GOLD_REPORT_COLUMNS))

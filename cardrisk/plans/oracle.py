@@ -280,3 +280,4 @@ accepted AS (SELECT * FROM transactions WHERE ({_REASON}) IS NULL AND amount > 0
 SELECT user_id, transaction_date, COUNT(*) AS tx_count,
        CAST(SUM(amount) AS DOUBLE) AS daily_total, COUNT(*) > 12 AS is_high_risk
 FROM accepted GROUP BY user_id, transaction_date"""
+ORACLE_SQL["stream_pipeline"] = ORACLE_SQL["incremental_pipeline"]

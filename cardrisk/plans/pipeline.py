@@ -95,35 +95,43 @@ def run_pipeline_p2(spark: SparkSession, root: str, n: int, profile: P2Profile =
 
 
 def run_batch(spark: SparkSession, cfg: PipelineConfig, raw_path: str, batch_id: int) -> dict:
-    """R1 (daily increment): one raw batch through every layer, touching only
-    the partitions it has to.
+    """R1 (daily increment): one raw batch of JSON files through every layer.
+    See ``process_batch``."""
+    raw = bronze_ops.add_lineage(read_raw_json(spark, raw_path, cfg.schema))
+    return process_batch(spark, cfg, bronze_ops.classify(raw), batch_id)
+
+
+def process_batch(spark: SparkSession, cfg: PipelineConfig, classified: DataFrame,
+                  batch_id: int) -> dict:
+    """One classified raw batch (lineage + ``_status``) through every layer,
+    touching only the partitions it has to.
 
     * Bronze: the batch lands in its own ``_batch_id`` partition (a rerun of
-      the same batch replaces it, dynamic overwrite);
+      the same batch id replaces it: dynamic overwrite, so a replayed
+      streaming micro-batch is not duplicated);
     * Silver: the batch's valid rows are upserted by ``transaction_id`` into
       the date partitions they touch (late and restated rows included);
     * Gold: recomputed for exactly those dates from the Silver table.
 
     The first batch creates the tables.  Rows with a NULL ``transaction_id``
-    cannot be matched, so rerunning a batch inserts them again.
+    cannot be matched, so a restated batch inserts them again.
     """
     from pyspark.sql import functions as F
     out: dict = {"batch_id": batch_id}
     bronze_path, silver_path, gold_path = cfg.path("bronze"), cfg.path("silver"), cfg.path("gold")
     t = time.perf_counter()
-    raw = read_raw_json(spark, raw_path, cfg.schema)
-    batch = bronze_ops.classify(bronze_ops.add_lineage(raw)).withColumn(BATCH_COL, F.lit(batch_id))
-    write_layer(batch, bronze_path, fmt=cfg.fmt, mode="overwrite",
-                partition_by=[BATCH_COL, bronze_ops.STATUS_COL], dynamic=True, rebalance=False)
+    write_layer(classified.withColumn(BATCH_COL, F.lit(int(batch_id))), bronze_path, fmt=cfg.fmt,
+                mode="overwrite", partition_by=[BATCH_COL, bronze_ops.STATUS_COL], dynamic=True,
+                rebalance=False)
     out["bronze_s"] = time.perf_counter() - t
 
     t = time.perf_counter()
     accepted = (bronze_ops.read_bronze(spark, bronze_path, cfg.fmt)
-                .filter(F.col(BATCH_COL) == F.lit(batch_id)).drop(BATCH_COL))
-    new_silver = silver_ops.to_silver(accepted, mode=cfg.mask_mode)
+                .filter(F.col(BATCH_COL) == F.lit(int(batch_id))).drop(BATCH_COL))
     if _exists(spark, silver_path, cfg.fmt):
-        stats = maintain.upsert(spark, silver_path, new_silver, key=KEY_COL, fmt=cfg.fmt)
-        touched = stats["touched"]
+        new_silver = silver_ops.to_silver(accepted, mode=cfg.mask_mode)
+        touched = maintain.upsert(spark, silver_path, new_silver, key=KEY_COL,
+                                  fmt=cfg.fmt)["touched"]
     else:
         build_silver(spark, accepted, silver_path, cfg.mask_mode, cfg.fmt)
         touched = maintain.touched_values(read_layer(spark, silver_path, cfg.fmt))
@@ -131,7 +139,9 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig, raw_path: str, batch_id:
     out["touched_dates"] = len(touched)
 
     t = time.perf_counter()
-    if _exists(spark, gold_path, cfg.fmt):
+    if not touched:
+        pass
+    elif _exists(spark, gold_path, cfg.fmt):
         maintain.refresh_gold(spark, silver_path, gold_path, touched, cfg.risk_threshold, cfg.fmt)
     else:
         build_gold(spark, read_layer(spark, silver_path, cfg.fmt), gold_path, cfg.risk_threshold,

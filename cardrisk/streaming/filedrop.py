@@ -40,3 +40,22 @@ def ingest_available(spark: SparkSession, raw_dir: str, bronze_path: str, checkp
              .start(bronze_path))
     query.awaitTermination()
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+
+
+def run_stream_pipeline(spark: SparkSession, cfg, raw_dir: str, checkpoint: str,
+                        max_files_per_trigger: int | None = None) -> list[dict]:
+    """R1 + C7 as a stream: every new file of ``raw_dir`` through Bronze,
+    Silver and Gold (``plans.pipeline.process_batch`` per micro-batch)."""
+    from ..plans.pipeline import process_batch
+    stats: list[dict] = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        stats.append(process_batch(batch.sparkSession, cfg, batch, batch_id))
+
+    stream = classify(add_lineage(raw_stream(spark, raw_dir, cfg.schema, max_files_per_trigger)))
+    query = (stream.writeStream.foreachBatch(each)
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True)
+             .start())
+    query.awaitTermination()
+    return stats
