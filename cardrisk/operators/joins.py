@@ -50,16 +50,19 @@ def dimension_fits(dim: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,
                    how: str = "inner", max_rows: int = DEFAULT_MAX_ROWS,
-                   max_bytes: int = DEFAULT_MAX_BYTES) -> tuple[DataFrame, str]:
+                   max_bytes: int = DEFAULT_MAX_BYTES,
+                   fits: bool | None = None) -> tuple[DataFrame, str]:
     """Join ``fact`` with ``dim``; broadcast ``dim`` only if it is proven small.
 
     Returns the joined DataFrame and the chosen strategy (``broadcast`` or
     ``shuffle``).  ``how`` must keep ``dim`` on the build side: inner,
-    left (outer), left_semi or left_anti.
+    left (outer), left_semi or left_anti.  ``fits`` reuses an earlier
+    ``dimension_fits`` verdict for the same ``dim``.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti"):
         raise ValueError(f"join type {how!r} cannot broadcast the right side")
-    fits, _, _ = dimension_fits(dim, max_rows, max_bytes)
+    if fits is None:
+        fits, _, _ = dimension_fits(dim, max_rows, max_bytes)
     if fits:
         return fact.join(F.broadcast(dim), on, how), "broadcast"
     return fact.join(dim, on, how), "shuffle"
@@ -73,10 +76,10 @@ def join_merge(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column
 
 def semi_join_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str],
                    anti: bool = False, max_rows: int = DEFAULT_MAX_ROWS,
-                   max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+                   max_bytes: int = DEFAULT_MAX_BYTES, fits: bool | None = None) -> DataFrame:
     """Keep (``anti=False``) or drop (``anti=True``) the rows of ``df`` whose key is
     in ``keys``; broadcast the key list only when it is proven small."""
     cols = [on] if isinstance(on, str) else list(on)
     joined, _ = join_dimension(df, keys.select(*cols), cols, "left_anti" if anti else "left_semi",
-                               max_rows, max_bytes)
+                               max_rows, max_bytes, fits)
     return joined

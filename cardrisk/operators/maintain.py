@@ -28,7 +28,7 @@ from ..schemas import BATCH_COL, DATE_COL, KEY_COL, PUBLISHED_COLUMNS
 from ..session import scratch_path
 from ..sinks.writers import write_layer
 from ..sources.readers import read_layer
-from .joins import semi_join_keys
+from .joins import dimension_fits, semi_join_keys
 from .quality import assert_no_leaks
 
 
@@ -110,13 +110,15 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_CO
     # schema enforcement: the change set is cast to the table's types
     updates = updates.select(*[F.col(c).cast(base.schema[c].dataType).alias(c) for c in cols])
     new_keys = updates.select(key).filter(F.col(key).isNotNull())
-    old_dates = semi_join_keys(base.select(key, partition_col), new_keys, key)
+    fits = dimension_fits(new_keys)[0]
+    old_dates = semi_join_keys(base.select(key, partition_col), new_keys, key, fits=fits)
     touched = touched_values(old_dates.select(partition_col)
                              .unionByName(updates.select(partition_col)), partition_col)
     scope = base.filter(F.col(partition_col).isin(touched))
     # NULL keys never match: they bypass the anti-join instead of all hashing
     # into one shuffle partition.
-    kept = (semi_join_keys(scope.filter(F.col(key).isNotNull()), new_keys, key, anti=True)
+    kept = (semi_join_keys(scope.filter(F.col(key).isNotNull()), new_keys, key, anti=True,
+                           fits=fits)
             .unionByName(scope.filter(F.col(key).isNull())))
     return rewrite_partitions(spark, path, kept.unionByName(updates), touched, partition_col, fmt)
 
@@ -127,12 +129,13 @@ def erase(spark: SparkSession, path: str, subjects: DataFrame, subject_col: str
     only the partitions that hold one of their rows."""
     base = read_layer(spark, path, fmt)
     ids = subjects.select(subject_col)
+    fits = dimension_fits(ids)[0]
     # (subject, date) pairs first: the partial aggregate collapses a hot
     # subject's rows map-side, so no task sees a third of the table.
     pairs = base.select(subject_col, partition_col).distinct()
-    touched = touched_values(semi_join_keys(pairs, ids, subject_col), partition_col)
+    touched = touched_values(semi_join_keys(pairs, ids, subject_col, fits=fits), partition_col)
     kept = semi_join_keys(base.filter(F.col(partition_col).isin(touched)), ids, subject_col,
-                          anti=True)
+                          anti=True, fits=fits)
     return rewrite_partitions(spark, path, kept, touched, partition_col, fmt)
 
 

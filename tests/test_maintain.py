@@ -46,7 +46,8 @@ def test_erase_user_everywhere(spark):
     path = _table(spark, [("a", 1, Dec("1.00"), D1), ("b", 2, Dec("2.00"), D1),
                           ("c", 1, Dec("3.00"), D2)])
     stats = maintain.erase(spark, path, spark.createDataFrame([(1,)], "user_id long"))
-    assert stats == {"rewritten": 1, "emptied": 1}
+    assert (stats["rewritten"], stats["emptied"]) == (1, 1)
+    assert stats["touched"] == [D1, D2]
     assert [r[0] for r in _rows(spark, path)] == ["b"]
     assert read_layer(spark, path).filter(F.col(DATE_COL) == D2).count() == 0
 
