@@ -23,7 +23,6 @@ import datetime as dt
 import json
 import os
 import sys
-import tempfile
 import time
 
 HERE = os.path.dirname(os.path.abspath(__file__))
