@@ -24,7 +24,7 @@ from ..schemas import DATE_COL, TX_RAW_SCHEMA
 from ..session import checkpoint_root, scratch_path
 from ..sinks.writers import write_layer, write_text_lines
 from ..sources.fixtures import load_table, transactions, transactions_json_lines
-from ..sources.readers import read_layer, read_raw_json
+from ..sources.readers import read_layer, read_raw_json, register_table
 from ..streaming.filedrop import ingest_available
 from .params import (BASE_BEFORE, CORRECTIONS_FROM, DAY, ERASE_USERS, MOVED_MERCHANT,
                      SPLIT_HOUR, UPSERT_FROM)
@@ -240,9 +240,14 @@ def q_bronze_stream(spark, sf_dir):
 
 @register("partitioned_roundtrip")
 def q_partitioned_roundtrip(spark, sf_dir):
+    """K3 + S6: Gold written by date, registered as a catalog table with
+    tracked partitions, read back with a date range (only the matching
+    partition directories are listed and scanned)."""
     path = scratch_path(spark, "gold")
     write_layer(gold(spark, sf_dir), path, partition_by=[DATE_COL])
-    back = read_layer(spark, path).filter(F.col(DATE_COL) >= F.lit(_dt.date.fromisoformat(DAY)))
+    name = "gold_" + path.rsplit("-", 1)[-1]
+    register_table(spark, name, path, partition_by=[DATE_COL])
+    back = spark.table(name).filter(F.col(DATE_COL) >= F.lit(_dt.date.fromisoformat(DAY)))
     return decimals_as_double(back.select(*reports.GOLD_REPORT_COLUMNS))
 
 
@@ -270,6 +275,31 @@ def q_join_merge(spark, sf_dir):
     return _customers_by_nation(joins.join_merge(customer, nation, "c_nationkey"))
 
 
+def lineitem_by_supplier_nation(joined: DataFrame) -> DataFrame:
+    return (joined.groupBy("s_nationkey")
+            .agg(F.count(F.lit(1)).alias("lines"),
+                 F.sum(F.col("l_quantity").cast("decimal(15,2)")).cast("double").alias("quantity"),
+                 F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).cast("double")
+                  .alias("revenue")))
+
+
+def _lineitem_supplier(spark, sf_dir):
+    lineitem = load_table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("suppkey"), "l_quantity", "l_extendedprice")
+    supplier = load_table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("suppkey"), "s_nationkey")
+    return lineitem, supplier
+
+
+@register("join_fact_dim")
+def q_join_fact_dim(spark, sf_dir):
+    """J1 at fact scale: lineitem joined with the supplier dimension (broadcast
+    only behind the size check), revenue per supplier nation."""
+    lineitem, supplier = _lineitem_supplier(spark, sf_dir)
+    joined, _ = joins.join_dimension(lineitem, supplier, "suppkey")
+    return lineitem_by_supplier_nation(joined)
+
+
 # -- maintenance (R1-R5) ------------------------------------------------------------
 
 def _d(text: str) -> _dt.date:

@@ -281,3 +281,8 @@ SELECT user_id, transaction_date, COUNT(*) AS tx_count,
        CAST(SUM(amount) AS DOUBLE) AS daily_total, COUNT(*) > 12 AS is_high_risk
 FROM accepted GROUP BY user_id, transaction_date"""
 ORACLE_SQL["stream_pipeline"] = ORACLE_SQL["incremental_pipeline"]
+ORACLE_SQL["join_fact_dim"] = (
+    "SELECT s_nationkey, COUNT(*) AS lines, "
+    "CAST(SUM(CAST(l_quantity AS DECIMAL(15,2))) AS DOUBLE) AS quantity, "
+    "CAST(SUM(CAST(l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) AS revenue "
+    "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_nationkey")

@@ -22,7 +22,7 @@ from ..operators import silver as silver_ops
 from ..operators.generate import P2Profile, generate
 from ..schemas import BATCH_COL, DATE_COL, KEY_COL, P3_RAW_SCHEMA
 from ..sinks.writers import write_layer
-from ..sources.readers import read_layer, read_raw_json
+from ..sources.readers import read_layer, read_raw_json, register_table, sync_partitions
 
 
 @dataclass
@@ -34,28 +34,44 @@ class PipelineConfig:
     fmt: str = "parquet"
     risk_threshold: int = gold_ops.RISK_THRESHOLD
     paths: dict = field(default_factory=dict)
+    # layer -> catalog table name (S6); registered layers get their
+    # partitions tracked in the catalog, so day queries list only their dates
+    tables: dict = field(default_factory=dict)
 
     def path(self, layer: str) -> str:
         return self.paths.get(layer, f"{self.root.rstrip('/')}/{layer}")
 
+    def publish(self, spark: SparkSession, layer: str, touched: list | None = None,
+                schema: T.StructType | None = None) -> None:
+        """Register ``layer`` as a catalog table, or sync the partitions just written."""
+        name = self.tables.get(layer)
+        if not name:
+            return
+        if spark.catalog.tableExists(name) and touched is not None:
+            sync_partitions(spark, name, DATE_COL, touched)
+        else:
+            register_table(spark, name, self.path(layer), self.fmt, [DATE_COL], schema)
+
 
 def _count(spark: SparkSession, path: str, fmt: str) -> int:
     return read_layer(spark, path, fmt).count()
 
 
 def build_silver(spark: SparkSession, bronze: DataFrame, path: str, mode: str = "affix",
-                 fmt: str = "parquet") -> str:
-    """Silver write, partitioned by date (K3)."""
-    return write_layer(silver_ops.to_silver(bronze, mode=mode), path, fmt=fmt,
-                       partition_by=[DATE_COL])
+                 fmt: str = "parquet") -> T.StructType:
+    """Silver write, partitioned by date (K3); returns the written schema."""
+    silver = silver_ops.to_silver(bronze, mode=mode)
+    write_layer(silver, path, fmt=fmt, partition_by=[DATE_COL])
+    return silver.schema
 
 
 def build_gold(spark: SparkSession, silver: DataFrame, path: str, threshold: int,
-               fmt: str = "parquet") -> str:
-    """Gold write, partitioned by date (K3); the aggregate's own hash
-    partitioning already groups a user-day, so no extra rebalance."""
-    return write_layer(gold_ops.risk_profile(silver, threshold), path, fmt=fmt,
-                       partition_by=[DATE_COL])
+               fmt: str = "parquet") -> T.StructType:
+    """Gold write, partitioned by date (K3, REBALANCE on the small aggregate);
+    returns the written schema."""
+    gold = gold_ops.risk_profile(silver, threshold)
+    write_layer(gold, path, fmt=fmt, partition_by=[DATE_COL])
+    return gold.schema
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
@@ -67,12 +83,14 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
 
     t = time.perf_counter()
     accepted = bronze_ops.read_bronze(spark, cfg.path("bronze"), cfg.fmt)
-    build_silver(spark, accepted, cfg.path("silver"), cfg.mask_mode, cfg.fmt)
+    schema = build_silver(spark, accepted, cfg.path("silver"), cfg.mask_mode, cfg.fmt)
+    cfg.publish(spark, "silver", schema=schema)
     out["silver_s"] = time.perf_counter() - t
 
     t = time.perf_counter()
     silver = read_layer(spark, cfg.path("silver"), cfg.fmt)
-    build_gold(spark, silver, cfg.path("gold"), cfg.risk_threshold, cfg.fmt)
+    schema = build_gold(spark, silver, cfg.path("gold"), cfg.risk_threshold, cfg.fmt)
+    cfg.publish(spark, "gold", schema=schema)
     out["gold_s"] = time.perf_counter() - t
 
     out["bronze_rows"] = _count(spark, cfg.path("bronze"), cfg.fmt)
@@ -135,6 +153,7 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, classified: DataFram
     else:
         build_silver(spark, accepted, silver_path, cfg.mask_mode, cfg.fmt)
         touched = maintain.touched_values(read_layer(spark, silver_path, cfg.fmt))
+    cfg.publish(spark, "silver", touched)
     out["silver_s"] = time.perf_counter() - t
     out["touched_dates"] = len(touched)
 
@@ -146,6 +165,8 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, classified: DataFram
     else:
         build_gold(spark, read_layer(spark, silver_path, cfg.fmt), gold_path, cfg.risk_threshold,
                    cfg.fmt)
+    if touched:
+        cfg.publish(spark, "gold", touched)
     out["gold_s"] = time.perf_counter() - t
     return out
 

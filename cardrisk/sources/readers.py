@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +72,45 @@ def read_layer(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
+def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
+                   partition_by: Sequence[str] = (), schema: T.StructType | None = None) -> str:
+    """S6 for layer tables: an external catalog table over ``path`` whose
+    partitions are tracked in the catalog.
+
+    A path-based read lists every partition directory on each query; a
+    catalog table lets a partition filter list only the matching
+    directories (``Partition Provider: Catalog``), which is what keeps a
+    one-day query cheap on a table with years of daily partitions.  Pass
+    the ``schema`` of the DataFrame just written to skip listing the table.
+    """
+    if not spark.catalog.tableExists(name):
+        if schema is None:
+            schema = read_layer(spark, path, fmt).schema      # lists the table once
+        fields = [f for f in schema.fields if f.name not in partition_by] + \
+            [schema[c] for c in partition_by]
+        schema = T.StructType(fields)
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" \
+            if partition_by else ""
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING {fmt}{parts} LOCATION '{path}'")
+    if partition_by:
+        sync_partitions(spark, name)
+    return name
+
+
+def sync_partitions(spark: SparkSession, name: str, partition_col: str | None = None,
+                    values: Sequence | None = None) -> None:
+    """Make the catalog see partitions written by path: the listed ``values``
+    of ``partition_col`` only (a bounded set, e.g. the dates an incremental
+    run touched), or every partition directory when ``values`` is None."""
+    if values is None:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    elif values:
+        specs = " ".join(f"PARTITION (`{partition_col}` = '{v}')" for v in values)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+    spark.sql(f"REFRESH TABLE {name}")
+
+
 def register_views(spark: SparkSession, views: Mapping[str, DataFrame]) -> None:
     """Expose DataFrames to SQL by catalog name (temp views)."""
     for name, df in views.items():

@@ -131,3 +131,23 @@ def test_rebalance_splits_a_hot_date(spark):
     cold = glob.glob(f"{path}/{DATE_COL}=2024-01-03/*.parquet")
     assert len(hot) > 1 and len(cold) >= 1
     assert read_layer(spark, path).count() == 300_000
+
+
+def test_catalog_table_lists_only_pruned_partitions(spark):
+    from cardrisk.session import scratch_path
+    from cardrisk.sources.readers import register_table, sync_partitions
+    path = scratch_path(spark, "gold")
+    gold_df = gold.risk_profile(silver.to_silver(transactions(spark, SF001)))
+    write_layer(gold_df.filter(F.col(DATE_COL) < F.lit(dt.date(2024, 1, 20))), path,
+                partition_by=[DATE_COL])
+    name = "gold_" + path.rsplit("-", 1)[-1]
+    register_table(spark, name, path, partition_by=[DATE_COL])
+    day = spark.table(name).filter(F.col(DATE_COL) == F.lit(dt.date(2024, 1, 15)))
+    plan = plan_text(day)
+    assert "Location: InMemoryFileIndex" in plan and "transaction_date=2024-01-15]" in plan
+    # a later incremental write by path becomes visible after syncing its partitions
+    later = gold_df.filter(F.col(DATE_COL) >= F.lit(dt.date(2024, 1, 20)))
+    write_layer(later, path, partition_by=[DATE_COL], dynamic=True)
+    sync_partitions(spark, name, DATE_COL,
+                    [r[0] for r in later.select(DATE_COL).distinct().collect()])
+    assert spark.table(name).count() == gold_df.count()
