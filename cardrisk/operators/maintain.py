@@ -75,20 +75,22 @@ def rewrite_partitions(spark: SparkSession, path: str, content: DataFrame, touch
     return {"rewritten": len(present), "emptied": len(emptied), "touched": list(touched)}
 
 
-def latest_per_key(df: DataFrame, key: str = KEY_COL, order_col: str = BATCH_COL) -> DataFrame:
+def latest_per_key(df: DataFrame, key: str = KEY_COL, order_col: str | None = BATCH_COL) -> DataFrame:
     """One row per non-NULL key: the row with the greatest ``order_col``
-    (ties broken on the remaining columns).  Rows with a NULL key cannot be
-    matched and are passed through unchanged.
+    (ties, or every row when ``order_col`` is None, are broken on the
+    remaining columns, so the pick is deterministic).  Rows with a NULL key
+    cannot be matched and are passed through unchanged.
 
     ``max(struct(order, ...))`` is an ordinary aggregate: it is combined
     map-side, so a key that repeats millions of times is reduced per task
     before the shuffle.
     """
-    rest = [c for c in df.columns if c not in (key, order_col)]
+    lead = [order_col] if order_col else []
+    rest = [c for c in df.columns if c != key and c not in lead]
     best = (df.filter(F.col(key).isNotNull())
             .groupBy(key)
-            .agg(F.max(F.struct(order_col, *rest)).alias("_latest"))
-            .select(key, *[F.col(f"_latest.{c}").alias(c) for c in [order_col, *rest]]))
+            .agg(F.max(F.struct(*lead, *rest)).alias("_latest"))
+            .select(key, *[F.col(f"_latest.{c}").alias(c) for c in [*lead, *rest]]))
     return best.unionByName(df.filter(F.col(key).isNull()))
 
 
@@ -97,16 +99,16 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_CO
            fmt: str = "parquet") -> dict:
     """R2: MERGE ``updates`` into the table at ``path`` by ``key``.
 
-    Matched keys are replaced by the latest update (by ``order_col`` when
-    the change set holds several versions), unmatched updates are inserted,
-    NULL keys never match.  The partitions rewritten are those of the
-    updates plus those where a replaced row used to live (a row whose date
-    changed touches two partitions).
+    The change set is first reduced to one row per key: the latest version
+    by ``order_col``, or a deterministic pick when no order is given (a
+    repeated record).  Matched keys are replaced, unmatched updates are
+    inserted, NULL keys never match.  The partitions rewritten are those of
+    the updates plus those where a replaced row used to live (a row whose
+    date changed touches two partitions).
     """
     base = read_layer(spark, path, fmt)
     cols = base.columns
-    if order_col:
-        updates = latest_per_key(updates, key, order_col)
+    updates = latest_per_key(updates, key, order_col)
     # schema enforcement: the change set is cast to the table's types
     updates = updates.select(*[F.col(c).cast(base.schema[c].dataType).alias(c) for c in cols])
     new_keys = updates.select(key).filter(F.col(key).isNotNull())

@@ -83,3 +83,12 @@ def test_latest_per_key_skewed_key(spark):
     out = maintain.latest_per_key(df, "transaction_id", "_seq")
     assert out.count() == 10_001
     assert out.filter("transaction_id = 'hot'").first()._seq == 9_999
+
+
+def test_upsert_dedupes_repeated_records(spark):
+    from decimal import Decimal as Dec
+    path = _table(spark, [("a", 1, Dec("1.00"), D1)])
+    upd = spark.createDataFrame([("b", 2, Dec("2.00"), D1), ("b", 2, Dec("2.00"), D1),
+                                 ("a", 1, Dec("3.00"), D1)], SCHEMA)
+    maintain.upsert(spark, path, upd)
+    assert _rows(spark, path) == [("a", 1, 3.0, D1), ("b", 2, 2.0, D1)]
