@@ -21,7 +21,7 @@ REGEX_PATTERN = r"^(\d{4})\d{8}(\d{4})$"
 REGEX_REPLACEMENT = "$1-XXXX-XXXX-$2"
 AFFIX_MIDDLE = "-XXXX-XXXX-"
 FULL_MASK = "XXXX-XXXX-XXXX-XXXX"
-SIXTEEN_DIGITS = r"^[0-9]{16}$"
+SIXTEEN_DIGITS = r"\A[0-9]{16}\z"   # whole string; Java "$" would also match before a final newline
 
 MODES = ("regex", "affix", "strict")
 

@@ -54,6 +54,8 @@ def test_filter_on_decimal_amount(spark):
     (None, "affix", None),
     (None, "regex", None),
     (None, "strict", None),
+    # a trailing newline is not a 16-digit card for the strict mask
+    ("4532015112890367\n", "strict", "XXXX-XXXX-XXXX-XXXX"),
 ])
 def test_card_masks(spark, card, mode, expected):
     df = spark.createDataFrame([(card,)], "card string")
