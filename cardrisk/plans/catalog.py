@@ -412,8 +412,8 @@ def q_cached_filter(spark, sf_dir):
 
 # -- the whole pipeline, batch by batch (R1 + C7) ----------------------------------
 
-@register("incremental_pipeline")
-def q_incremental_pipeline(spark, sf_dir):
+@register("incremental_batches")
+def q_incremental_batches(spark, sf_dir):
     """Three raw JSON batches through Bronze -> Silver -> Gold with
     ``run_batch``: the days before DAY, the days from DAY on, then a
     restatement of the two days before DAY (idempotent keyed upsert)."""
@@ -432,8 +432,8 @@ def q_incremental_pipeline(spark, sf_dir):
                               .select(*reports.GOLD_REPORT_COLUMNS))
 
 
-@register("stream_pipeline")
-def q_stream_pipeline(spark, sf_dir):
+@register("stream_file_drops")
+def q_stream_file_drops(spark, sf_dir):
     """Two file drops streamed through Bronze -> Silver -> Gold with
     ``readStream`` + ``trigger(availableNow)`` + ``foreachBatch`` (run once per drop)."""
     from ..streaming.filedrop import run_stream_pipeline
@@ -447,3 +447,22 @@ def q_stream_pipeline(spark, sf_dir):
         run_stream_pipeline(spark, cfg, f"{raw}/*", ckpt)
     return decimals_as_double(read_layer(spark, cfg.path("gold"))
                               .select(*reports.GOLD_REPORT_COLUMNS))
+
+
+# -- the six reports through the SQL entry point (S6) ------------------------------
+
+def _sql_report(name: str) -> QueryFn:
+    def run(spark, sf_dir):
+        from .sql_reports import run_report
+        suffix = scratch_path(spark, "v").rsplit("-", 1)[-1]
+        silver_view, gold_view = f"silver_{suffix}", f"gold_{suffix}"
+        silver(spark, sf_dir).createOrReplaceTempView(silver_view)
+        gold(spark, sf_dir).createOrReplaceTempView(gold_view)
+        return decimals_as_double(run_report(spark, name, silver_view, gold_view))
+    run.__name__ = f"q_sql_{name}"
+    return run
+
+
+for _name in ("top_user_days", "high_risk_list", "daily_volume_7d", "risk_global",
+              "currency_mix", "layer_counts"):
+    register(f"sql_{_name}")(_sql_report(_name))

@@ -275,14 +275,19 @@ ORACLE_SQL["latest_as_of"] = _q(
 ORACLE_SQL["published_gold"] = _q(f"SELECT {_GOLD_OUT} FROM gold")
 ORACLE_SQL["cached_filter"] = ORACLE_SQL["category_day_count"]
 
-ORACLE_SQL["incremental_pipeline"] = BASE + f""",
+ORACLE_SQL["incremental_batches"] = BASE + f""",
 accepted AS (SELECT * FROM transactions WHERE ({_REASON}) IS NULL AND amount > 0)
 SELECT user_id, transaction_date, COUNT(*) AS tx_count,
        CAST(SUM(amount) AS DOUBLE) AS daily_total, COUNT(*) > 12 AS is_high_risk
 FROM accepted GROUP BY user_id, transaction_date"""
-ORACLE_SQL["stream_pipeline"] = ORACLE_SQL["incremental_pipeline"]
+ORACLE_SQL["stream_file_drops"] = ORACLE_SQL["incremental_batches"]
 ORACLE_SQL["join_fact_dim"] = (
     "SELECT s_nationkey, COUNT(*) AS lines, "
     "CAST(SUM(CAST(l_quantity AS DECIMAL(15,2))) AS DOUBLE) AS quantity, "
     "CAST(SUM(CAST(l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) AS revenue "
     "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_nationkey")
+
+# the SQL entry point runs the same six reports
+for _name in ("top_user_days", "high_risk_list", "daily_volume_7d", "risk_global",
+              "currency_mix", "layer_counts"):
+    ORACLE_SQL[f"sql_{_name}"] = ORACLE_SQL[_name]
