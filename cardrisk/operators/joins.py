@@ -2,12 +2,14 @@
 
 ``broadcast()`` ships the whole build side to every executor, so it is only
 safe for a side whose size is *proven* small.  ``dimension_fits`` proves it
-with one cheap job: it aggregates over ``dim.limit(max_rows + 1)`` (the
-scan stops as soon as the bound is exceeded, however large the table) and
-measures the encoded size of those rows.  Only when both the row and byte
-bounds hold is the side broadcast; otherwise the join is a shuffled
-sort-merge join, where AQE can still switch to broadcast at runtime (from
-real shuffle statistics) and split skewed partitions.
+with one aggregate over the candidate side: every task counts its rows and
+their encoded bytes (a partial aggregate), and only one small row per task
+reaches the final aggregate.  (A ``limit(n)`` probe would instead send up to
+``n`` rows from *every* partition into a single task when the side is
+large.)  Only when both the row and byte bounds hold is the side broadcast;
+otherwise the join is a shuffled sort-merge join, where AQE can still switch
+to broadcast at runtime (from real shuffle statistics) and split skewed
+partitions.
 """
 
 from __future__ import annotations
@@ -40,10 +42,10 @@ def _field_bytes(field: T.StructField) -> Column:
 
 def dimension_fits(dim: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                    max_bytes: int = DEFAULT_MAX_BYTES) -> tuple[bool, int, int]:
-    """Return ``(fits, rows, bytes)`` for at most ``max_rows + 1`` rows of ``dim``."""
+    """Return ``(fits, rows, bytes)``: the exact row count of ``dim`` and an
+    upper estimate of its size as broadcast rows."""
     row_bytes = sum((_field_bytes(f) for f in dim.schema.fields), F.lit(16))
-    probe = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"),
-                                        F.sum(row_bytes).alias("bytes")).first()
+    probe = dim.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes).alias("bytes")).first()
     rows, size = int(probe["rows"]), int(probe["bytes"] or 0)
     return rows <= max_rows and size <= max_bytes, rows, size
 

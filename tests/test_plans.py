@@ -83,9 +83,11 @@ def test_merge_hint_gives_sort_merge_join(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_dimension_probe_stops_at_bound(spark):
+def test_dimension_probe_is_exact_and_single_pass(spark):
     fits, rows, size = joins.dimension_fits(spark.range(1_000_000), max_rows=100)
-    assert not fits and rows == 101 and size > 0
+    assert not fits and rows == 1_000_000 and size > 0
+    fits, rows, _ = joins.dimension_fits(spark.range(50), max_rows=100)
+    assert fits and rows == 50
 
 
 def test_distinct_users_without_expand(spark):
