@@ -96,7 +96,7 @@ def latest_per_key(df: DataFrame, key: str = KEY_COL, order_col: str | None = BA
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_COL,
            order_col: str | None = None, partition_col: str = DATE_COL,
-           fmt: str = "parquet") -> dict:
+           fmt: str = "parquet", key_scope: str = "table") -> dict:
     """R2: MERGE ``updates`` into the table at ``path`` by ``key``.
 
     The change set is first reduced to one row per key: the latest version
@@ -105,7 +105,15 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_CO
     inserted, NULL keys never match.  The partitions rewritten are those of
     the updates plus those where a replaced row used to live (a row whose
     date changed touches two partitions).
+
+    ``key_scope='table'`` (exact) looks the keys up in the whole table (only
+    the key and date columns are read).  ``key_scope='dates'`` is for tables
+    whose records never change date: the lookup is restricted to the
+    partitions of the change set, so a daily increment reads a few
+    partitions instead of every key of the history.
     """
+    if key_scope not in ("table", "dates"):
+        raise ValueError("key_scope must be 'table' or 'dates'")
     base = read_layer(spark, path, fmt)
     cols = base.columns
     updates = latest_per_key(updates, key, order_col)
@@ -113,9 +121,12 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_CO
     updates = updates.select(*[F.col(c).cast(base.schema[c].dataType).alias(c) for c in cols])
     new_keys = updates.select(key).filter(F.col(key).isNotNull())
     fits = dimension_fits(new_keys)[0]
-    old_dates = semi_join_keys(base.select(key, partition_col), new_keys, key, fits=fits)
-    touched = touched_values(old_dates.select(partition_col)
-                             .unionByName(updates.select(partition_col)), partition_col)
+    if key_scope == "dates":
+        touched = touched_values(updates, partition_col)
+    else:
+        old_dates = semi_join_keys(base.select(key, partition_col), new_keys, key, fits=fits)
+        touched = touched_values(old_dates.select(partition_col)
+                                 .unionByName(updates.select(partition_col)), partition_col)
     scope = base.filter(F.col(partition_col).isin(touched))
     # NULL keys never match: they bypass the anti-join instead of all hashing
     # into one shuffle partition.

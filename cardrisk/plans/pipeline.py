@@ -34,6 +34,10 @@ class PipelineConfig:
     fmt: str = "parquet"
     risk_threshold: int = gold_ops.RISK_THRESHOLD
     paths: dict = field(default_factory=dict)
+    # R2 lookup scope of the Silver upsert in incremental runs: "table" (exact,
+    # a restated record may move to another date) or "dates" (records keep
+    # their date; the lookup reads only the batch's partitions)
+    key_scope: str = "table"
     # layer -> catalog table name (S6); registered layers get their
     # partitions tracked in the catalog, so day queries list only their dates
     tables: dict = field(default_factory=dict)
@@ -149,7 +153,7 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, classified: DataFram
     if _exists(spark, silver_path, cfg.fmt):
         new_silver = silver_ops.to_silver(accepted, mode=cfg.mask_mode)
         touched = maintain.upsert(spark, silver_path, new_silver, key=KEY_COL,
-                                  fmt=cfg.fmt)["touched"]
+                                  fmt=cfg.fmt, key_scope=cfg.key_scope)["touched"]
     else:
         build_silver(spark, accepted, silver_path, cfg.mask_mode, cfg.fmt)
         touched = maintain.touched_values(read_layer(spark, silver_path, cfg.fmt))

@@ -92,3 +92,15 @@ def test_upsert_dedupes_repeated_records(spark):
                                  ("a", 1, Dec("3.00"), D1)], SCHEMA)
     maintain.upsert(spark, path, upd)
     assert _rows(spark, path) == [("a", 1, 3.0, D1), ("b", 2, 2.0, D1)]
+
+
+def test_upsert_date_scoped_lookup(spark):
+    from decimal import Decimal as Dec
+    from cardrisk.plans.timing import plan_text
+    path = _table(spark, [("a", 1, Dec("1.00"), D1), ("b", 2, Dec("2.00"), D2)])
+    upd = spark.createDataFrame([("b", 2, Dec("9.00"), D2), ("c", 3, Dec("3.00"), D2)], SCHEMA)
+    stats = maintain.upsert(spark, path, upd, key_scope="dates")
+    assert stats["touched"] == [D2]
+    assert _rows(spark, path) == [("a", 1, 1.0, D1), ("b", 2, 9.0, D2), ("c", 3, 3.0, D2)]
+    scoped = read_layer(spark, path).filter(F.col(DATE_COL).isin([D2]))
+    assert "PartitionFilters: [" in plan_text(scoped) and "2024-01-02" in plan_text(scoped)
