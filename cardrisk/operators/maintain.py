@@ -137,15 +137,23 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_CO
 
 
 def erase(spark: SparkSession, path: str, subjects: DataFrame, subject_col: str = "user_id",
-          partition_col: str = DATE_COL, fmt: str = "parquet") -> dict:
+          partition_col: str = DATE_COL, fmt: str = "parquet",
+          locate_in: DataFrame | None = None) -> dict:
     """Delete every row of the listed subjects (e.g. users), rewriting
-    only the partitions that hold one of their rows."""
+    only the partitions that hold one of their rows.
+
+    ``locate_in`` is an optional smaller table with the same
+    (subject, partition) pairs, e.g. Gold (one row per user-day) when
+    erasing from Silver, used to find the partitions to rewrite without
+    scanning the big table.
+    """
     base = read_layer(spark, path, fmt)
     ids = subjects.select(subject_col)
     fits = dimension_fits(ids)[0]
     # (subject, date) pairs first: the partial aggregate collapses a hot
     # subject's rows map-side, so no task sees a third of the table.
-    pairs = base.select(subject_col, partition_col).distinct()
+    source = base if locate_in is None else locate_in
+    pairs = source.select(subject_col, partition_col).distinct()
     touched = touched_values(semi_join_keys(pairs, ids, subject_col, fits=fits), partition_col)
     kept = semi_join_keys(base.filter(F.col(partition_col).isin(touched)), ids, subject_col,
                           anti=True, fits=fits)

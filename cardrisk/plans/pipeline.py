@@ -175,6 +175,21 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, classified: DataFram
     return out
 
 
+def erase_subjects(spark: SparkSession, cfg: PipelineConfig, subjects: DataFrame,
+                   subject_col: str = "user_id") -> dict:
+    """R3 across the layers: remove every row of the listed users from Silver
+    and Gold.  Gold (one row per user-day) locates the Silver partitions to
+    rewrite, so Silver is read only where the users have rows."""
+    gold_path, silver_path = cfg.path("gold"), cfg.path("silver")
+    gold = read_layer(spark, gold_path, cfg.fmt)
+    silver_stats = maintain.erase(spark, silver_path, subjects, subject_col, fmt=cfg.fmt,
+                                  locate_in=gold)
+    cfg.publish(spark, "silver", silver_stats["touched"])
+    gold_stats = maintain.erase(spark, gold_path, subjects, subject_col, fmt=cfg.fmt)
+    cfg.publish(spark, "gold", gold_stats["touched"])
+    return {"silver": silver_stats, "gold": gold_stats}
+
+
 def _exists(spark: SparkSession, path: str, fmt: str) -> bool:
     try:
         read_layer(spark, path, fmt).schema

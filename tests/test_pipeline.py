@@ -48,3 +48,26 @@ def test_batches_equal_one_full_run(spark):
     b = read_layer(spark, full.path("gold")).select(*a.columns)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_erase_subjects_from_silver_and_gold(spark):
+    from pyspark.sql import functions as F
+    from cardrisk.plans.pipeline import erase_subjects
+    from cardrisk.sources.readers import read_layer
+    n = 20_000
+    raw = scratch_path(spark, "raw")
+    write_json_lines(gen.generate(spark, gen.P3Profile(), n, 4), raw,
+                     timestamp_format="yyyy-MM-dd'T'HH:mm:ss")
+    cfg = PipelineConfig(raw_path=raw, root=scratch_path(spark, "lake"),
+                         tables={"silver": "silver_" + raw.rsplit("-", 1)[-1],
+                                 "gold": "gold_" + raw.rsplit("-", 1)[-1]})
+    before = run_pipeline(spark, cfg)
+    victims = read_layer(spark, cfg.path("gold")).groupBy("user_id").count() \
+        .orderBy(F.desc("count"), "user_id").limit(3).select("user_id")
+    names = [r.user_id for r in victims.collect()]
+    victim_rows = read_layer(spark, cfg.path("silver")).filter(F.col("user_id").isin(names)).count()
+    erase_subjects(spark, cfg, spark.createDataFrame([(u,) for u in names], "user_id string"))
+    silver_after = spark.table(cfg.tables["silver"])
+    assert silver_after.filter(F.col("user_id").isin(names)).count() == 0
+    assert silver_after.count() == before["silver_rows"] - victim_rows
+    assert spark.table(cfg.tables["gold"]).filter(F.col("user_id").isin(names)).count() == 0
