@@ -61,3 +61,32 @@ def test_generation_is_deterministic_across_partitionings(spark):
     a = gen.generate(spark, gen.P3Profile(), 5_000, partitions=1)
     b = gen.generate(spark, gen.P3Profile(), 5_000, partitions=7)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_p3_acceptance_numbers_at_the_same_density(spark):
+    """SURVEY §5: at lambda = 5.414 rows per user-day (9.8M / (10,000 x 181)),
+    about 0.39 % of the user-days are high-risk and about 50.9 % of the users are
+    high-risk on some day.  Same density with 1,000 users and 1M rows."""
+    from cardrisk.operators import gold, silver
+    from cardrisk.operators.reports import risk_global
+    df = gen.generate(spark, gen.P3Profile(users=1_000), 1_000_000, partitions=8)
+    g = gold.risk_profile(silver.to_silver(df)).cache()
+    try:
+        s = g.agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("is_high_risk").cast("double"))
+                  .alias("share")).first()
+        users = risk_global(g).first()
+    finally:
+        g.unpersist()
+    assert abs(s.share - 0.0039) < 0.0012
+    assert abs(users.pct_high_risk - 50.9) < 6
+    assert s.n <= 1_000 * 181
+
+
+def test_p2_high_risk_share_at_the_same_density(spark):
+    """SURVEY §5: at lambda = 6.67 (15M / (50,000 x 45)) about 1.9 % of the
+    user-days are high-risk.  Same density with 3,333 users and 1M rows."""
+    from cardrisk.operators import gold, silver
+    df = gen.generate(spark, gen.P2Profile(users=3_333), 1_000_000, partitions=8)
+    g = gold.daily_features(silver.to_silver_p2(df))
+    share = g.agg(F.avg("perfil_alto_riesgo")).first()[0]
+    assert abs(share - 0.019) < 0.005

@@ -109,3 +109,10 @@ def test_count_semantics_null_ids(spark):
     assert p2.cantidad_transacciones_diarias == 2  # count(transaction_id)
     assert p2.contiene_sospecha_fraude == 1
     assert p3.daily_total == 6.0
+
+
+def test_session_factory_reuses_active_session(spark):
+    from cardrisk.session import get_spark_session, shuffle_partitions_for
+    assert get_spark_session("other-app") is spark
+    assert shuffle_partitions_for(4_800 * 1024 * 1024) == 32   # 4.8 GB / 150 MB
+    assert shuffle_partitions_for(0) == 1
