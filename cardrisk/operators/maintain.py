@@ -62,17 +62,24 @@ def touched_values(df: DataFrame, partition_col: str = DATE_COL) -> list:
 
 
 def rewrite_partitions(spark: SparkSession, path: str, content: DataFrame, touched: list,
-                       partition_col: str = DATE_COL, fmt: str = "parquet") -> dict:
-    """Replace the partitions whose values are listed in ``touched`` by ``content``."""
+                       partition_col: str = DATE_COL, fmt: str = "parquet",
+                       may_empty: list | None = None) -> dict:
+    """Replace the partitions whose values are listed in ``touched`` by ``content``.
+
+    ``may_empty`` lists the touched values that can have lost all their rows
+    (default: all of them); when it is empty the emptiness check is skipped.
+    """
     staged = stage(spark, content, "rewrite", fmt)
     replace_partitions(staged, path, partition_col, fmt)
-    present = set(touched_values(staged, partition_col))
-    emptied = [v for v in touched if v not in present]
+    candidates = list(touched) if may_empty is None else list(may_empty)
+    present = set(touched_values(staged, partition_col)) if candidates else set()
+    emptied = [v for v in candidates if v not in present]
     if emptied:
         empty = staged.drop(partition_col).limit(0)
         for value in emptied:
             empty.write.format(fmt).mode("overwrite").save(_partition_dir(path, partition_col, value))
-    return {"rewritten": len(present), "emptied": len(emptied), "touched": list(touched)}
+    return {"rewritten": len(touched) - len(emptied), "emptied": len(emptied),
+            "touched": list(touched)}
 
 
 def latest_per_key(df: DataFrame, key: str = KEY_COL, order_col: str | None = BATCH_COL) -> DataFrame:
@@ -116,24 +123,29 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_CO
         raise ValueError("key_scope must be 'table' or 'dates'")
     base = read_layer(spark, path, fmt)
     cols = base.columns
+    # one row per key, cast to the table's types (schema enforcement), staged
+    # once so the dedupe is not recomputed by every later job
     updates = latest_per_key(updates, key, order_col)
-    # schema enforcement: the change set is cast to the table's types
-    updates = updates.select(*[F.col(c).cast(base.schema[c].dataType).alias(c) for c in cols])
+    updates = stage(spark, updates.select(
+        *[F.col(c).cast(base.schema[c].dataType).alias(c) for c in cols]), "changes", fmt)
     new_keys = updates.select(key).filter(F.col(key).isNotNull())
     fits = dimension_fits(new_keys)[0]
-    if key_scope == "dates":
-        touched = touched_values(updates, partition_col)
-    else:
+    landing = updates.select(partition_col, F.lit(True).alias("_lands"))
+    if key_scope == "table":
         old_dates = semi_join_keys(base.select(key, partition_col), new_keys, key, fits=fits)
-        touched = touched_values(old_dates.select(partition_col)
-                                 .unionByName(updates.select(partition_col)), partition_col)
+        landing = landing.unionByName(old_dates.select(partition_col,
+                                                       F.lit(False).alias("_lands")))
+    tagged = [(r[0], r[1]) for r in landing.distinct().collect()]   # bounded: dates x 2
+    touched = sorted({d for d, _ in tagged})
+    lands = {d for d, t in tagged if t}
     scope = base.filter(F.col(partition_col).isin(touched))
     # NULL keys never match: they bypass the anti-join instead of all hashing
     # into one shuffle partition.
     kept = (semi_join_keys(scope.filter(F.col(key).isNotNull()), new_keys, key, anti=True,
                            fits=fits)
             .unionByName(scope.filter(F.col(key).isNull())))
-    return rewrite_partitions(spark, path, kept.unionByName(updates), touched, partition_col, fmt)
+    return rewrite_partitions(spark, path, kept.unionByName(updates), touched, partition_col, fmt,
+                              may_empty=[d for d in touched if d not in lands])
 
 
 def erase(spark: SparkSession, path: str, subjects: DataFrame, subject_col: str = "user_id",
