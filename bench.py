@@ -41,7 +41,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     gen_rows = int(os.environ.get("BENCH_GEN_ROWS", "10000000"))
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName("cardrisk-bench")
-               .config("spark.sql.shuffle.partitions", str(max(8, cpus * 2)))
+               .config("spark.sql.shuffle.partitions", str(max(8, cpus * 8)))   # AQE coalesces
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
