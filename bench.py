@@ -122,9 +122,9 @@ def main() -> None:
         joins.join_dimension(customer, nation, "c_nationkey")[0].groupBy("n_name").count()))
 
     # -- A/B (B4): the same query on two plans -----------------------------------------------
-    from cardrisk.plans.catalog import _lineitem_supplier, lineitem_by_supplier_nation
+    from cardrisk.plans.catalog import lineitem_supplier, lineitem_by_supplier_nation
     from cardrisk.plans.timing import ab_compare
-    lineitem, supplier = _lineitem_supplier(spark, sf_dir)
+    lineitem, supplier = lineitem_supplier(spark, sf_dir)
     ab = ab_compare(
         "join_sort_merge", lambda: lineitem_by_supplier_nation(
             joins.join_merge(lineitem, supplier, "suppkey")),

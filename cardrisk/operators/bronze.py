@@ -85,12 +85,13 @@ def ingest_bronze(spark: SparkSession, raw_path: str, bronze_path: str, schema:
 
 def read_bronze(spark: SparkSession, bronze_path: str, fmt: str = "parquet",
                 status: str = ACCEPTED) -> DataFrame:
-    """Accepted Bronze rows (or the quarantine with ``status='rejected'``).
+    """Accepted Bronze rows, or the quarantine with ``status='rejected'``
+    (which keeps ``_reject_reason`` and the raw line in ``_corrupt_record``).
 
     ``_status`` is a partition column, so the filter prunes directories.
     """
     df = read_layer(spark, bronze_path, fmt).filter(F.col(STATUS_COL) == F.lit(status))
-    drop = [STATUS_COL, REASON_COL] + ([CORRUPT_COL] if status == ACCEPTED else [])
+    drop = [STATUS_COL] + ([REASON_COL, CORRUPT_COL] if status == ACCEPTED else [])
     return df.drop(*[c for c in drop if c in df.columns])
 
 

@@ -226,6 +226,19 @@ def q_bronze_rejects(spark, sf_dir):
     return bronze_ops.reject_counts(raw)
 
 
+@register("bronze_quarantine")
+def q_bronze_quarantine(spark, sf_dir):
+    """The quarantine partition of Bronze after ingesting the raw drop: the
+    reject reason and the fields Spark could parse (a truncated line parses
+    to NULLs, a wrong-typed line keeps its other fields)."""
+    raw = json_drop(spark, sf_dir)
+    bronze = scratch_path(spark, "bronze")
+    bronze_ops.ingest_bronze(spark, raw, bronze, TX_RAW_SCHEMA)
+    rejected = bronze_ops.read_bronze(spark, bronze, status=bronze_ops.REJECTED)
+    return rejected.select(F.col(bronze_ops.REASON_COL).alias("reason"), "transaction_id",
+                           "user_id", "amount", DATE_COL, "merchant")
+
+
 @register("bronze_stream_ingest")
 def q_bronze_stream(spark, sf_dir):
     raw = json_drop(spark, sf_dir)
@@ -283,7 +296,7 @@ def lineitem_by_supplier_nation(joined: DataFrame) -> DataFrame:
                   .alias("revenue")))
 
 
-def _lineitem_supplier(spark, sf_dir):
+def lineitem_supplier(spark, sf_dir):
     lineitem = load_table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("suppkey"), "l_quantity", "l_extendedprice")
     supplier = load_table(spark, sf_dir, "supplier").select(
@@ -295,7 +308,7 @@ def _lineitem_supplier(spark, sf_dir):
 def q_join_fact_dim(spark, sf_dir):
     """J1 at fact scale: lineitem joined with the supplier dimension (broadcast
     only behind the size check), revenue per supplier nation."""
-    lineitem, supplier = _lineitem_supplier(spark, sf_dir)
+    lineitem, supplier = lineitem_supplier(spark, sf_dir)
     joined, _ = joins.join_dimension(lineitem, supplier, "suppkey")
     return lineitem_by_supplier_nation(joined)
 

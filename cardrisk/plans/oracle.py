@@ -223,6 +223,18 @@ ORACLE_SQL["bronze_rejects"] = _q(
     f"SELECT reason, COUNT(*) AS row_count FROM (SELECT {_REASON} AS reason FROM transactions) r "
     "WHERE reason IS NOT NULL GROUP BY reason")
 
+_TRUNC = "merchant = 'merchant_11'"
+ORACLE_SQL["bronze_quarantine"] = _q(f"""
+SELECT reason,
+       CASE WHEN {_TRUNC} THEN NULL ELSE transaction_id END AS transaction_id,
+       CASE WHEN {_TRUNC} THEN NULL ELSE user_id END AS user_id,
+       CASE WHEN {_TRUNC} OR merchant = 'merchant_7' THEN NULL
+            ELSE CAST(amount AS DOUBLE) END AS amount,
+       CASE WHEN {_TRUNC} THEN NULL ELSE transaction_date END AS transaction_date,
+       CASE WHEN {_TRUNC} THEN NULL ELSE merchant END AS merchant
+FROM (SELECT *, {_REASON} AS reason FROM transactions) t
+WHERE reason IS NOT NULL""")
+
 ORACLE_SQL["bronze_stream_ingest"] = _q(
     "SELECT transaction_id, user_id, card, CAST(amount AS DOUBLE) AS amount, transaction_date, "
     "event_ts, merchant, merchant_category, currency, is_fraud_suspect FROM transactions "
