@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.readers import latest_partition_value
+
 REPORTS = {
     # query 1: top 10 user-days by transactions
     "top_user_days": """
@@ -68,5 +70,12 @@ def report_sql(name: str, silver: str = "silver_transactions", gold: str = "gold
 
 def run_report(spark: SparkSession, name: str, silver: str = "silver_transactions",
                gold: str = "gold_risk_profile", as_of: str | None = None) -> DataFrame:
-    """Run report ``name`` with ``spark.sql``."""
+    """Run report ``name`` with ``spark.sql``.
+
+    Without ``as_of`` the trailing window is anchored on the newest Silver
+    date, read from the catalog's partition list when Silver is a catalog
+    table (no file is opened), else with a scalar subquery.
+    """
+    if as_of is None and "{as_of}" in REPORTS[name]:
+        as_of = latest_partition_value(spark, silver, "transaction_date")
     return spark.sql(report_sql(name, silver, gold, as_of))

@@ -111,6 +111,20 @@ def sync_partitions(spark: SparkSession, name: str, partition_col: str | None =
     spark.sql(f"REFRESH TABLE {name}")
 
 
+def latest_partition_value(spark: SparkSession, name: str, partition_col: str):
+    """The greatest value of ``partition_col`` among the catalog partitions of
+    table ``name`` (metadata only: no data file is opened), or None when the
+    table has no tracked partitions (e.g. a temp view)."""
+    try:
+        rows = spark.sql(f"SHOW PARTITIONS {name}").collect()   # one row per partition
+    except Exception:  # noqa: BLE001 - views and unpartitioned tables have none
+        return None
+    prefix = f"{partition_col}="
+    values = [part.split("=", 1)[1] for r in rows for part in r[0].split("/")
+              if part.startswith(prefix)]
+    return max(values) if values else None
+
+
 def register_views(spark: SparkSession, views: Mapping[str, DataFrame]) -> None:
     """Expose DataFrames to SQL by catalog name (temp views)."""
     for name, df in views.items():

@@ -38,3 +38,15 @@ def test_sql_reports_equal_dataframe_reports(spark):
         got = run_report(spark, name, names["silver"], names["gold"])
         assert got.columns == df.columns, name
         assert _rows(got) == _rows(df), name
+
+
+def test_newest_date_comes_from_catalog_partitions(spark):
+    from cardrisk.sources.readers import latest_partition_value
+    silver_df = catalog.silver(spark, SF001)
+    path = scratch_path(spark, "silver")
+    write_layer(silver_df, path, partition_by=[DATE_COL])
+    name = register_table(spark, f"silver_{path.rsplit('-', 1)[-1]}", path,
+                          partition_by=[DATE_COL], schema=silver_df.schema)
+    assert latest_partition_value(spark, name, DATE_COL) == "2024-01-30"
+    silver_df.createOrReplaceTempView("silver_view_for_partitions")
+    assert latest_partition_value(spark, "silver_view_for_partitions", DATE_COL) is None
