@@ -116,3 +116,19 @@ def test_session_factory_reuses_active_session(spark):
     assert get_spark_session("other-app") is spark
     assert shuffle_partitions_for(4_800 * 1024 * 1024) == 32   # 4.8 GB / 150 MB
     assert shuffle_partitions_for(0) == 1
+
+
+def test_small_helpers(spark):
+    from cardrisk.operators.caching import cache_and_count
+    from cardrisk.operators.reports import preview
+    from cardrisk.sources.readers import run_sql
+    df = spark.range(100)
+    assert preview(df, 7).count() == 7
+    persisted, n = cache_and_count(df.filter("id % 2 = 0"))
+    try:
+        assert n == 50 and persisted.is_cached
+    finally:
+        persisted.unpersist()
+    out = run_sql(spark, "SELECT COUNT(*) AS n FROM helper_view WHERE id < 10",
+                  {"helper_view": df}).first()
+    assert out.n == 10
