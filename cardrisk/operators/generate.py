@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import (hash_int, hash_normal, hash_uuid, pick, pick_weighted,
                                  pool_label)
+from ..sources.readers import id_range
 
 # ---------------------------------------------------------------------------
 # Fixed values of the reference's generators.
@@ -174,8 +175,8 @@ def generate_demo(ids: DataFrame, profile: DemoProfile = DemoProfile()) -> DataF
 
 
 def generate(spark: SparkSession, profile, n: int, partitions: int | None = None) -> DataFrame:
-    """Generate ``n`` rows of ``profile`` from ``spark.range(n)``."""
-    ids = spark.range(0, n, 1, partitions)
+    """Generate ``n`` rows of ``profile`` from ``spark.range(n)``."""
+    ids = id_range(spark, n, partitions)
     if isinstance(profile, P2Profile):
         return generate_p2(ids, profile)
     if isinstance(profile, P3Profile):

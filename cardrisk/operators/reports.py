@@ -20,7 +20,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import pct
+from ..functions.numeric import pct, round_money
 from ..schemas import DATE_COL
 
 GOLD_REPORT_COLUMNS = ("user_id", DATE_COL, "tx_count", "daily_total", "is_high_risk")
@@ -61,7 +61,7 @@ def daily_volume(silver: DataFrame, days: int = 7,
     return (silver.filter(F.col(DATE_COL) >= F.date_sub(anchor, days))
             .groupBy(DATE_COL)
             .agg(F.count(F.lit(1)).alias("total_transacciones"),
-                 F.round(F.sum("amount"), 2).cast("double").alias("monto_total"))
+                 round_money(F.sum("amount")).alias("monto_total"))
             .orderBy(F.col(DATE_COL).desc()))
 
 
@@ -84,7 +84,7 @@ def currency_mix(silver: DataFrame) -> DataFrame:
     """A4 + O5 (query 5): transactions and rounded mean amount per currency."""
     return (silver.groupBy("currency")
             .agg(F.count(F.lit(1)).alias("cantidad"),
-                 F.round(F.avg("amount"), 2).cast("double").alias("monto_promedio"))
+                 round_money(F.avg("amount")).alias("monto_promedio"))
             .orderBy(F.col("cantidad").desc(), F.col("currency").asc()))
 
 

@@ -31,3 +31,16 @@ def test_phase3_entry_points(spark):
                      timestamp_format="yyyy-MM-dd'T'HH:mm:ss")
     out = api.run_transformations(spark, raw, scratch_path(spark, "p3api"))
     assert out["bronze_rows"] == 5_000 and out["silver_rows"] == 5_000 - 5_000 // 50
+
+
+def test_run_ingestion_and_p3_silver(spark):
+    from cardrisk.operators import bronze, silver
+    raw, out = scratch_path(spark, "p3raw"), scratch_path(spark, "p3bronze")
+    write_json_lines(gen.generate(spark, gen.P3Profile(), 2_000, 2), raw,
+                     timestamp_format="yyyy-MM-dd'T'HH:mm:ss")
+    api.run_ingestion(spark, raw, out)
+    accepted = bronze.read_bronze(spark, out)
+    assert accepted.count() == 2_000
+    sv = silver.to_silver_p3(accepted)
+    assert "card" not in sv.columns and sv.count() == 2_000 - 2_000 // 50
+    assert sv.filter(~F.col("card_masked").rlike("^[0-9]{4}-XXXX-XXXX-[0-9]{4}$")).count() == 0
