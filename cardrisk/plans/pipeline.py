@@ -1,4 +1,11 @@
-"""Whole pipelines in stage order.
+"""The layers in stage order.
+
+* ``run_pipeline``: a full build, raw JSON -> Bronze -> Silver -> Gold.
+* ``run_batch`` / ``process_batch``: one increment through every layer,
+  rewriting only the date partitions it touches (also the body of the
+  streaming ``foreachBatch``).
+* ``erase_subjects``: remove users from Silver and Gold.
+* ``run_pipeline_p2``: the phase-2 flow (generate -> Bronze -> Silver -> Gold).
 
 Each stage reads what the previous one wrote (storage is the hand-over, as
 between the reference's jobs) and an exception stops the run at the
