@@ -34,8 +34,13 @@ QUERIES: dict[str, QueryFn] = {}
 
 
 def register(name: str) -> Callable[[QueryFn], QueryFn]:
+    """Register a query; its result leaves through ``oracle_types``."""
     def wrap(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return oracle_types(fn(spark, sf_dir))
+        run.__name__ = run.__qualname__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return wrap
 
@@ -48,6 +53,18 @@ def decimals_as_double(df: DataFrame) -> DataFrame:
         for f in df.schema.fields])
 
 
+def oracle_types(df: DataFrame) -> DataFrame:
+    """Output normalisation for the comparison with the SQL oracle: DECIMAL
+    -> DOUBLE (after exact sums) and DATE -> TIMESTAMP_NTZ at midnight (the
+    driver tables carry their dates as timestamps, so results do too).
+    The library functions themselves keep DECIMAL money and DATE columns."""
+    return df.select(*[
+        F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
+        else F.col(f.name).cast("timestamp_ntz").alias(f.name)
+        if isinstance(f.dataType, T.DateType) else F.col(f.name)
+        for f in df.schema.fields])
+
+
 # -- shared plans -----------------------------------------------------------
 
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,8 +252,11 @@ def q_bronze_quarantine(spark, sf_dir):
     bronze = scratch_path(spark, "bronze")
     bronze_ops.ingest_bronze(spark, raw, bronze, TX_RAW_SCHEMA)
     rejected = bronze_ops.read_bronze(spark, bronze, status=bronze_ops.REJECTED)
+    # user_id is NULL on unparseable lines; it leaves as text so a NULL id
+    # does not turn the whole column into floats in a pandas comparison
     return rejected.select(F.col(bronze_ops.REASON_COL).alias("reason"), "transaction_id",
-                           "user_id", "amount", DATE_COL, "merchant")
+                           F.col("user_id").cast("string").alias("user_id"), "amount", DATE_COL,
+                           "merchant")
 
 
 @register("bronze_stream_ingest")

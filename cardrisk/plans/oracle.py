@@ -227,7 +227,7 @@ _TRUNC = "merchant = 'merchant_11'"
 ORACLE_SQL["bronze_quarantine"] = _q(f"""
 SELECT reason,
        CASE WHEN {_TRUNC} THEN NULL ELSE transaction_id END AS transaction_id,
-       CASE WHEN {_TRUNC} THEN NULL ELSE user_id END AS user_id,
+       CASE WHEN {_TRUNC} THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
        CASE WHEN {_TRUNC} OR merchant = 'merchant_7' THEN NULL
             ELSE CAST(amount AS DOUBLE) END AS amount,
        CASE WHEN {_TRUNC} THEN NULL ELSE transaction_date END AS transaction_date,
@@ -303,3 +303,19 @@ ORACLE_SQL["join_fact_dim"] = (
 for _name in ("top_user_days", "high_risk_list", "daily_volume_7d", "risk_global",
               "currency_mix", "layer_counts"):
     ORACLE_SQL[f"sql_{_name}"] = ORACLE_SQL[_name]
+
+
+# Output normalisation, as on the Spark side (``catalog.oracle_types``): the
+# only DATE column of any result, ``transaction_date``, leaves as a midnight
+# TIMESTAMP.
+DATE_OUTPUTS = (
+    "silver_affix_mask", "silver_regex_mask", "silver_strict_mask", "gold_risk_profile",
+    "gold_daily_features", "top_user_days", "top5_user_days", "high_risk_list",
+    "daily_volume_7d", "generate_p2", "generate_p3", "generate_demo", "bronze_quarantine",
+    "bronze_stream_ingest", "partitioned_roundtrip", "incremental_day", "incremental_gold",
+    "upsert_transactions", "erase_user", "as_of_batch", "latest_as_of", "published_gold",
+    "incremental_batches", "stream_file_drops", "sql_top_user_days", "sql_high_risk_list",
+    "sql_daily_volume_7d")
+for _name in DATE_OUTPUTS:
+    ORACLE_SQL[_name] = ("SELECT * REPLACE (CAST(transaction_date AS TIMESTAMP) AS transaction_date) "
+                         f"FROM ({ORACLE_SQL[_name]}) AS result")

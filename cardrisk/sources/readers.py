@@ -116,9 +116,12 @@ def latest_partition_value(spark: SparkSession, name: str, partition_col: str):
     table ``name`` (metadata only: no data file is opened), or None when the
     table has no tracked partitions (e.g. a temp view)."""
     try:
-        rows = spark.sql(f"SHOW PARTITIONS {name}").collect()   # one row per partition
-    except Exception:  # noqa: BLE001 - views and unpartitioned tables have none
+        columns = spark.catalog.listColumns(name)
+    except Exception:  # noqa: BLE001 - unknown name
         return None
+    if not any(c.isPartition and c.name == partition_col for c in columns):
+        return None     # a view or a table without that partition column
+    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()   # one row per partition
     prefix = f"{partition_col}="
     values = [part.split("=", 1)[1] for r in rows for part in r[0].split("/")
               if part.startswith(prefix)]
