@@ -8,7 +8,7 @@ Commands
   run       --raw PATH --root PATH [--tables]               Bronze -> Silver -> Gold
   batch     --raw PATH --root PATH --batch-id N [--tables]  one increment through all layers
   stream    --raw DIR --root PATH --checkpoint PATH         new files since the last run
-  report    NAME --silver TABLE --gold TABLE [--as-of D]    one of the six SQL reports
+  report    NAME [--root PATH] [--silver T --gold T] [--as-of D]   one of the six SQL reports
   erase     --root PATH --users ID [ID ...]                 remove users from Silver and Gold
 """
 
@@ -60,6 +60,9 @@ def parser() -> argparse.ArgumentParser:
 
     r = sub.add_parser("report")
     r.add_argument("name", choices=sorted(REPORTS))
+    r.add_argument("--root", default=None,
+                   help="register Silver and Gold under ROOT first (a new application "
+                        "starts with an empty session catalog)")
     r.add_argument("--silver", default=TABLES["silver"])
     r.add_argument("--gold", default=TABLES["gold"])
     r.add_argument("--as-of", default=None)
@@ -97,6 +100,12 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         from .streaming.filedrop import run_stream_pipeline
         out["batches"] = run_stream_pipeline(spark, _config(args), args.raw, args.checkpoint)
     elif args.command == "report":
+        if args.root:
+            from .schemas import DATE_COL
+            from .sources.readers import register_table
+            cfg = PipelineConfig(raw_path="", root=args.root, fmt=args.format)
+            for layer, name in (("silver", args.silver), ("gold", args.gold)):
+                register_table(spark, name, cfg.path(layer), args.format, [DATE_COL])
         rows = run_report(spark, args.name, args.silver, args.gold, args.as_of).limit(args.rows)
         out["rows"] = [r.asDict() for r in rows.collect()]
     elif args.command == "erase":
