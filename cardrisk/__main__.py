@@ -1,6 +1,7 @@
 """Command line for the jobs: ``python -m cardrisk <command> ...`` locally, or
-``spark-submit cardrisk/__main__.py <command> ...`` on a cluster (the
-package on ``--py-files``; no code of it runs on the executors).
+``spark-submit --py-files cardrisk.zip jobs/run.py <command> ...`` on a
+cluster (only the driver imports the package; no code of it runs on the
+executors).
 
 Commands
   generate  --profile p2|p3|demo --rows N --out PATH       raw drop (JSON Lines; P2 as Parquet)
