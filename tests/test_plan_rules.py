@@ -1,0 +1,25 @@
+"""Structural rules over the executed plan of every registered query:
+no cross joins and no Python evaluation anywhere (all work stays in the JVM)."""
+
+import re
+
+from cardrisk.plans.timing import plan_text
+
+from conftest import SF001
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+             "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonMapInArrow",
+             "FlatMapCoGroupsInPandas", "AggregateInPandas", "WindowInPandas")
+
+
+def test_no_cross_joins_and_no_python_in_any_query(spark):
+    import __spark_entry__ as entry
+    offenders = {}
+    for name, fn in entry.queries().items():
+        df = fn(spark, SF001)
+        df.collect()                      # final (AQE) plan
+        text = plan_text(df)
+        found = [op for op in FORBIDDEN if re.search(rf"\b{op}\b", text)]
+        if found:
+            offenders[name] = found
+    assert not offenders
