@@ -24,9 +24,32 @@ def test_every_query_has_oracle_or_is_declared_rows_only():
     assert rows_only == {"bronze_lineage"}
 
 
-@pytest.mark.parametrize("sf", [SF001])
-def test_queries_match_oracle(spark, sf):
+# Operators that must not appear in any registered query's plan: no cross
+# joins, no Python evaluation (all work stays in the JVM).
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+             "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonMapInArrow",
+             "FlatMapCoGroupsInPandas", "AggregateInPandas", "WindowInPandas")
+
+
+@pytest.fixture(scope="module")
+def oracle_run(spark):
+    """Every registered query once at sf0.001: oracle comparison + final plans."""
     from compare_oracle import compare
-    res = compare(spark, sf, verbose=False)
-    bad = {k: v for k, v in res.items() if v[0] == "MISMATCH"}
+    plans = {}
+    return compare(spark, SF001, verbose=False, plans=plans), plans
+
+
+def test_queries_match_oracle(oracle_run):
+    results, _ = oracle_run
+    bad = {k: v for k, v in results.items() if v[0] == "MISMATCH"}
     assert not bad
+
+
+def test_no_cross_joins_and_no_python_in_any_query(oracle_run):
+    import re
+    _, plans = oracle_run
+    offenders = {name: [op for op in FORBIDDEN if re.search(rf"\b{op}\b", text)]
+                 for name, text in plans.items()}
+    import __spark_entry__ as entry
+    assert set(plans) == set(entry.queries())
+    assert not {k: v for k, v in offenders.items() if v}
