@@ -35,7 +35,8 @@ def _config(args) -> PipelineConfig:
 
 
 def parser() -> argparse.ArgumentParser:
-    p = argparse.ArgumentParser(prog="cardrisk", description=__doc__.split("\n")[0])
+    p = argparse.ArgumentParser(prog="cardrisk",
+                                description="Run the cardrisk layer, report and maintenance jobs.")
     p.add_argument("--format", default="parquet", help="table format of the layers")
     sub = p.add_subparsers(dest="command", required=True)
 
