@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, near_dedup
-from .common import load
+from ..session import scratch_path
+from . import (decontaminate, fingerprints, language, line_dedup, mixing, near_dedup, quality, toxicity, urls,
+               warc)
+from .common import load, staged
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +31,81 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(load(spark, sf_dir, "documents"), n=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op3_line_dedup, op4_minhash_near_dedup)}
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, and their likeness."""
+    rows = fingerprints.next_texts(load(spark, sf_dir, "documents"))
+    rows = rows.withColumn("edited", fingerprints.edited("text", "next_text"))
+    for text in ("text", "edited", "next_text"):
+        rows = fingerprints.with_fingerprint(rows, text, f"{text}_fp")
+    fp, changed, after = (F.col(f"{c}_fp") for c in ("text", "edited", "next_text"))
+    return rows.select("doc_id", F.char_length("text").cast("long").alias("n_chars"),
+                       F.sha2("edited", 256).alias("edited_sha256"),
+                       fingerprints.as_text(fp).alias("fingerprint"),
+                       fingerprints.as_text(changed).alias("edited_fingerprint"),
+                       fingerprints.likeness(fp, changed).alias("near_edited"),
+                       fingerprints.likeness(fp, after).alias("near_next"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through an ARC archive, the converter and a WARC archive."""
+    arc, out = scratch_path(spark, "op5-arc"), scratch_path(spark, "op5-warc")
+    warc.write_arc(warc.arc_rows(load(spark, sf_dir, "pages")), arc)
+    warc.write_warc(warc.read_arc(spark, arc), out, F.col("page").cast("long"))
+    rows = warc.read_warc(spark, out).select(
+        "record", F.expr("try_cast(page as long)").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("type").alias("record_type"), F.col("refers_to").alias("to"))
+    rows = staged(rows, "op5-records")
+    first = rows.where("record_type <> 'revisit'").groupBy(F.col("record").alias("to")).agg(
+        F.min("page_id").alias("refers_to"))
+    return rows.join(first, "to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                                 "refers_to")
+
+
+def _remainder(by: int):
+    return F.crc32(F.col("doc_id").cast("string")) % by
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from four fifths of the labels."""
+    docs = load(spark, sf_dir, "documents")
+    got = quality.scored(docs, quality.train(docs, load(spark, sf_dir, "labels").where(_remainder(5) != 0)))
+    return got.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, sampling probability and decision of every document."""
+    got = mixing.mixed(load(spark, sf_dir, "documents"))
+    return got.select("doc_id", "source", "lang", "topic", "n_tokens", "mix_weight", "mix_probability", "mix_kept")
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page."""
+    got = urls.judged(load(spark, sf_dir, "pages").select("page_id", "url"))
+    return got.select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from two thirds of the labels."""
+    docs = load(spark, sf_dir, "documents")
+    model = toxicity.train(docs, load(spark, sf_dir, "labels").where(_remainder(3) != 1))
+    got = toxicity.scored(docs, model)
+    return got.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_hits",
+                      F.array_join("terms", ",").alias("terms"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
+    docs = load(spark, sf_dir, "documents")
+    got = language.predict(docs, language.train(docs.where(_remainder(5) != 0)))
+    return got.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score",
+                      F.array_join("lang_set", ",").alias("lang_set"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_benchmark_decontamination, op2_document_fingerprints, op3_line_dedup, op4_minhash_near_dedup, op5_warc,
+    op6_quality_classifier, op7_mixing, op8_url_filters, op9_toxicity, op10_language_id)}
 
 _WORDS5 = """list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: x <> '')"""
 
@@ -62,4 +138,12 @@ WITH RECURSIVE
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
        coalesce(component_id, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.id = d.doc_id WHERE d.doc_id IS NOT NULL""",
+    "op5_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+     d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+     f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)""",
 }
