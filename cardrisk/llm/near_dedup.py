@@ -2,7 +2,7 @@
 
 Method.  ``sketch`` gives every document the size of its shingle set, the band
 keys of a ``BANDS x ROWS`` MinHash, and an odd sketch: each of the MinHash
-samples toggles one bit of a ``BITS``-bit parity bitmap, so that the population
+samples toggles one bit of a parity bitmap, so that the population
 count of the XOR of two bitmaps estimates how many samples differ.  Documents
 that share a band key are candidates; the odd sketches and the set sizes drop
 the pairs that cannot reach the threshold; what is left is confirmed on the full
@@ -10,10 +10,10 @@ shingle sets.  Components of the confirmed links come from min-label rounds.
 
 Scale.  Documents with the same shingle set (128-bit set hash) are one class
 before any pairing, so a group of exact copies costs one row.  In a bucket only
-stars are emitted first (every member against one centre), and components are
-formed; only members of *different* components in a bucket are then paired,
-inside the join, with the odd-sketch test as its condition.  A bucket of near
-copies is thus joined up by linear many pairs, and no candidate is given up.
+stars are emitted first (every member against two centres), and components are
+formed; members of *different* components in a bucket are then paired, inside the
+join, with an exact overlap bound and a finer odd sketch in its condition.  A bucket
+of near copies is thus joined up by linearly many pairs, and no candidate is given up.
 
 Recall.  With 24 bands of 4 rows a pair at similarity 0.8 is missed with
 probability (1 - 0.8^4)^24 = 3e-6; the sketch test keeps a true pair unless its
@@ -34,22 +34,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import distinct, listed, mix64, shingles, slices, staged, words
+from .common import broadcast_if_small, distinct, listed, mix64, shingles, slices, staged, words
 
 BANDS, ROWS = 24, 4
-BITS = 256
-_SAMPLES = BANDS * ROWS
-_SEED = mix64(np.arange(1, _SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+# Odd sketches: (MinHash samples, bits, most bits in the XOR of a pair).  Of 96
+# samples, a pair at 0.8 differs in 19 on average, which sets 33 bits of the XOR
+# (deviation 6.5); of 512, in 102, which sets 186 (deviation 16).  Pairs over the
+# count, 5.5 deviations more, are dropped.
+ROUGH = (BANDS * ROWS, 256, 70)
+FINE = (512, 2048, 273)
+_SEED = mix64(np.arange(1, FINE[0] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _MULT = mix64(_SEED + np.uint64(7)) | np.uint64(1)
-# Of 96 samples, a pair at 0.8 differs in 19 on average, which sets 33 bits of the
-# XOR (deviation 6.5).  Pairs over this count, 5.5 deviations more, are dropped.
-MAX_BITS = 70
 
 _SKETCH_SCHEMA = ("doc_id long, n_shingles long, set_a long, set_b long, "
                   "bands array<long>, odd array<long>")
 
 
-def _sketches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], n: int, kind: tuple = ROUGH) -> Iterator[pa.RecordBatch]:
+    samples, bits, _ = kind
     for batch in batches:
         ids = batch.column(0)
         for row0, data, offs in slices(batch.column(1)):
@@ -61,22 +63,23 @@ def _sketches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
             begin = np.searchsorted(rows, used)
             a, b = np.zeros(k, np.uint64), np.zeros(k, np.uint64)
             bands = np.zeros((len(used), BANDS), np.uint64)
-            odd = np.zeros((len(used), BITS // 64), np.uint64)
+            odd = np.zeros((len(used), bits // 64), np.uint64)
             if len(used):
                 a[used] = np.add.reduceat(mix64(sh ^ np.uint64(0x1234567)), begin)
                 b[used] = np.add.reduceat(mix64(sh + np.uint64(0x7654321)), begin)
                 at = np.arange(len(used))
-                for i in range(_SAMPLES):
+                for i in range(samples):
                     low = np.minimum.reduceat((sh ^ _SEED[i]) * _MULT[i], begin)
                     band = i // ROWS
-                    bands[:, band] = mix64(bands[:, band] + low + np.uint64(band + 1))
-                    bit = mix64(low + _SEED[i]) % np.uint64(BITS)
+                    if band < BANDS:
+                        bands[:, band] = mix64(bands[:, band] + low + np.uint64(band + 1))
+                    bit = mix64(low + _SEED[i]) % np.uint64(bits)
                     odd[at, (bit // np.uint64(64)).astype(np.int64)] ^= np.uint64(1) << (bit % np.uint64(64))
             yield pa.RecordBatch.from_arrays([
                 ids.slice(row0, k).cast(pa.int64()), pa.array(size.astype(np.int64)),
                 pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
                 listed(bands.view(np.int64).ravel(), np.repeat(used, BANDS), k, pa.int64()),
-                listed(odd.view(np.int64).ravel(), np.repeat(used, BITS // 64), k, pa.int64()),
+                listed(odd.view(np.int64).ravel(), np.repeat(used, bits // 64), k, pa.int64()),
             ], names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "odd"])
 
 
@@ -98,13 +101,19 @@ def sketch(docs: DataFrame, n: int = 5) -> DataFrame:
     return rows.mapInArrow(lambda it: _sketches(it, n), _SKETCH_SCHEMA)
 
 
+def shingle_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(id, s): the distinct shingle hashes of the documents in ``ids`` (staged, one long)."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = rows.join(broadcast_if_small(ids), rows["doc_id"] == ids["id"], "left_semi")
+    return rows.mapInArrow(lambda it: _sets(it, n), "id long, s array<long>")
+
+
 def _confirm(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Pairs (a, b, na, nb) whose full shingle sets reach ``percent``; the sizes
     are known, so only the intersection has to be counted."""
     pairs = staged(pairs, "op4-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    full = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
-    full = staged(full.mapInArrow(lambda it: _sets(it, n), "id long, s array<long>"), "op4-sets")
+    ids = staged(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "op4-ids")
+    full = staged(shingle_sets(docs, ids, n), "op4-sets")
     both = (pairs.join(full.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
             .join(full.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -119,40 +128,78 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """
     edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                    .where("u <> v").distinct(), "op4-edges")
+    state = None
     while True:
-        both = edges.union(edges.select(F.col("v"), F.col("u")))
+        both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        large = staged(large, "op4-large")
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-                 .union(low).distinct())
-        small = staged(small, "op4-small")
-        changed = small.exceptAll(edges).limit(1).count() + edges.exceptAll(small).limit(1).count()
-        edges = small
-        if not changed:
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        edges = staged(small.union(low).distinct(), "op4-edges")
+        before, state = state, edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        if state == before:
             break
     return nodes.join(edges.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left").select(
         "id", F.coalesce("comp", "id").alias("comp"))
 
 
-def _may_link(a: str, b: str, percent: int):
+def _may_link(a: str, b: str, percent: int, kind: tuple = ROUGH):
     """Size bound and odd-sketch test of a pair given as two struct prefixes."""
     small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    bits = sum((F.bit_count(F.col(f"{a}.odd")[i].bitwiseXOR(F.col(f"{b}.odd")[i])) for i in range(BITS // 64)),
+    bits = sum((F.bit_count(F.col(f"{a}.odd")[i].bitwiseXOR(F.col(f"{b}.odd")[i])) for i in range(kind[1] // 64)),
                F.lit(0))
-    return (small * 100 >= large * percent) & (bits <= MAX_BITS)
+    return (small * 100 >= large * percent) & (bits <= kind[2])
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """(a, b, na, nb) of the structs x and y, each pair once."""
+    return rows.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"),
+                       F.expr("if(x.id < y.id, x.n, y.n)").alias("na"),
+                       F.expr("if(x.id < y.id, y.n, x.n)").alias("nb")).distinct()
 
 
-def _stars(members: DataFrame, order, percent: int) -> DataFrame:
-    """Every member of a bucket against the bucket's centre (smallest ``order``),
-    if their components differ."""
-    centre = members.groupBy("key").agg(F.min_by(F.struct("id", "n", "odd", "comp"), order).alias("c"))
-    pair = members.select("key", F.struct("id", "n", "odd", "comp").alias("m")).join(centre, "key")
-    pair = pair.where("c.comp <> m.comp").where(_may_link("c", "m", percent))
-    return pair.select(F.least("c.id", "m.id").alias("a"), F.greatest("c.id", "m.id").alias("b"),
-                       F.expr("if(c.id < m.id, c.n, m.n)").alias("na"),
-                       F.expr("if(c.id < m.id, m.n, c.n)").alias("nb")).distinct()
+def _stars(members: DataFrame, percent: int) -> DataFrame:
+    """Every member of a bucket against two centres: the smallest id and the
+    smallest hash of (id, bucket), which differs from bucket to bucket."""
+    side = F.struct("id", "n", "odd")
+    centre = members.groupBy("key").agg(F.min_by(side, F.col("id")).alias("c1"),
+                                        F.min_by(side, F.xxhash64("id", "key")).alias("c2"))
+    centre = centre.select("key", F.explode(F.array("c1", "c2")).alias("x"))
+    pair = members.select("key", side.alias("y")).join(centre, "key")
+    return _pairs(pair.where("x.id <> y.id").where(_may_link("x", "y", percent)))
+
+
+def _rest(members: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs of different components that still can link, among the members of
+    buckets with more than one component.
+
+    A shingle that only one component has cannot join it to another; the others are
+    counted (``m`` of a set).  A pair's overlap is at most its smaller ``m``, which
+    leaves out most copies with edits of their own.  The rest get a finer odd sketch,
+    and a pair is emitted in its first common bucket only.
+    """
+    open_ = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    members = staged(members.join(open_.select("key"), "key").select("key", "band", "id", "n", "comp"), "op4-open")
+    info = staged(members.select("id", "n", "comp").dropDuplicates(["id"]), "op4-info")
+    rows = shingle_sets(docs, info.select("id"), n).join(broadcast_if_small(info), "id")
+    rows = staged(rows.select("id", "n", "comp", F.explode("s").alias("s")), "op4-rows")
+    crossing = rows.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    info = rows.join(crossing.select("s"), "s").groupBy("id", "n", "comp").agg(F.count("*").alias("m"))
+    info = staged(info.where(F.col("m") * 100 >= F.col("n") * percent), "op4-able")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    texts = texts.join(broadcast_if_small(info.select("id")), F.col("doc_id") == F.col("id"), "left_semi")
+    fine = texts.mapInArrow(lambda it: _sketches(it, n, FINE), _SKETCH_SCHEMA)
+    fine = staged(fine.select(F.col("doc_id").alias("id"), "bands", "odd").dropDuplicates(["id"]).join(info, "id"),
+                  "op4-fine")
+    side = members.select("key", "band", "id").join(
+        fine.select("id", F.struct("id", "n", "m", "comp", "odd", "bands").alias("x")), "id").drop("id")
+    mixed = side.groupBy("key").agg(F.min("x.comp").alias("lo"), F.max("x.comp").alias("hi")).where("lo < hi")
+    left = side.join(mixed.select("key"), "key")
+    right = left.select("key", F.col("x").alias("y"))
+    enough = F.expr(f"least(x.m, y.m) * {100 + percent} >= (x.n + y.n) * {percent}")
+    first = F.expr("array_position(zip_with(x.bands, y.bands, (p, q) -> p = q), true) = band + 1")
+    return _pairs(left.join(right, (left.key == right.key) & F.expr("x.id < y.id and x.comp <> y.comp")
+                            & enough & _may_link("x", "y", percent, FINE) & first))
 
 
 def classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -165,31 +212,14 @@ def classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             .agg(F.min("doc_id").alias("id"), F.any_value("bands").alias("bands"), F.any_value("odd").alias("odd")))
     reps = staged(reps.withColumnRenamed("n_shingles", "n"), "op4-reps")
     keys = reps.select("id", F.posexplode("bands").alias("band", "h")).select(
-        "id", F.xxhash64("band", "h").alias("key"))
-    shared = keys.groupBy("key").count().where("count > 1").select("key")
-    buckets = staged(keys.join(shared, "key"), "op4-buckets")
+        "id", "band", F.xxhash64("band", "h").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
+    buckets = staged(keys.join(shared, "key").join(reps.select("id", "n", "odd"), "id"), "op4-buckets")
     nodes = reps.select("id")
-    comp, links = nodes.select("id", F.col("id").alias("comp")), None
-    for round_ in range(3):
-        info = reps.select("id", "n", "odd").join(comp, "id")
-        members = buckets.join(info, "id")
-        if round_:
-            open_ = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(
-                "lo < hi").select("key")
-            members = members.join(open_, "key")
-        if round_ < 2:
-            order = F.col("id") if not round_ else F.xxhash64("id", "key")
-            pairs = _stars(members, order, percent)
-        else:
-            side = F.struct("id", "n", "odd", "comp")
-            left, right = members.select("key", side.alias("x")), members.select("key", side.alias("y"))
-            pairs = left.join(right, (left.key == right.key) & F.expr("x.id < y.id and x.comp <> y.comp")
-                              & _may_link("x", "y", percent))
-            pairs = pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"),
-                                 F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct()
-        found = staged(_confirm(pairs, docs, n, percent), "op4-links")
-        links = found if links is None else links.unionByName(found)
-        comp = staged(components(nodes, links), "op4-comp")
+    links = staged(_confirm(_stars(buckets, percent), docs, n, percent), "op4-links")
+    comp = staged(components(nodes, links), "op4-comp")
+    rest = _confirm(_rest(buckets.join(comp, "id"), docs, n, percent), docs, n, percent)
+    comp = staged(components(nodes, links.unionByName(rest)), "op4-comp")
     groups = reps.select("set_a", "set_b", F.col("n").alias("n_shingles"), "id").join(comp, "id").drop("id")
     out = sk.select("doc_id", "n_shingles", "set_a", "set_b").join(groups, ["set_a", "set_b", "n_shingles"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"))
