@@ -120,12 +120,18 @@ def spans(data: np.ndarray, offs: np.ndarray, sep: np.ndarray) -> tuple[np.ndarr
     return start, end, np.searchsorted(offs, start, "right") - 1
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Running sums of random byte values times powers, for ``span_hashes``."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _POW.upto(len(data)), out=sums[1:])
+    return sums
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
     """64-bit hash of each byte span: a polynomial of random byte values, from prefix sums."""
     if not len(start):
         return np.zeros(0, np.uint64)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _POW.upto(len(data)), out=sums[1:])
+    sums = prefix_sums(data) if sums is None else sums
     inv = _INV.upto(len(data) + 1)
     return mix64((sums[end] - sums[start]) * inv[start] + (end - start).astype(np.uint64))
 

@@ -1,7 +1,8 @@
 """Toxicity scores from a lexicon, with misspellings and context.
 
 Method.  The lexicon are the words that training documents labelled toxic use far
-more often than the others.  A lexicon trie is intersected with the Levenshtein
+more often than the others, counted by the distinct words before them, so that copies
+of one toxic document do not make all of its words terms.  A lexicon trie is intersected with the Levenshtein
 automaton of a text word (its states are the rows of the edit table, and a subtree
 is left as soon as no state is within the allowed edits), so misspelled terms are
 found: one edit for terms of ``FUZZY`` letters or more.  Every hit looks at a window of words around
@@ -29,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, span_hashes, spans
+from .common import prefix_sums, slices, span_hashes, spans
 from .language import fold
 from .quality import labelled_sample
 
 FUZZY = 5
 WINDOW = 8
-MIN_TOXIC = 4
-MIN_LOG_ODDS = 3.0
+MIN_TOXIC, MIN_SHARE = 4, 0.005  # a term's toxic contexts: at least so many, and this share of toxic documents
+MIN_LOG_ODDS = 2.5  # less one standard error
 CACHE = 1 << 19
 # Fixed cue words (lower case): reporting verbs and second-person words.
 REPORTING = ("said", "says", "called", "quote", "quoted", "wrote", "dit", "sagte", "dijo")
@@ -101,12 +102,15 @@ class Finder:
         self.trie = Trie(terms)
         self.long = [len(t) >= FUZZY for t in terms]
         raw = [t.encode() for t in terms]
-        sizes = {len(t) for t in raw}
-        self.sizes = (min(sizes, default=1) - 4, max(sizes, default=0) + 4)
         self.exact = self._hashes(raw)
-        fuzzy = [t for t, ok in zip(raw, self.long) if ok]
-        self.heads = self._by_size([t[:len(t) // 2] for t in fuzzy])
-        self.tails = self._by_size([t[len(t) // 2:] for t in fuzzy])
+        # One edit leaves the first or the last half of a term as it is: by (bytes of
+        # the term, bytes of the half, whether it is the first), the halves' hashes.
+        halves: dict[tuple[int, int, bool], list[bytes]] = {}
+        for t in (t for t, ok in zip(raw, self.long) if ok):
+            k = len(t) // 2
+            halves.setdefault((len(t), k, True), []).append(t[:k])
+            halves.setdefault((len(t), len(t) - k, False), []).append(t[k:])
+        self.halves = {k: self._hashes(v) for k, v in halves.items()}
         self.cache: dict[bytes, tuple[int, int] | None] = {}
 
     @staticmethod
@@ -115,9 +119,6 @@ class Finder:
         starts = ends - [len(p) for p in parts] if parts else ends
         return np.unique(span_hashes(np.frombuffer(b"".join(parts), np.uint8), starts, ends))
 
-    def _by_size(self, parts: list[bytes]) -> dict[int, np.ndarray]:
-        return {k: self._hashes([p for p in parts if len(p) == k]) for k in {len(p) for p in parts}}
-
     def _match(self, word: bytes) -> tuple[int, int] | None:
         if word not in self.cache:
             if len(self.cache) >= CACHE:
@@ -131,13 +132,13 @@ class Finder:
         """(row, term, misspelled, quoted, addressed) of the hits of a slice, by row."""
         low, start, end, row = tokens(data, offs)
         size = end - start
-        may = np.isin(span_hashes(low, start, end), self.exact)
-        near = (size >= max(1, self.sizes[0])) & (size <= self.sizes[1])
-        for parts, front in ((self.heads, True), (self.tails, False)):
-            for k, known in parts.items():
-                at = np.flatnonzero(near & (size >= k))
-                s, e = (start[at], start[at] + k) if front else (end[at] - k, end[at])
-                may[at] |= np.isin(span_hashes(low, s, e), known)
+        sums = prefix_sums(low)
+        may = np.isin(span_hashes(low, start, end, sums), self.exact)
+        for (length, k, front), known in self.halves.items():
+            at = np.flatnonzero(np.abs(size - length) <= 2)  # an edit is one or two bytes, seldom more
+            at = at[size[at] >= k]
+            s, e = (start[at], start[at] + k) if front else (end[at] - k, end[at])
+            may[at] |= np.isin(span_hashes(low, s, e, sums), known)
         out = []
         marks = np.cumsum(np.r_[0, low == _QUOTE]) if may.any() else None
         raw = low.tobytes()
@@ -196,16 +197,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, y, before) of the first occurrence of each word of a document;
+    ``before``: hash of the word before it (0 at the start)."""
     for batch in batches:
         y = np.array(batch.column(1))
         for row0, data, offs in slices(batch.column(0)):
             low, start, end, row = tokens(data, offs)
+            wh = span_hashes(low, start, end)
+            before = np.where(np.r_[-1, row[:-1]] == row, np.r_[np.uint64(0), wh[:-1]], np.uint64(0)) if len(row) else wh
+            order = np.lexsort((start, wh, row))
+            r, h = row[order], wh[order]
+            first = order[np.r_[True, (r[1:] != r[:-1]) | (h[1:] != h[:-1])]] if len(order) else order
             raw = low.tobytes()
-            seen = {(int(r), raw[s:e]) for r, s, e in zip(row, start, end)}
-            words = [w.decode("utf-8", "replace") for _, w in seen]
+            words = [raw[start[i]:end[i]].decode("utf-8", "replace") for i in first]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.string()), pa.array([int(y[row0 + r]) for r, _ in seen], pa.int64())],
-                names=["word", "y"])
+                [pa.array(words, pa.string()), pa.array(y[row0 + row[first]].astype(np.int64)),
+                 pa.array(before[first].view(np.int64))], names=["word", "y", "before"])
 
 
 def _hit_rows(terms: list[str]):
@@ -221,19 +228,21 @@ def _hit_rows(terms: list[str]):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = 20_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_train: int = 10_000) -> Model:
     """Lexicon, odds and weights from the labelled documents."""
     rows = labelled_sample(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), labels, "toxic",
                            max_train).persist()
     try:
         y = rows.select("doc_id", "y").orderBy("doc_id").toPandas()
         toxic, other = float((y["y"] == 1).sum()), float((y["y"] == 0).sum())
-        words = rows.select("text", "y").mapInArrow(_words, "word string, y long").groupBy("word").agg(
-            F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+        words = rows.select("text", "y").mapInArrow(_words, "word string, y long, before long")
+        words = words.groupBy("word", "before").agg(F.max("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+        words = words.groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
         odds = F.log((F.col("a") + 0.1) / (toxic + 0.2)) - F.log((F.col("b") + 0.1) / (other + 0.2))
-        # At most max_train / MIN_TOXIC times the words of a document; in practice a short list.
-        found = words.where((F.col("a") >= MIN_TOXIC) & (odds >= MIN_LOG_ODDS) & (F.char_length("word") > 2)).select(
-            "word").orderBy("word").toPandas()
+        sure = odds - F.sqrt(1 / (F.col("a") + 0.1) + 1 / (F.col("b") + 0.5))
+        # A short list: every term has MIN_SHARE of the sample's toxic documents.
+        found = words.where((F.col("a") >= max(MIN_TOXIC, MIN_SHARE * toxic)) & (sure >= MIN_LOG_ODDS)
+                            & (F.char_length("word") > 2)).select("word").orderBy("word").toPandas()
         terms = found["word"].tolist()
         hits = rows.select("doc_id", "text").mapInArrow(
             _hit_rows(terms), "doc_id long, term long, wrong long, quoted long, second long").toPandas()
