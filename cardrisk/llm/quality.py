@@ -153,7 +153,7 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 60, pair_rounds: int = 20, n
         bins: int = 32, coarse: int = 8, reg: float = 2.0) -> Model:
     """Cyclic boosting of single-feature tables, then of pair tables."""
     share = y.mean() if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         return Model(float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     d = x.shape[1]
     model = Model(float(np.log(share / (1 - share))), [_cut(x[:, j], bins) for j in range(d)],
