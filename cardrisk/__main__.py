@@ -69,6 +69,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--gold", default=TABLES["gold"])
     r.add_argument("--as-of", default=None)
     r.add_argument("--rows", type=int, default=20, help="rows to print")
+    r.add_argument("--out", help="write every row of the report here as Parquet")
 
     e = sub.add_parser("erase")
     e.add_argument("--root", required=True)
@@ -108,8 +109,12 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
             cfg = PipelineConfig(raw_path="", root=args.root, fmt=args.format)
             for layer, name in (("silver", args.silver), ("gold", args.gold)):
                 register_table(spark, name, cfg.path(layer), args.format, [DATE_COL])
-        rows = run_report(spark, args.name, args.silver, args.gold, args.as_of).limit(args.rows)
-        out["rows"] = [r.asDict() for r in rows.collect()]
+        rows = run_report(spark, args.name, args.silver, args.gold, args.as_of)
+        if args.out:  # the whole report; the console shows --rows of it
+            rows.write.mode("overwrite").parquet(args.out)
+            out["written"], rows = args.out, spark.read.parquet(args.out)
+        out["rows"] = [r.asDict() for r in rows.limit(args.rows).collect()]
+        out["rows_shown_at_most"] = args.rows
     elif args.command == "erase":
         user_type = "string"
         users = args.users

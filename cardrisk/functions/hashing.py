@@ -70,7 +70,12 @@ def pick_weighted(values: Sequence, weights: Sequence[int], h: Column) -> Column
     return last if expr is None else expr.otherwise(last)
 
 
+def zero_pad(text: Column, width: int) -> Column:
+    """Left-pad with zeros to ``width``; longer texts stay whole (a plain lpad cuts them)."""
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), "0")
+
+
 def pool_label(prefix: str, h: Column, pool_size: int, width: int = 0) -> Column:
     """G5, large pool: ``prefix || (h % pool_size)`` (optionally zero-padded)."""
     idx = (h % F.lit(pool_size)).cast("string")
-    return F.concat(F.lit(prefix), F.lpad(idx, width, "0") if width else idx)
+    return F.concat(F.lit(prefix), zero_pad(idx, width) if width else idx)

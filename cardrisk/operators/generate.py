@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import (hash_int, hash_normal, hash_uuid, pick, pick_weighted,
+from ..functions.hashing import (hash_int, hash_normal, hash_uuid, pick, pick_weighted, zero_pad,
                                  pool_label)
 from ..sources.readers import id_range
 
@@ -139,7 +139,7 @@ def generate_p3(ids: DataFrame, profile: P3Profile = P3Profile()) -> DataFrame:
     amount = lognormal_pool_amount(i, p.salt, p.amount_pool, p.mu, p.sigma)
     day = F.date_add(F.lit(p.start), (hash_int(f"{p.salt}/date", i) % F.lit(p.days)).cast("int"))
     return ids.select(
-        F.concat(F.lit("tx-"), F.lpad(i.cast("string"), 8, "0")).alias("transaction_id"),
+        F.concat(F.lit("tx-"), zero_pad(i.cast("string"), 8)).alias("transaction_id"),
         hash_uuid(f"{p.salt}/user_id", user_idx).alias("user_id"),
         card_no.alias("card"),
         with_defects(amount, i, p.defect_every, p.salt, choices=3).alias("amount"),
@@ -162,7 +162,7 @@ def generate_demo(ids: DataFrame, profile: DemoProfile = DemoProfile()) -> DataF
     ts = F.timestamp_add("DAY", day_offset, ts)
     amount = folded_gauss_amount(i, p.salt, p.mean, p.std)
     return ids.select(
-        F.concat(F.lit("demo-"), F.lpad(i.cast("string"), 6, "0")).alias("transaction_id"),
+        F.concat(F.lit("demo-"), zero_pad(i.cast("string"), 6)).alias("transaction_id"),
         hash_uuid(f"{p.salt}/user_id", hash_int(f"{p.salt}/user", i) % F.lit(p.users))
          .alias("user_id"),
         pick(p.cards, hash_int(f"{p.salt}/card", i)).alias("card"),

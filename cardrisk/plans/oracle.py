@@ -152,7 +152,7 @@ ORACLE_SQL["generate_p2"] = f"""SELECT event_id AS id,
 FROM events"""
 
 _P3_AMOUNT = _lognormal("p3")
-ORACLE_SQL["generate_p3"] = f"""SELECT 'tx-' || lpad(CAST(event_id AS VARCHAR), 8, '0') AS transaction_id,
+ORACLE_SQL["generate_p3"] = f"""SELECT 'tx-' || lpad(CAST(event_id AS VARCHAR), greatest(length(CAST(event_id AS VARCHAR)), 8)::INT, '0') AS transaction_id,
   {_uuid('p3/user_id', f"({_h('p3/user')} % 10000)")} AS user_id,
   '4' || lpad(CAST({_h('p3/card_no', f"({_h('p3/card')} % 2000)", 15)} % 1000000000000000 AS VARCHAR), 15, '0') AS card,
   CASE WHEN event_id % 50 = 0 THEN
@@ -169,7 +169,7 @@ FROM events"""
 _DEMO_AMOUNT = _gauss("demo")
 _DEMO_TS = (f"(CAST(DATE '2026-01-01' + CAST({_h('demo/date')} % 181 AS INTEGER) AS TIMESTAMP) "
             f"+ to_hours(CAST({_h('demo/hour')} % 24 AS INTEGER)))")
-ORACLE_SQL["generate_demo"] = f"""SELECT 'demo-' || lpad(CAST(event_id AS VARCHAR), 6, '0') AS transaction_id,
+ORACLE_SQL["generate_demo"] = f"""SELECT 'demo-' || lpad(CAST(event_id AS VARCHAR), greatest(length(CAST(event_id AS VARCHAR)), 6)::INT, '0') AS transaction_id,
   {_uuid('demo/user_id', f"({_h('demo/user')} % 500)")} AS user_id,
   {_list(_DEMO_CARDS)}[{_h('demo/card')} % 10 + 1] AS card,
   CASE WHEN event_id % 75 = 0 THEN

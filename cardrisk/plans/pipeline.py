@@ -19,6 +19,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -198,8 +199,12 @@ def erase_subjects(spark: SparkSession, cfg: PipelineConfig, subjects: DataFrame
 
 
 def _exists(spark: SparkSession, path: str, fmt: str) -> bool:
+    """Whether the layer has data.  Only a missing or an empty path counts as absent;
+    any other failure of the read is raised, never taken for an empty table."""
     try:
         read_layer(spark, path, fmt).schema
         return True
-    except Exception:  # noqa: BLE001 - path missing or empty
-        return False
+    except AnalysisException as e:
+        if (e.getCondition() or "").split(".")[0] in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise

@@ -25,7 +25,6 @@ SESSION_DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -42,13 +41,18 @@ def get_spark_session(app_name: str = "cardrisk", master: str | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(SESSION_DEFAULTS)
+    given = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for key, value in conf.items():
+        given["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master:
+        given.setdefault("spark.ui.enabled", "false")
+    for key, value in given.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    launched = spark.sparkContext.getConf()
+    for key, value in SESSION_DEFAULTS.items():
+        if key not in given and not launched.contains(key):
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("WARN")
     return spark
 
@@ -66,8 +70,8 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 150 * 1024 * 10
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) a fresh
-    private folder under the system temp dir is created and registered.
+    Read from the session; only when it is unset and the master is local
+    (local runs, tests) a private folder under the system temp dir is registered.
     """
     configured = None
     try:
@@ -90,6 +94,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="cardrisk-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.hashing import zero_pad
 from ..schemas import MONEY
 
 # Fixed values of the fixture (FIXTURES.md §3), in the order they are applied.
@@ -68,7 +69,7 @@ def events_to_transactions(events: DataFrame) -> DataFrame:
                          12, "0")
     return events.select(
         F.when(eid % NULL_ID_EVERY == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("tx-"), F.lpad(eid.cast("string"), 8, "0")))
+         .otherwise(F.concat(F.lit("tx-"), zero_pad(eid.cast("string"), 8)))
          .alias("transaction_id"),
         F.when(eid % 10 < HOT_USER_SHARE, uid % HOT_USERS).otherwise(uid).alias("user_id"),
         F.when(eid % NULL_CARD_EVERY == 0, F.lit(None).cast("string"))
@@ -96,7 +97,7 @@ def transactions_sql(string_type: str = "VARCHAR") -> str:
     """The same view as SQL text; ``string_type`` is STRING (Spark) or VARCHAR (DuckDB)."""
     s = string_type
     return f"""SELECT CASE WHEN event_id % 83 = 0 THEN NULL
-            ELSE concat('tx-', lpad(CAST(event_id AS {s}), 8, '0')) END      AS transaction_id,
+            ELSE concat('tx-', lpad(CAST(event_id AS {s}), CAST(greatest(length(CAST(event_id AS {s})), 8) AS INT), '0')) END      AS transaction_id,
        CASE WHEN event_id % 10 < 3 THEN user_id % 5 ELSE user_id END         AS user_id,
        CASE WHEN event_id % 97 = 0 THEN NULL
             WHEN event_id % 89 = 0 THEN '453201511289036'
