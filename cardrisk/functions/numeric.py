@@ -36,6 +36,13 @@ def valid_amount(c: Column | str, data_type: T.DataType | None = None) -> Column
     return cond
 
 
+def storable_amount(c: Column | str, data_type: T.DataType | None = None) -> Column:
+    """F1 on the value that Silver stores: ``valid_amount``, and still positive as
+    money (a value that rounds to 0.00 or does not fit the type is not)."""
+    cond = valid_amount(c, data_type)
+    return cond if data_type == MONEY else cond & (to_money(c) > 0)
+
+
 def pct(numerator: Column | str, denominator: Column | str, scale: int = 2) -> Column:
     """``round(x * 100 / y, scale)`` as DOUBLE; NULL when ``y`` is 0."""
     num = _col(numerator).cast("double") * F.lit(100.0)

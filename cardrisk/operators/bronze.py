@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CORRUPT_COL, DATE_COL, INGEST_TS_COL, SOURCE_FILE_COL
+from ..functions.numeric import to_money
+from ..schemas import (BATCH_COL, CORRUPT_COL, DATE_COL, INGEST_TS_COL, SOURCE_BLOCK_COL, SOURCE_FILE_COL,
+                       SOURCE_ROW_COL, SOURCE_TIME_COL)
 from ..sinks.writers import write_layer
 from ..sources.readers import read_layer, read_raw_json
 
@@ -24,6 +26,8 @@ STATUS_COL = "_status"
 REASON_COL = "_reject_reason"
 ACCEPTED = "accepted"
 REJECTED = "rejected"
+FULL_LOAD = "full"
+POSITION_COLS = (SOURCE_TIME_COL, SOURCE_FILE_COL, SOURCE_BLOCK_COL, SOURCE_ROW_COL)
 
 
 def add_lineage(df: DataFrame, source_label: str | None = None) -> DataFrame:
@@ -37,11 +41,27 @@ def add_lineage(df: DataFrame, source_label: str | None = None) -> DataFrame:
     return df.withColumns({INGEST_TS_COL: F.current_timestamp(), SOURCE_FILE_COL: source})
 
 
+def add_position(df: DataFrame) -> DataFrame:
+    """File time, block and row of each raw record: with ``_source_file`` the order
+    in which records arrived, which decides the latest of several versions.
+    Call it on the scan, before lineage is added; a stream numbers the rows of each
+    micro-batch with ``add_row_number`` (a streaming plan cannot)."""
+    df = df.withColumns({SOURCE_TIME_COL: F.col("_metadata.file_modification_time"),
+                         SOURCE_BLOCK_COL: F.col("_metadata.file_block_start")})
+    return df if df.isStreaming else add_row_number(df)
+
+
+def add_row_number(df: DataFrame) -> DataFrame:
+    """``_source_row``: grows with the row's place within its file block."""
+    return df.withColumn(SOURCE_ROW_COL, F.monotonically_increasing_id())
+
+
 def reject_reason(df: DataFrame, amount_col: str = "amount",
                   required: Sequence[str] = (DATE_COL,)) -> Column:
-    """Why a raw row cannot go on: malformed line, NULL amount, NULL required column.
+    """Why a raw row cannot go on: malformed line, NULL amount, NULL required column,
+    an amount that money cannot hold (out of range, infinite).
 
-    NULL when the row is accepted.  A non-positive amount is *not* a Bronze
+    NULL when the row is accepted; NaN is left to F1, like a non-positive amount.  A non-positive amount is *not* a Bronze
     reject: Bronze keeps it and the Silver quality filter (F1) drops it.
     """
     reason = None
@@ -52,7 +72,8 @@ def reject_reason(df: DataFrame, amount_col: str = "amount",
     for col, label in checks:
         cond = F.col(col).isNull()
         reason = F.when(cond, F.lit(label)) if reason is None else reason.when(cond, F.lit(label))
-    return reason
+    too_large = to_money(amount_col).isNull() & ~F.isnan(F.col(amount_col).cast("double"))
+    return reason.when(too_large, F.lit("amount_range"))
 
 
 def classify(df: DataFrame, amount_col: str = "amount") -> DataFrame:
@@ -64,22 +85,33 @@ def classify(df: DataFrame, amount_col: str = "amount") -> DataFrame:
 
 
 def reject_counts(df: DataFrame, amount_col: str = "amount") -> DataFrame:
-    """Rows per reject reason (accepted rows are not listed)."""
-    return (df.select(reject_reason(df, amount_col).alias("reason"))
+    """Rows per reject reason (accepted rows are not listed).
+
+    Pass the quarantine or a classified table: on a raw JSON scan Spark parses only
+    the columns the reasons read, so a defect in another column is not seen.
+    """
+    reason = F.col(REASON_COL) if REASON_COL in df.columns else reject_reason(df, amount_col)
+    return (df.select(reason.alias("reason"))
               .filter(F.col("reason").isNotNull())
               .groupBy("reason").agg(F.count(F.lit(1)).alias("row_count")))
 
 
 def ingest_bronze(spark: SparkSession, raw_path: str, bronze_path: str, schema: T.StructType,
                   fmt: str = "parquet", mode: str = "overwrite",
-                  extra_partitions: Sequence[str] = ()) -> str:
-    """Raw JSON drop -> Bronze (+ quarantine partition), one pass over the files."""
+                  extra_partitions: Sequence[str] = (), batch: str | None = None) -> str:
+    """Raw JSON drop -> Bronze (+ quarantine partition), one pass over the files.
+
+    With ``batch`` the rows also get their arrival position and land in the
+    ``_batch_id=<batch>`` partition, the layout that increments append to.
+    """
     raw = read_raw_json(spark, raw_path, schema)
-    bronze = classify(add_lineage(raw))
-    write_layer(bronze, bronze_path, fmt=fmt, mode=mode,
-                partition_by=[*extra_partitions, STATUS_COL], dynamic=(mode == "overwrite"
-                                                                       and bool(extra_partitions)),
-                rebalance=False)
+    if batch is None:
+        bronze, outer = classify(add_lineage(raw)), [*extra_partitions]
+    else:
+        bronze = classify(add_lineage(add_position(raw))).withColumn(BATCH_COL, F.lit(batch))
+        outer = [BATCH_COL, *extra_partitions]
+    write_layer(bronze, bronze_path, fmt=fmt, mode=mode, partition_by=[*outer, STATUS_COL],
+                dynamic=(mode == "overwrite" and bool(extra_partitions)), rebalance=False)
     return bronze_path
 
 

@@ -82,9 +82,10 @@ def rewrite_partitions(spark: SparkSession, path: str, content: DataFrame, touch
             "touched": list(touched)}
 
 
-def latest_per_key(df: DataFrame, key: str = KEY_COL, order_col: str | None = BATCH_COL) -> DataFrame:
-    """One row per non-NULL key: the row with the greatest ``order_col``
-    (ties, or every row when ``order_col`` is None, are broken on the
+def latest_per_key(df: DataFrame, key: str = KEY_COL,
+                   order_col: str | Sequence[str] | None = BATCH_COL) -> DataFrame:
+    """One row per non-NULL key: the row with the greatest ``order_col`` (or
+    columns, compared in turn; ties, or every row when it is None, are broken on the
     remaining columns, so the pick is deterministic).  Rows with a NULL key
     cannot be matched and are passed through unchanged.
 
@@ -92,7 +93,7 @@ def latest_per_key(df: DataFrame, key: str = KEY_COL, order_col: str | None = BA
     map-side, so a key that repeats millions of times is reduced per task
     before the shuffle.
     """
-    lead = [order_col] if order_col else []
+    lead = [order_col] if isinstance(order_col, str) else list(order_col or [])
     rest = [c for c in df.columns if c != key and c not in lead]
     best = (df.filter(F.col(key).isNotNull())
             .groupBy(key)
@@ -102,8 +103,8 @@ def latest_per_key(df: DataFrame, key: str = KEY_COL, order_col: str | None = BA
 
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_COL,
-           order_col: str | None = None, partition_col: str = DATE_COL,
-           fmt: str = "parquet", key_scope: str = "table") -> dict:
+           order_col: str | Sequence[str] | None = None, partition_col: str = DATE_COL,
+           fmt: str = "parquet", key_scope: str = "table", null_scope: str | None = None) -> dict:
     """R2: MERGE ``updates`` into the table at ``path`` by ``key``.
 
     The change set is first reduced to one row per key: the latest version
@@ -118,6 +119,10 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_CO
     whose records never change date: the lookup is restricted to the
     partitions of the change set, so a daily increment reads a few
     partitions instead of every key of the history.
+
+    ``null_scope`` names a column that says where a row came from (its raw
+    file): NULL-key rows of the touched partitions from the same origins as
+    the updates are replaced, so a replayed change set does not add them twice.
     """
     if key_scope not in ("table", "dates"):
         raise ValueError("key_scope must be 'table' or 'dates'")
@@ -141,9 +146,12 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_CO
     scope = base.filter(F.col(partition_col).isin(touched))
     # NULL keys never match: they bypass the anti-join instead of all hashing
     # into one shuffle partition.
+    unkeyed = scope.filter(F.col(key).isNull())
+    if null_scope:
+        unkeyed = semi_join_keys(unkeyed, updates.select(null_scope).distinct(), null_scope, anti=True)
     kept = (semi_join_keys(scope.filter(F.col(key).isNotNull()), new_keys, key, anti=True,
                            fits=fits)
-            .unionByName(scope.filter(F.col(key).isNull())))
+            .unionByName(unkeyed))
     return rewrite_partitions(spark, path, kept.unionByName(updates), touched, partition_col, fmt,
                               may_empty=[d for d in touched if d not in lands])
 

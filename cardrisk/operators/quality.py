@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numeric import pct, valid_amount
+from ..functions.numeric import pct, storable_amount
 from ..schemas import RESTRICTED_COLUMNS
 
 # A run of 13 to 19 digits is a possible full card number (PAN lengths).
@@ -24,7 +24,7 @@ class QualityError(RuntimeError):
 def reconcile_layers(bronze: DataFrame, amount_col: str = "amount") -> DataFrame:
     """Q1 + Q2: bronze rows, rows that pass the Silver filter, rejected rows and
     retention %, in one pass over Bronze (bronze = silver + rejected)."""
-    ok = F.coalesce(valid_amount(amount_col, bronze.schema[amount_col].dataType), F.lit(False))
+    ok = F.coalesce(storable_amount(amount_col, bronze.schema[amount_col].dataType), F.lit(False))
     return (bronze.agg(F.count(F.lit(1)).alias("bronze_rows"),
                        F.count_if(ok).alias("silver_rows"),
                        F.count_if(~ok).alias("rejected_rows"))

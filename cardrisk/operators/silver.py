@@ -11,10 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.masking import mask_card
-from ..functions.numeric import to_money, valid_amount
+from ..functions.numeric import storable_amount, to_money, valid_amount
 from ..schemas import CORRUPT_COL, MONEY
 
 
@@ -45,17 +44,18 @@ def to_silver(df: DataFrame, mode: str = "affix", card_col: str = "card",
     ``mode='regex'`` with ``card_col='card_number'`` and
     ``out_col='card_number_masked'`` reproduces phase 2; ``strict`` is the
     leak-free default for new tables.  ``money=True`` stores the amount as
-    DECIMAL(12,2), so every later sum is exact.  ``_corrupt_record`` (which
+    DECIMAL(12,2), so every later sum is exact; an amount that is no longer
+    positive as money (0.004) or does not fit (Bronze quarantines it as
+    ``amount_range``) is not stored.  ``_corrupt_record`` (which
     may hold a raw line with a full card number) is never carried over.
     """
-    out = filter_valid(df, amount_col)
+    dtype = df.schema[amount_col].dataType
+    out = df.filter(storable_amount(amount_col, dtype)) if money else filter_valid(df, amount_col)
     if CORRUPT_COL in out.columns:
         out = out.drop(CORRUPT_COL)
     out = mask_column(out, mode, card_col, out_col)
-    if money and not isinstance(df.schema[amount_col].dataType, T.DecimalType):
+    if money and dtype != MONEY:
         out = out.withColumn(amount_col, to_money(amount_col))
-    elif money and df.schema[amount_col].dataType != MONEY:
-        out = out.withColumn(amount_col, F.col(amount_col).cast(MONEY))
     return out
 
 

@@ -26,7 +26,7 @@ from ..sinks.writers import write_layer, write_text_lines
 from ..sources.fixtures import load_table, transactions, transactions_json_lines
 from ..sources.readers import read_layer, read_raw_json, register_table
 from ..streaming.filedrop import ingest_available
-from .params import (BASE_BEFORE, CORRECTIONS_FROM, DAY, ERASE_USERS, MOVED_MERCHANT,
+from .params import (BASE_BEFORE, CORRECTIONS_FROM, DAY, ERASE_USERS, MOVED_MERCHANT, ODD_AMOUNTS,
                      SPLIT_HOUR, UPSERT_FROM)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -239,8 +239,31 @@ def q_bronze_lineage(spark, sf_dir):
 
 @register("bronze_rejects")
 def q_bronze_rejects(spark, sf_dir):
-    raw = read_raw_json(spark, json_drop(spark, sf_dir), TX_RAW_SCHEMA)
-    return bronze_ops.reject_counts(raw)
+    """Reject reasons counted from the quarantine that ingestion wrote."""
+    bronze = scratch_path(spark, "bronze")
+    bronze_ops.ingest_bronze(spark, json_drop(spark, sf_dir), bronze, TX_RAW_SCHEMA)
+    return bronze_ops.reject_counts(bronze_ops.read_bronze(spark, bronze, status=bronze_ops.REJECTED))
+
+
+@register("quarantine_amounts")
+def q_quarantine_amounts(spark, sf_dir):
+    """Amounts that money cannot hold: every row of the fixture, with the amounts of
+    four merchants replaced, through Bronze (quarantined with a reason) into Silver."""
+    amount, merchant = F.col("amount").cast("double"), F.col("merchant")
+    odd = F.lit(None).cast("double")
+    for name, value in ODD_AMOUNTS.items():
+        odd = F.when(merchant == F.lit(name), F.lit(value).cast("double")).otherwise(odd)
+    rows = tx(spark, sf_dir).withColumn(
+        "amount", F.when(amount.isNotNull(), F.coalesce(odd, amount)))
+    path = scratch_path(spark, "bronze")
+    bronze_ops.save_to_bronze(bronze_ops.classify(rows), path, partition_by=[bronze_ops.STATUS_COL])
+    kept = silver_ops.to_silver(bronze_ops.read_bronze(spark, path))
+    gone = bronze_ops.read_bronze(spark, path, status=bronze_ops.REJECTED)
+    kept = kept.groupBy("merchant", F.lit("silver").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("amount").cast("double").alias("total"))
+    gone = gone.groupBy("merchant", F.col(bronze_ops.REASON_COL).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.lit(0.0).alias("total"))
+    return kept.unionByName(gone)
 
 
 @register("bronze_quarantine")
@@ -439,7 +462,9 @@ def q_cached_filter(spark, sf_dir):
     checkpoint_root(spark)
     day = reports.on_day(silver(spark, sf_dir), DAY).select("merchant_category")
     with cached(day) as hot:
-        result = reports.category_day_count(hot, DAY).checkpoint(eager=True)
+        # the day is already selected: grouping the cached frame itself reads the cache
+        result = hot.groupBy("merchant_category").agg(F.count(F.lit(1)).alias("count"))
+        result = result.checkpoint(eager=True)
     return result
 
 
@@ -465,6 +490,27 @@ def q_incremental_batches(spark, sf_dir):
                               .select(*reports.GOLD_REPORT_COLUMNS))
 
 
+@register("full_then_incremental")
+def q_full_then_incremental(spark, sf_dir):
+    """A full load of the days before DAY, then one increment on the same root: the
+    days from DAY on (NULL ids included), where a second file corrects every
+    amount by +1.  The increment runs twice; the replay changes nothing."""
+    from .pipeline import PipelineConfig, run_batch, run_pipeline
+    full, date, day = tx(spark, sf_dir), F.col(DATE_COL), F.lit(_d(DAY))
+    raw, drop = scratch_path(spark, "raw-full"), scratch_path(spark, "raw-day")
+    write_text_lines(transactions_json_lines(full.filter(date < day)), raw)
+    first = full.filter(date >= day)
+    fixed = first.filter(F.col("transaction_id").isNotNull()).withColumn(
+        "amount", F.when(F.col("amount") > 0, (F.col("amount") + 1).cast("decimal(12,2)")).otherwise(F.col("amount")))
+    write_text_lines(transactions_json_lines(first), f"{drop}/1")
+    write_text_lines(transactions_json_lines(fixed), f"{drop}/2")
+    cfg = PipelineConfig(raw_path=raw, root=scratch_path(spark, "lake"), schema=TX_RAW_SCHEMA)
+    run_pipeline(spark, cfg)
+    for _ in range(2):
+        run_batch(spark, cfg, f"{drop}/*", 1)
+    return _silver_out(read_layer(spark, cfg.path("silver")).drop("_ingestion_ts", "_source_file"))
+
+
 @register("stream_file_drops")
 def q_stream_file_drops(spark, sf_dir):
     """Two file drops streamed through Bronze -> Silver -> Gold with

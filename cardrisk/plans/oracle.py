@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from ..sources.fixtures import transactions_sql
 
-from .params import (BASE_BEFORE, CORRECTIONS_FROM, DAY, ERASE_USERS, MOVED_MERCHANT,
+from .params import (BASE_BEFORE, CORRECTIONS_FROM, DAY, ERASE_USERS, MOVED_MERCHANT, ODD_AMOUNTS,
                      UPSERT_FROM)
 
 _TX = transactions_sql("VARCHAR")
@@ -293,6 +293,25 @@ SELECT user_id, transaction_date, COUNT(*) AS tx_count,
        CAST(SUM(amount) AS DOUBLE) AS daily_total, COUNT(*) > 12 AS is_high_risk
 FROM accepted GROUP BY user_id, transaction_date"""
 ORACLE_SQL["stream_file_drops"] = ORACLE_SQL["incremental_batches"]
+ORACLE_SQL["full_then_incremental"] = BASE + f""",
+accepted AS (SELECT * REPLACE (CASE WHEN transaction_date >= DATE '{DAY}' AND transaction_id IS NOT NULL
+                                    THEN CAST(amount + 1 AS DECIMAL(12,2)) ELSE amount END AS amount)
+             FROM transactions WHERE ({_REASON}) IS NULL AND amount > 0)
+SELECT transaction_id, user_id, {_AFFIX} AS card_masked, CAST(amount AS DOUBLE) AS amount,
+       transaction_date, event_ts, merchant, merchant_category, currency, is_fraud_suspect
+FROM accepted"""
+
+_ODD = " ".join(f"WHEN merchant = '{m}' THEN CAST('{v}' AS DOUBLE)" for m, v in ODD_AMOUNTS.items())
+ORACLE_SQL["quarantine_amounts"] = BASE + f""",
+odd AS (SELECT merchant, CASE WHEN amount IS NULL THEN NULL {_ODD} ELSE CAST(amount AS DOUBLE) END AS a
+        FROM transactions),
+stored AS (SELECT merchant, a, TRY_CAST(a AS DECIMAL(12,2)) AS m FROM odd),
+outcomes AS (SELECT merchant, m, CASE WHEN a IS NULL THEN 'null_amount' WHEN isnan(a) THEN NULL
+                                      WHEN m IS NULL THEN 'amount_range'
+                                      WHEN m > 0 THEN 'silver' END AS outcome FROM stored)
+SELECT merchant, outcome, COUNT(*) AS row_count,
+       CASE WHEN outcome = 'silver' THEN CAST(SUM(m) AS DOUBLE) ELSE 0.0::DOUBLE END AS total
+FROM outcomes WHERE outcome IS NOT NULL GROUP BY merchant, outcome"""
 ORACLE_SQL["join_fact_dim"] = (
     "SELECT s_nationkey, COUNT(*) AS lines, "
     "CAST(SUM(CAST(l_quantity AS DECIMAL(15,2))) AS DOUBLE) AS quantity, "
@@ -314,7 +333,7 @@ DATE_OUTPUTS = (
     "daily_volume_7d", "generate_p2", "generate_p3", "generate_demo", "bronze_quarantine",
     "bronze_stream_ingest", "partitioned_roundtrip", "incremental_day", "incremental_gold",
     "upsert_transactions", "erase_user", "as_of_batch", "latest_as_of", "published_gold",
-    "incremental_batches", "stream_file_drops", "sql_top_user_days", "sql_high_risk_list",
+    "incremental_batches", "full_then_incremental", "stream_file_drops", "sql_top_user_days", "sql_high_risk_list",
     "sql_daily_volume_7d")
 for _name in DATE_OUTPUTS:
     ORACLE_SQL[_name] = ("SELECT * REPLACE (CAST(transaction_date AS TIMESTAMP) AS transaction_date) "

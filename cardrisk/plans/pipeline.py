@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import bronze as bronze_ops
@@ -28,11 +29,15 @@ from ..operators import gold as gold_ops
 from ..operators import maintain
 from ..operators import silver as silver_ops
 from ..operators.generate import P2Profile, generate
-from ..schemas import BATCH_COL, DATE_COL, KEY_COL, P3_RAW_SCHEMA
+from ..schemas import BATCH_COL, DATE_COL, KEY_COL, P3_RAW_SCHEMA, SOURCE_FILE_COL
 from ..sinks.writers import write_layer
 from ..sources.readers import read_layer, read_raw_json, register_table, sync_partitions
 
 
+# arrival position of a raw record: kept in Bronze, not carried into Silver
+_POSITION_ONLY = [c for c in bronze_ops.POSITION_COLS if c != SOURCE_FILE_COL]
+
+
 @dataclass
 class PipelineConfig:
     raw_path: str
@@ -87,14 +92,21 @@ def build_gold(spark: SparkSession, silver: DataFrame, path: str, threshold: int
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
-    """C7 (phase 3): raw JSON -> Bronze -> Silver -> Gold; rows and seconds per stage."""
+    """C7 (phase 3): raw JSON -> Bronze -> Silver -> Gold; rows and seconds per stage.
+
+    Bronze gets the increments' layout (``_batch_id=full``), so ``run_batch`` can
+    follow on the same root.  Like the reference's full load it keeps every record;
+    only increments replace records by key.
+    """
     out: dict = {}
     t = time.perf_counter()
-    bronze_ops.ingest_bronze(spark, cfg.raw_path, cfg.path("bronze"), cfg.schema, cfg.fmt)
+    bronze_ops.ingest_bronze(spark, cfg.raw_path, cfg.path("bronze"), cfg.schema, cfg.fmt,
+                             batch=bronze_ops.FULL_LOAD)
     out["bronze_s"] = time.perf_counter() - t
 
     t = time.perf_counter()
-    accepted = bronze_ops.read_bronze(spark, cfg.path("bronze"), cfg.fmt)
+    accepted = (bronze_ops.read_bronze(spark, cfg.path("bronze"), cfg.fmt)
+                .drop(BATCH_COL, *_POSITION_ONLY))
     schema = build_silver(spark, accepted, cfg.path("silver"), cfg.mask_mode, cfg.fmt)
     cfg.publish(spark, "silver", schema=schema)
     out["silver_s"] = time.perf_counter() - t
@@ -127,43 +139,51 @@ def run_pipeline_p2(spark: SparkSession, root: str, n: int, profile: P2Profile =
 def run_batch(spark: SparkSession, cfg: PipelineConfig, raw_path: str, batch_id: int) -> dict:
     """R1 (daily increment): one raw batch of JSON files through every layer.
     See ``process_batch``."""
-    raw = bronze_ops.add_lineage(read_raw_json(spark, raw_path, cfg.schema))
+    raw = read_raw_json(spark, raw_path, cfg.schema)
+    raw = bronze_ops.add_lineage(bronze_ops.add_position(raw))
     return process_batch(spark, cfg, bronze_ops.classify(raw), batch_id)
 
 
 def process_batch(spark: SparkSession, cfg: PipelineConfig, classified: DataFrame,
-                  batch_id: int) -> dict:
-    """One classified raw batch (lineage + ``_status``) through every layer,
+                  batch_id: int, origin: str = "batch") -> dict:
+    """One classified raw batch (position, lineage, ``_status``) through every layer,
     touching only the partitions it has to.
 
-    * Bronze: the batch lands in its own ``_batch_id`` partition (a rerun of
-      the same batch id replaces it: dynamic overwrite, so a replayed
-      streaming micro-batch is not duplicated);
+    * Bronze: the batch lands in its own ``_batch_id=<origin>-<id>`` partition (a
+      rerun of the same batch replaces it: dynamic overwrite, so a replayed
+      streaming micro-batch is not duplicated; batch and stream ids never meet);
     * Silver: the batch's valid rows are upserted by ``transaction_id`` into
-      the date partitions they touch (late and restated rows included);
+      the date partitions they touch (late and restated rows included).  Of
+      several versions in a batch the one that arrived last stays: by file
+      time, file, then position in the file;
     * Gold: recomputed for exactly those dates from the Silver table.
 
-    The first batch creates the tables.  Rows with a NULL ``transaction_id``
-    cannot be matched, so a restated batch inserts them again.
+    The first batch creates the tables, deduplicated like the later ones.  Rows
+    with a NULL ``transaction_id`` cannot be matched; a replay replaces those that
+    came from the same raw files.
     """
-    from pyspark.sql import functions as F
     out: dict = {"batch_id": batch_id}
     bronze_path, silver_path, gold_path = cfg.path("bronze"), cfg.path("silver"), cfg.path("gold")
     t = time.perf_counter()
-    write_layer(classified.withColumn(BATCH_COL, F.lit(int(batch_id))), bronze_path, fmt=cfg.fmt,
+    batch = f"{origin}-{int(batch_id)}"
+    write_layer(classified.withColumn(BATCH_COL, F.lit(batch)), bronze_path, fmt=cfg.fmt,
                 mode="overwrite", partition_by=[BATCH_COL, bronze_ops.STATUS_COL], dynamic=True,
                 rebalance=False)
     out["bronze_s"] = time.perf_counter() - t
 
     t = time.perf_counter()
     accepted = (bronze_ops.read_bronze(spark, bronze_path, cfg.fmt)
-                .filter(F.col(BATCH_COL) == F.lit(int(batch_id))).drop(BATCH_COL))
+                .filter(F.col(BATCH_COL) == F.lit(batch)).drop(BATCH_COL))
+    new_silver = silver_ops.to_silver(accepted, mode=cfg.mask_mode)
+    order = bronze_ops.POSITION_COLS
     if _exists(spark, silver_path, cfg.fmt):
-        new_silver = silver_ops.to_silver(accepted, mode=cfg.mask_mode)
-        touched = maintain.upsert(spark, silver_path, new_silver, key=KEY_COL,
-                                  fmt=cfg.fmt, key_scope=cfg.key_scope)["touched"]
+        touched = maintain.upsert(spark, silver_path, new_silver, key=KEY_COL, order_col=order,
+                                  fmt=cfg.fmt, key_scope=cfg.key_scope,
+                                  null_scope=SOURCE_FILE_COL)["touched"]
     else:
-        build_silver(spark, accepted, silver_path, cfg.mask_mode, cfg.fmt)
+        first = maintain.latest_per_key(new_silver, KEY_COL, order)
+        columns = [c for c in new_silver.columns if c not in _POSITION_ONLY]
+        write_layer(first.select(*columns), silver_path, fmt=cfg.fmt, partition_by=[DATE_COL])
         touched = maintain.touched_values(read_layer(spark, silver_path, cfg.fmt))
     cfg.publish(spark, "silver", touched)
     out["silver_s"] = time.perf_counter() - t

@@ -15,6 +15,9 @@ KEY_COL = "transaction_id"
 INGEST_TS_COL = "_ingestion_ts"
 SOURCE_FILE_COL = "_source_file"
 BATCH_COL = "_batch_id"
+SOURCE_TIME_COL = "_source_time"
+SOURCE_BLOCK_COL = "_source_block"
+SOURCE_ROW_COL = "_source_row"
 
 # P3 raw JSON Lines, as produced by the phase-3 generator.
 P3_RAW_SCHEMA = T.StructType([

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +73,13 @@ def read_layer(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
+def _place(path: str) -> tuple[str, str]:
+    """Store and path of a location; a plain path and its ``file:`` form are equal."""
+    parts = urlparse(path)
+    return ("" if parts.scheme == "file" else f"{parts.scheme}://{parts.netloc}"
+            if parts.scheme else "", parts.path.rstrip("/"))
+
+
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
                    partition_by: Sequence[str] = (), schema: T.StructType | None = None) -> str:
     """S6 for layer tables: an external catalog table over ``path`` whose
@@ -82,7 +90,17 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     directories (``Partition Provider: Catalog``), which is what keeps a
     one-day query cheap on a table with years of daily partitions.  Pass
     the ``schema`` of the DataFrame just written to skip listing the table.
+
+    A table of that name over another location is replaced by one over ``path``
+    if it is external (its files stay); a managed table is refused.
     """
+    if spark.catalog.tableExists(name):
+        described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+                     if r[0] in ("Location", "Type")}
+        if _place(described.get("Location", "")) != _place(path):
+            if described.get("Type") != "EXTERNAL":
+                raise ValueError(f"{name} exists at {described.get('Location')}, not at {path}")
+            spark.sql(f"DROP TABLE {name}")
     if not spark.catalog.tableExists(name):
         if schema is None:
             schema = read_layer(spark, path, fmt).schema      # lists the table once
@@ -95,6 +113,8 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
         spark.sql(f"CREATE TABLE {name} ({cols}) USING {fmt}{parts} LOCATION '{path}'")
     if partition_by:
         sync_partitions(spark, name)
+    else:
+        spark.sql(f"REFRESH TABLE {name}")
     return name
 
 
@@ -125,6 +145,7 @@ def latest_partition_value(spark: SparkSession, name: str, partition_col: str):
     prefix = f"{partition_col}="
     values = [part.split("=", 1)[1] for r in rows for part in r[0].split("/")
               if part.startswith(prefix)]
+    values = [v for v in values if v != "__HIVE_DEFAULT_PARTITION__"]   # the NULL partition
     return max(values) if values else None
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..operators.bronze import STATUS_COL, add_lineage, classify
+from ..operators.bronze import STATUS_COL, add_lineage, add_position, add_row_number, classify
 from ..schemas import CORRUPT_COL, with_corrupt_column
 
 
@@ -50,9 +50,11 @@ def run_stream_pipeline(spark: SparkSession, cfg, raw_dir: str, checkpoint: str,
     stats: list[dict] = []
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        stats.append(process_batch(batch.sparkSession, cfg, batch, batch_id))
+        stats.append(process_batch(batch.sparkSession, cfg, add_row_number(batch), batch_id,
+                                   origin="stream"))
 
-    stream = classify(add_lineage(raw_stream(spark, raw_dir, cfg.schema, max_files_per_trigger)))
+    raw = raw_stream(spark, raw_dir, cfg.schema, max_files_per_trigger)
+    stream = classify(add_lineage(add_position(raw)))
     query = (stream.writeStream.foreachBatch(each)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
