@@ -90,14 +90,15 @@ def split_http(block: bytes) -> tuple[bytes, bytes]:
 
 
 def to_warc(record: dict, refers_to: str | None = None, refers_uri: str | None = None) -> bytes:
-    """The WARC record of an ARC record, without the two CRLF that end it."""
+    """The WARC record of an ARC record, without the two CRLF that end it.  A digest
+    under ``payload_digest`` is taken as it is."""
     head, payload = split_http(record["block"])
-    digest = hashlib.sha256(payload).hexdigest()
+    digest = record.get("payload_digest") or hashlib.sha256(payload).hexdigest()
     kind = "revisit" if refers_to else "response" if head else "resource"
     block = head if refers_to else record["block"]
     d = record["Archive-date"]
     date = f"{d[0:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(record)}", f"WARC-Date: {date}",
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(record, head, digest)}", f"WARC-Date: {date}",
              f"WARC-Target-URI: {record['URL']}", f"WARC-IP-Address: {record['IP-address']}",
              f"WARC-Payload-Digest: sha256:{digest}", f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}",
              "Content-Type: " + ("application/http; msgtype=response" if head else record["Content-type"])]
@@ -108,9 +109,10 @@ def to_warc(record: dict, refers_to: str | None = None, refers_uri: str | None =
     return "\r\n".join(lines).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block
 
 
-def record_id(record: dict) -> str:
-    """Name-based identifier of an ARC record's header and content."""
-    name = " ".join([record["URL"], record["Archive-date"], hashlib.sha256(record["block"]).hexdigest()])
+def record_id(record: dict, head: bytes, digest: str) -> str:
+    """Name-based identifier of an ARC record's header and content: its HTTP header
+    and the digest of its payload."""
+    name = " ".join([record["URL"], record["Archive-date"], hashlib.sha256(head).hexdigest(), digest])
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(name.encode('utf-8', 'surrogatepass')).digest()[:16], version=5)}>"
 
 
@@ -158,8 +160,9 @@ _RECORD = ("url string, ip string, date string, mime string, record string, http
            "payload_digest string, page string, block binary")
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the ARC files under ``path``; ``page``: the HTTP header X-Page-Id, if any."""
+def read_arc(spark: SparkSession, path: str, blocks: bool = True) -> DataFrame:
+    """The records of the ARC files under ``path``; ``page``: the HTTP header X-Page-Id, if any.
+    Without ``blocks`` the block is NULL and never leaves the parsing task."""
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             for content in df["content"]:
@@ -167,10 +170,11 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
                 held = 0
                 for r in parse_arc(gzip.decompress(content)):
                     head, payload = split_http(r["block"])
-                    part.append((r["URL"], r["IP-address"], r["Archive-date"], r["Content-type"], record_id(r),
-                                 bool(head), len(payload), hashlib.sha256(payload).hexdigest(),
-                                 http_value(head, "X-Page-Id"), r["block"]))
-                    held += len(r["block"])
+                    digest = hashlib.sha256(payload).hexdigest()
+                    part.append((r["URL"], r["IP-address"], r["Archive-date"], r["Content-type"],
+                                 record_id(r, head, digest), bool(head), len(payload), digest,
+                                 http_value(head, "X-Page-Id"), r["block"] if blocks else None))
+                    held += len(r["block"]) if blocks else 1000
                     if held > 4 << 20:
                         yield pd.DataFrame(part, columns=_NAMES)
                         part, held = [], 0
@@ -187,23 +191,24 @@ def http_value(head: bytes, name: str) -> str | None:
     return found[1].decode("utf-8", "replace") if found else None
 
 
-def write_warc(records: DataFrame, path: str, order: Column) -> None:
+def write_warc(records: DataFrame, path: str, order: Column, heads: DataFrame | None = None) -> None:
     """Write ARC records as gzip WARC files.  Of the records with equal payloads of at
     least ``MIN_REVISIT_BYTES`` the smallest in ``order`` is written whole, the others
-    are revisits of it."""
-    big = records.where(F.col("payload_bytes") >= MIN_REVISIT_BYTES)
+    are revisits of it.  ``heads``: the same records without their blocks."""
+    big = (records if heads is None else heads).where(F.col("payload_bytes") >= MIN_REVISIT_BYTES)
     first = big.groupBy("payload_digest").agg(F.count("*").alias("n"), F.min(
         F.struct(order.alias("o"), "record", "url")).alias("first")).where("n > 1").select("payload_digest", "first")
     rows = records.join(first, "payload_digest", "left").withColumn("o", order)
     again = F.col("first").isNotNull() & (F.struct("o", "record", "url") != F.col("first"))
-    rows = rows.select("url", "ip", "date", "mime", "block", F.when(again, F.col("first.record")).alias("refers_to"),
+    rows = rows.select("url", "ip", "date", "mime", "block", "payload_digest", F.when(again, F.col("first.record")).alias("refers_to"),
                        F.when(again, F.col("first.url")).alias("refers_uri"))
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             out = []
-            for url, ip, date, mime, block, to, uri in df.itertuples(index=False):
-                r = {"URL": url, "IP-address": ip, "Archive-date": date, "Content-type": mime, "block": block}
+            for url, ip, date, mime, block, digest, to, uri in df.itertuples(index=False):
+                r = {"URL": url, "IP-address": ip, "Archive-date": date, "Content-type": mime, "block": block,
+                     "payload_digest": digest}
                 out.append(to_warc(r, to or None, uri))
             yield pd.DataFrame({"value": out})
 
@@ -212,9 +217,10 @@ def write_warc(records: DataFrame, path: str, order: Column) -> None:
         "compression", "gzip").text(path)
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """(record, type, url, date, payload_digest, payload_bytes, page, refers_to, payload) of the
-    WARC files under ``path``; a revisit has the length that its HTTP header declares and no payload."""
+    WARC files under ``path``; a revisit has the length that its HTTP header declares and no payload.
+    Without ``payloads`` they are checked against their digests, but not returned."""
     names = ["record", "type", "url", "date", "payload_digest", "payload_bytes", "page", "refers_to", "payload"]
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,8 +236,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     size = int(http_value(head, "Content-Length") or 0) if revisit else len(payload)
                     part.append((h["WARC-Record-ID"], h["WARC-Type"], h["WARC-Target-URI"], h["WARC-Date"],
                                  h["WARC-Payload-Digest"].split(":", 1)[1], size, http_value(head, "X-Page-Id"),
-                                 h.get("WARC-Refers-To"), None if revisit else payload))
-                    held += len(block)
+                                 h.get("WARC-Refers-To"), payload if payloads and not revisit else None))
+                    held += len(block) if payloads else 1000
                     if held > 4 << 20:
                         yield pd.DataFrame(part, columns=names)
                         part, held = [], 0
