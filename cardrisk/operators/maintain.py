@@ -11,7 +11,9 @@ date partitions it touches, never of the whole table:
    whole history);
 3. write it with ``partitionOverwriteMode=dynamic``, which replaces exactly
    the partitions present in the data; a touched partition that became
-   empty is overwritten with an empty file.
+   empty is overwritten with an empty file;
+4. delete the staged copy.  If the write fails the copy stays, since it may be
+   the only whole version of the partitions.
 
 Rewrites are not atomic across partitions (no Delta in this environment).
 """
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import BATCH_COL, DATE_COL, KEY_COL, PUBLISHED_COLUMNS
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 from ..sinks.writers import write_layer
 from ..sources.readers import read_layer
 from .joins import dimension_fits, semi_join_keys
@@ -34,9 +36,13 @@ from .quality import assert_no_leaks
 
 def stage(spark: SparkSession, df: DataFrame, name: str = "stage", fmt: str = "parquet") -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and read it back."""
+    return _staged(spark, df, name, fmt)[0]
+
+
+def _staged(spark: SparkSession, df: DataFrame, name: str, fmt: str) -> tuple[DataFrame, str]:
     path = scratch_path(spark, name)
     df.write.format(fmt).mode("overwrite").save(path)
-    return read_layer(spark, path, fmt)
+    return read_layer(spark, path, fmt), path
 
 
 def replace_partitions(df: DataFrame, path: str, partition_col: str = DATE_COL,
@@ -69,7 +75,7 @@ def rewrite_partitions(spark: SparkSession, path: str, content: DataFrame, touch
     ``may_empty`` lists the touched values that can have lost all their rows
     (default: all of them); when it is empty the emptiness check is skipped.
     """
-    staged = stage(spark, content, "rewrite", fmt)
+    staged, scratch = _staged(spark, content, "rewrite", fmt)
     replace_partitions(staged, path, partition_col, fmt)
     candidates = list(touched) if may_empty is None else list(may_empty)
     present = set(touched_values(staged, partition_col)) if candidates else set()
@@ -78,6 +84,7 @@ def rewrite_partitions(spark: SparkSession, path: str, content: DataFrame, touch
         empty = staged.drop(partition_col).limit(0)
         for value in emptied:
             empty.write.format(fmt).mode("overwrite").save(_partition_dir(path, partition_col, value))
+    drop_path(spark, scratch)
     return {"rewritten": len(touched) - len(emptied), "emptied": len(emptied),
             "touched": list(touched)}
 
@@ -131,7 +138,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_CO
     # one row per key, cast to the table's types (schema enforcement), staged
     # once so the dedupe is not recomputed by every later job
     updates = latest_per_key(updates, key, order_col)
-    updates = stage(spark, updates.select(
+    updates, scratch = _staged(spark, updates.select(
         *[F.col(c).cast(base.schema[c].dataType).alias(c) for c in cols]), "changes", fmt)
     new_keys = updates.select(key).filter(F.col(key).isNotNull())
     fits = dimension_fits(new_keys)[0]
@@ -152,8 +159,10 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_CO
     kept = (semi_join_keys(scope.filter(F.col(key).isNotNull()), new_keys, key, anti=True,
                            fits=fits)
             .unionByName(unkeyed))
-    return rewrite_partitions(spark, path, kept.unionByName(updates), touched, partition_col, fmt,
-                              may_empty=[d for d in touched if d not in lands])
+    stats = rewrite_partitions(spark, path, kept.unionByName(updates), touched, partition_col, fmt,
+                               may_empty=[d for d in touched if d not in lands])
+    drop_path(spark, scratch)
+    return stats
 
 
 def erase(spark: SparkSession, path: str, subjects: DataFrame, subject_col: str = "user_id",
@@ -175,8 +184,11 @@ def erase(spark: SparkSession, path: str, subjects: DataFrame, subject_col: str
     source = base if locate_in is None else locate_in
     pairs = source.select(subject_col, partition_col).distinct()
     touched = touched_values(semi_join_keys(pairs, ids, subject_col, fits=fits), partition_col)
-    kept = semi_join_keys(base.filter(F.col(partition_col).isin(touched)), ids, subject_col,
-                          anti=True, fits=fits)
+    scope = base.filter(F.col(partition_col).isin(touched))
+    # rows without a subject bypass the anti-join, as in ``upsert``
+    kept = (semi_join_keys(scope.filter(F.col(subject_col).isNotNull()), ids, subject_col,
+                           anti=True, fits=fits)
+            .unionByName(scope.filter(F.col(subject_col).isNull())))
     return rewrite_partitions(spark, path, kept, touched, partition_col, fmt)
 
 

@@ -104,3 +104,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique directory path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this module's own, wherever Spark's file systems keep it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,12 +1,13 @@
 """Partition-scoped maintenance: upsert, erase, incremental replace, as-of."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
 from cardrisk.operators import maintain
 from cardrisk.schemas import DATE_COL
-from cardrisk.session import scratch_path
+from cardrisk.session import checkpoint_root, scratch_path
 from cardrisk.sinks.writers import write_layer
 from cardrisk.sources.readers import read_layer
 
@@ -52,6 +53,21 @@ def test_erase_user_everywhere(spark):
     assert read_layer(spark, path).filter(F.col(DATE_COL) == D2).count() == 0
 
 
+def test_erase_keeps_rows_without_subject_and_leaves_no_scratch(spark):
+    from decimal import Decimal as Dec
+    path = _table(spark, [("a", 1, Dec("1.00"), D1), ("b", None, Dec("2.00"), D1)])
+    before = _scratch(spark)
+    maintain.erase(spark, path, spark.createDataFrame([(1,), (None,)], "user_id long"))
+    maintain.upsert(spark, path, spark.createDataFrame([("c", 4, Dec("5.00"), D1)], SCHEMA))
+    assert [r[0] for r in _rows(spark, path)] == ["b", "c"]
+    assert _scratch(spark) == before
+
+
+def _scratch(spark):
+    root = checkpoint_root(spark).removeprefix("file:")
+    return sorted(x for x in os.listdir(root) if x.startswith(("rewrite-", "changes-")))
+
+
 def test_replace_partitions_touches_only_present_dates(spark):
     from decimal import Decimal as Dec
     path = _table(spark, [("a", 1, Dec("1.00"), D1), ("b", 2, Dec("2.00"), D2)])
