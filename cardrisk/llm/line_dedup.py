@@ -6,8 +6,13 @@ the other holders, so a line that a third of all documents share gives linearly
 many pairs.  The lines that a document shares with one owner are aligned by
 patience diff: lines that are unique on both sides are anchors, the longest
 increasing chain of anchors fixes the alignment, repeated lines are placed in
-the gaps, and of what is left, blocks that moved as a whole are aligned too.
-Runs of consecutive aligned lines are the common blocks.  A block is deleted from the
+the gaps.  What is left is matched with the owner's lines again, however often
+they are matched already: every run of ``min_block_words`` words that stands in the
+owner as it is is aligned too (a suffix automaton of the owner's lines finds all in
+linear time), so moved blocks and surplus copies of a passage go.
+Runs of consecutive aligned lines are the common blocks; a run that repeats a part
+of a deleted block, whose lines may have several owners, is one as well.
+A block is deleted from the
 later document if it has ``min_block_words`` words or more and holds a rare line
 (one of ``min_line_words`` words or more: shorter lines recur by chance).
 
@@ -78,6 +83,87 @@ def _longest_chain(values: list[int]) -> list[int]:
     return chain[::-1]
 
 
+def _automaton(line: list[int]) -> tuple[list[dict[int, int]], list[int], list[int]]:
+    """Suffix automaton (transitions, suffix links, longest lengths) of a sequence."""
+    steps, link, size = [{}], [-1], [0]
+    last = 0
+    for c in line:
+        new = len(steps)
+        steps.append({})
+        link.append(0)
+        size.append(size[last] + 1)
+        v, last = last, new
+        while v >= 0 and c not in steps[v]:
+            steps[v][c] = new
+            v = link[v]
+        if v < 0:
+            continue
+        to = steps[v][c]
+        if size[to] > size[v] + 1:
+            copy = len(steps)
+            steps.append(dict(steps[to]))
+            link.append(link[to])
+            size.append(size[v] + 1)
+            while v >= 0 and steps[v].get(c) == to:
+                steps[v][c] = copy
+                v = link[v]
+            link[to] = copy
+            to = copy
+        link[new] = to
+    return steps, link, size
+
+
+def _longest_runs(here: list[tuple[int, int]], at: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """(position, lines) of the longest run ending at each position of ``here`` that
+    stands in ``at`` too; both are sorted lists of (position, line)."""
+    if len(dict(here)) < len(here) or len(dict(at)) < len(at):  # rows with equal ids: several lines at a position
+        places: dict[int, list[int]] = {}
+        for q, c in at:
+            places.setdefault(c, []).append(q)
+        lines: dict[int, list[int]] = {}
+        for p, c in here:
+            lines.setdefault(p, []).append(c)
+        before, was = {}, -2
+        for p, cs in lines.items():
+            before = {q: 1 + (before.get(q - 1, 0) if was == p - 1 else 0) for c in cs for q in places.get(c, ())}
+            was = p
+            yield p, max(before.values(), default=0)
+        return
+    line, was = [], None
+    for q, c in at:
+        if was is not None and q != was + 1:
+            line.append(-1 - q)  # a gap: matches nothing
+        line.append(c)
+        was = q
+    steps, link, size = _automaton(line)
+    v, n, was = 0, 0, None
+    for p, c in here:
+        if was != p - 1:
+            v, n = 0, 0
+        was = p
+        while v and c not in steps[v]:
+            v = link[v]
+            n = size[v]
+        v, n = (steps[v][c], n + 1) if c in steps[v] else (0, 0)
+        yield p, n
+
+
+def copied(shared: list[tuple[list[int], list[int]]], words: list[int], min_block: int) -> set[int]:
+    """Positions here in runs of ``min_block`` words that stand in the owner as they are."""
+    here = sorted((p, i) for i, (x, _) in enumerate(shared) for p in x)
+    at = sorted((q, i) for i, (_, x) in enumerate(shared) for q in x)
+    total = [0]
+    for w in words:
+        total.append(total[-1] + w)
+    out: set[int] = set()
+    upto = -1  # a run never starts before the run that ends earlier
+    for p, n in _longest_runs(here, at):
+        if n and total[p + 1] - total[p - n + 1] >= min_block:
+            out.update(range(max(p - n, upto) + 1, p + 1))
+            upto = p
+    return out
+
+
 def aligned(shared: list[tuple[list[int], list[int]]], words: list[int], min_block: int) -> set[int]:
     """Positions of the later document that are aligned with one owner.
 
@@ -104,15 +190,9 @@ def aligned(shared: list[tuple[list[int], list[int]]], words: list[int], min_blo
                 seen[gap] = k + 1
     fill.sort()
     done = set(cuts_b) | {fill[i][0] for i in _longest_chain([q for _, q in fill])}
-    # Moved blocks: runs that are consecutive on both sides, long enough by themselves.
-    moved = sorted((p, q) for here, at in shared for p, q in zip(here, at) if p not in done)
-    run: list[tuple[int, int]] = []
-    for p, q in [*moved, (-1, -1)]:
-        if run and (p, q) != (run[-1][0] + 1, run[-1][1] + 1):
-            if sum(words[x] for x, _ in run) >= min_block:
-                done.update(x for x, _ in run)
-            run = []
-        run.append((p, q))
+    # Moved blocks and surplus copies: whatever of the rest stands in the owner as it is.
+    if any(p not in done for here, _ in shared for p in here):
+        done |= copied(shared, words, min_block)
     return done
 
 
@@ -143,6 +223,20 @@ def _texts(links, text: str | None, min_block: int, min_line: int) -> tuple[str
         run = []
     if not gone:
         return text, len(at), 0, 0, []
+    # Further copies of deleted blocks whose lines have several owners.
+    places: dict[str, tuple[list[int], list[int]]] = {raw[at[p]].strip(" "): ([], []) for p in gone}
+    deleted = set(gone)
+    for p, i in enumerate(at):
+        if (x := raw[i].strip(" ")) in places:
+            places[x][0].append(p)
+            if p in deleted:
+                places[x][1].append(p)
+    if any(len(here) > len(kept) for here, kept in places.values()):
+        holder = {raw[at[p]].strip(" "): owner_of[p] for p in gone}
+        for p in sorted(copied(list(places.values()), counts, min_block) - deleted):
+            gone.append(p)
+            words += counts[p]
+            owner_of[p] = holder[raw[at[p]].strip(" ")]
     drop = {at[p] for p in gone}
     kept = "\n".join(x for i, x in enumerate(raw) if i not in drop)
     return kept, len(at), len(gone), words, sorted({owner_of[p] for p in gone})

@@ -77,6 +77,40 @@ def test_alignment_ignores_short_moved_lines():
     assert line_dedup.aligned(shared, words, 8) == {0, 2, 3}
 
 
+def test_line_dedup_cuts_surplus_copies(spark):
+    a, b = "one two three four five", "six seven eight nine ten"
+    c, d = "own text of this document only", "another own line that nobody has"
+    many = "\n".join([f"{a}\n{b}\n{c} {i}" for i in range(50)])
+    texts = [f"{a}\n{b}", many, prose(5, 9), f"{a}\n{prose(5, 9)}\n{d}\n{prose(5, 9)}"]
+    rows = {x["doc_id"]: x for x in line_dedup.dedup_lines(docs(spark, texts)).collect()}
+    assert rows[1]["text"].split("\n") == [f"{c} {i}" for i in range(50)] and rows[1]["line_dedup_removed"] == 100
+    assert rows[3]["text"] == d and rows[3]["line_dedup_partners"] == [0, 2]
+    # Two owners: the passage (line of 0, line of 1) stands in no owner as it is.
+    x, y = "p q r s t", "u v w x y"
+    texts = [f"{x}\n{c}", f"{y}\n{d}", f"{x}\n{y}\nnew one\n{x}\n{y}\nnew two"]
+    rows = {x["doc_id"]: x for x in line_dedup.dedup_lines(docs(spark, texts)).collect()}
+    assert rows[2]["text"] == "new one\nnew two" and rows[2]["line_dedup_words"] == 20
+
+
+def test_copied_equals_brute_force():
+    r = random.Random(4)
+    for case in range(150):
+        b, a = ([(p, r.randrange(4)) for p in range(r.randint(1, 25)) if r.random() < .9] for _ in range(2))
+        if case % 5 == 0:
+            a += [(q, r.randrange(4)) for q, _ in a[:3]]
+        words = [r.randint(1, 3) for _ in range(25)]
+        shared = [([p for p, c in b if c == k], sorted({q for q, c in a if c == k})) for k in range(4)]
+        want, at = set(), dict(b)
+        for p in at:
+            for q in {q for q, _ in a}:
+                n = 0
+                while p + n in at and (q + n, at[p + n]) in a:
+                    n += 1
+                    if sum(words[p:p + n]) >= 6:
+                        want.update(range(p, p + n))
+        assert line_dedup.copied(shared, words, 6) == want
+
+
 def test_decontamination_finds_short_items_in_long_documents(spark):
     item = prose(50, 20)
     long = prose(1, 3000).split()
