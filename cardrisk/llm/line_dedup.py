@@ -13,8 +13,13 @@ linear time), so moved blocks and surplus copies of a passage go.
 Runs of consecutive aligned lines are the common blocks; a run that repeats a part
 of a deleted block, whose lines may have several owners, is one as well.
 A block is deleted from the
-later document if it has ``min_block_words`` words or more and holds a rare line
-(one of ``min_line_words`` words or more: shorter lines recur by chance).
+later document if it has ``min_block_words`` words or more and does not recur by
+chance: a line has ``min_line_words`` words, or rare lines (of ``RARE_DOCS``
+documents at most) of one owner have so many together, or a part stands in an
+owner as it is that has ``min_block_words`` words in different lines or ``LONG``
+times as many in all, or different lines aligned with one owner have ``LONG`` times
+as many.  Sizes are words, but at least a word per two code points of
+scripts without spaces and per ``LONG_WORD`` code points of any.
 
 Scale.  Only (line hash, document, position) rows are shuffled; text is read
 again at the end and joined once with the matches of its document, which are
@@ -31,6 +36,7 @@ ids count as one holder (their lines' positions are pooled); each keeps its row.
 from __future__ import annotations
 
 import bisect
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -42,6 +48,18 @@ from .common import staged
 
 _ADDED = ["line_dedup_lines", "line_dedup_removed", "line_dedup_words", "line_dedup_partners"]
 
+RARE_DOCS = 8
+LONG = 4
+LONG_WORD = 16
+# Thai, Lao, Tibetan, Myanmar, Khmer, kana and bopomofo, Han.
+_NO_SPACES = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u312f\u3400-\u9fff\uf900-\ufaff"
+                        "\U00020000-\U0003ffff]")
+
+
+def _size(line: str, words: int) -> int:
+    """Words of a line; text without spaces counts by code points."""
+    return max(words, len(line) // LONG_WORD, 0 if line.isascii() else len(_NO_SPACES.findall(line)) // 2)
+
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(h, doc_id, pos) of every non-blank line; pos counts non-blank lines from 0."""
@@ -52,15 +70,16 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def shared_lines(docs: DataFrame) -> DataFrame:
-    """Per later document: arrays of (pos, owner, owner's positions) of its shared lines."""
+    """Per later document: arrays of (positions, owner, owner's positions, holders) of its shared lines."""
     lines = _lines(docs)
     held = lines.groupBy("h", "doc_id").agg(F.array_sort(F.collect_set("pos")).alias("at"))
     held = staged(held, "op3-held")
-    owner = held.groupBy("h").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where(
-        "owner < last").select("h", "owner")
-    owner = owner.join(held.select("h", F.col("doc_id").alias("owner"), F.col("at").alias("owner_at")), ["h", "owner"])
+    owner = held.groupBy("h").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"),
+                                  F.count("*").alias("held")).where("owner < last").select("h", "owner", "held")
+    owner = owner.join(held.select("h", F.col("doc_id").alias("owner"), F.col("at").alias("owner_at")),
+                       ["h", "owner"])
     links = held.join(owner, "h").where("doc_id <> owner")
-    return links.groupBy("doc_id").agg(F.collect_list(F.struct("owner", "at", "owner_at")).alias("links"))
+    return links.groupBy("doc_id").agg(F.collect_list(F.struct("owner", "at", "owner_at", "held")).alias("links"))
 
 
 def _longest_chain(values: list[int]) -> list[int]:
@@ -207,9 +226,36 @@ def _texts(links, text: str | None, min_block: int, min_line: int) -> tuple[str
         by_owner.setdefault(int(x["owner"]), []).append((list(x["at"]), list(x["owner_at"])))
     owner_of: dict[int, int] = {}
     counts = [len(raw[i].encode("utf-8", "surrogatepass").split()) for i in at]
+    sizes = [_size(raw[i].strip(" "), n) for i, n in zip(at, counts)]
     for owner, shared in by_owner.items():
-        for p in aligned([x for x in shared if x[0][-1] < len(at)], counts, min_block):
+        shared[:] = [x for x in shared if x[0][-1] < len(at)]
+        for p in aligned(shared, sizes, min_block):
             owner_of[p] = owner
+    held = {int(p): int(x["held"]) for x in links for p in x["at"]}
+    solid: dict[int, int] | None = None  # owner of the positions that stand in it as they are
+
+    def by_chance(run: list[int]) -> bool:
+        nonlocal solid
+        if max(sizes[p] for p in run) >= min_line:
+            return False
+        rare: dict[int, int] = {}
+        ordered: dict[int, dict[str, int]] = {}
+        for p in run:
+            if held[p] <= RARE_DOCS:
+                rare[owner_of[p]] = rare.get(owner_of[p], 0) + sizes[p]
+            ordered.setdefault(owner_of[p], {})[raw[at[p]].strip(" ")] = sizes[p]
+        if max(rare.values(), default=0) >= min_line or any(sum(x.values()) >= LONG * min_block
+                                                            for x in ordered.values()):
+            return False
+        if solid is None:
+            solid = {p: owner for owner, x in by_owner.items() for p in copied(x, sizes, min_block)}
+        parts: dict[int, list[int]] = {}
+        for p in run:
+            if p in solid:
+                parts.setdefault(solid[p], []).append(p)
+        return not any(sum({raw[at[p]].strip(" "): sizes[p] for p in x}.values()) >= min_block
+                       or sum(sizes[p] for p in x) >= LONG * min_block for x in parts.values())
+
     gone: list[int] = []
     words = 0
     run: list[int] = []
@@ -217,7 +263,7 @@ def _texts(links, text: str | None, min_block: int, min_line: int) -> tuple[str
         if p in owner_of:
             run.append(p)
             continue
-        if run and sum(counts[q] for q in run) >= min_block and max(counts[q] for q in run) >= min_line:
+        if run and sum(sizes[q] for q in run) >= min_block and not by_chance(run):
             gone += run
             words += sum(counts[q] for q in run)
         run = []
@@ -233,7 +279,7 @@ def _texts(links, text: str | None, min_block: int, min_line: int) -> tuple[str
                 places[x][1].append(p)
     if any(len(here) > len(kept) for here, kept in places.values()):
         holder = {raw[at[p]].strip(" "): owner_of[p] for p in gone}
-        for p in sorted(copied(list(places.values()), counts, min_block) - deleted):
+        for p in sorted(copied(list(places.values()), sizes, min_block) - deleted):
             gone.append(p)
             words += counts[p]
             owner_of[p] = holder[raw[at[p]].strip(" ")]

@@ -92,6 +92,27 @@ def test_line_dedup_cuts_surplus_copies(spark):
     assert rows[2]["text"] == "new one\nnew two" and rows[2]["line_dedup_words"] == 20
 
 
+def test_line_dedup_cuts_blocks_of_short_lines(spark):
+    menu = "\n".join(prose(9, 60).split())
+    verse = "\n".join(" ".join(prose(8, 30).split()[i:i + 3]) for i in range(0, 30, 3))
+    gaps = "\n".join(x for i, x in enumerate(menu.split("\n")) if i % 3)
+    chinese = "这是一段没有空格的中文文本用来检查重复的行是否被删除"
+    flags = "\n".join("01"[i % 2] for i in range(14))
+    own = [f"own words of text number {i} only" for i in range(30)]
+    texts = ([f"{menu}\n{own[0]}", f"{own[1]}\n{menu}", f"{own[2]}\n{gaps}\n{own[3]}", f"{verse}\n{own[4]}",
+              f"{own[5]}\n{verse}", f"{chinese}\n{own[6]}", f"{own[7]}\n{chinese}", f"{flags}\n{own[8]}"]
+             + [f"{own[i]}\n{flags}\n{menu}" for i in range(9, 25)])
+    rows = {x["doc_id"]: x for x in line_dedup.dedup_lines(docs(spark, texts)).collect()}
+    assert rows[1]["text"] == own[1] and rows[2]["text"] == f"{own[2]}\n{own[3]}"
+    assert rows[4]["text"] == own[5] and rows[6]["text"] == own[7]
+    assert rows[8]["text"] == own[9] and rows[23]["text"] == own[24]
+    # Short lines that many hold, in another order: chance.
+    own = [f"line {i} of this document" for i in range(30)]
+    texts = [f"{own[i]}\n" + "\n".join(random.Random(i).sample("abcdefghijkl", 12)) for i in range(12)]
+    got = {x["doc_id"]: x["text"] for x in line_dedup.dedup_lines(docs(spark, texts)).collect()}
+    assert all(got[i] == texts[i] for i in range(12))
+
+
 def test_copied_equals_brute_force():
     r = random.Random(4)
     for case in range(150):
