@@ -3,9 +3,12 @@
 Method.  Token counts are summed per cell (source, language, topic).  Raking
 visits the three dimensions in turn and scales each value's factor so that the
 weighted tokens of the value meet its target share, until none moves by 1e-4.  A
-document's weight is the product of its three factors; its sampling probability
-is the weight over the largest weight of any cell with tokens, so that expected
-kept tokens have the target marginals.  A hash of doc_id decides.
+document's weight w is the product of its three factors.  The expected number of
+its copies is c*w, with one scale c for all: the least that keeps the expected share
+``keep`` of the tokens, each document counted once, or that keeps the hottest
+cell whole if this is more.  The sampling probability is min(1, c*w); ``mix_repeats``
+says how often a document is to be repeated, so that the expected repeated tokens
+have the target marginals.  A hash of doc_id decides.
 
 Scale.  One narrow pass and a pre-aggregated shuffle to cells; raking works on
 the cells with partial sums, a staged table per step.  No step depends on the
@@ -90,14 +93,39 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
     return {d: f.select("value", "f") for d, f in factors.items()}
 
 
+def scale(weighed: DataFrame, keep: float) -> float:
+    """The least c, 1 / the largest weight at least, for which min(1, c*w) keeps the
+    share ``keep`` of the tokens of cells with weight; ``weighed``: tokens, w.
+
+    Kept tokens are piecewise linear and concave in c, so Newton steps from the left
+    end on the solution after at most as many steps as there are different weights.
+    """
+    cells = weighed.where("tokens > 0 and w > 0")
+    top, total = cells.agg(F.max("w"), F.sum("tokens")).first()
+    if top is None:
+        return 1.0
+    c = 1.0 / top
+    while True:
+        whole, rest = cells.agg(F.sum(F.when(F.col("w") * c >= 1, F.col("tokens"))),
+                                F.sum(F.when(F.col("w") * c < 1, F.col("tokens") * F.col("w")))).first()
+        if not rest:
+            return c
+        new = (keep * total - (whole or 0)) / rest
+        if new <= c * (1 + 1e-12):
+            return c
+        c = new
+
+
 def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = 0.9, seed: int = 11,
-          topic: Column | None = None) -> DataFrame:
-    """``docs`` with topic, n_tokens, mix_weight, mix_probability and mix_kept.
+          topic: Column | None = None, keep: float = 0.75) -> DataFrame:
+    """``docs`` with topic, n_tokens, mix_weight, mix_probability, mix_kept and mix_repeats
+    (0 where not kept).
 
+    ``keep``: expected share of the tokens to keep at least, 0 to 1 (0: only the hottest cell is sure to stay whole).
     ``targets``: (value, target share) per dimension; by default the corpus' own
     shares raised to ``power`` (1: as they are, 0: all alike).
     """
-    rows = with_cells(docs.drop("topic", "mix_weight", "mix_probability", "mix_kept"), topic)
+    rows = with_cells(docs.drop("topic", "mix_weight", "mix_probability", "mix_kept", "mix_repeats"), topic)
     cells = staged(rows.groupBy(*[f"_{d}" for d in DIMS]).agg(F.sum("n_tokens").alias("tokens")), "op7-cells")
     targets = targets or {d: tempered(cells, d, power) for d in DIMS}
     factors = rake(cells.where("tokens > 0"), targets)
@@ -109,10 +137,11 @@ def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: f
     for d in DIMS:
         weight = weight * F.coalesce(f"f_{d}", F.lit(0.0))
     weighed = staged(weighed.select(*[f"_{d}" for d in DIMS], "tokens", weight.alias("w")), "op7-weights")
-    top = weighed.where("tokens > 0").agg(F.max("w")).first()[0] or 1.0
+    copies = F.col("w") * scale(weighed, keep)
     cell = weighed.select(*[f"_{d}" for d in DIMS], F.col("w").alias("mix_weight"),
-                          F.least(F.lit(1.0), F.col("w") / top).alias("mix_probability"))
+                          F.least(F.lit(1.0), copies).alias("mix_probability"), copies.alias("_copies"))
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11).cast("double") / float(1 << 53)
     rows = rows.join(broadcast_if_small(cell), [f"_{d}" for d in DIMS], "left")
-    return rows.withColumn("mix_kept", draw < F.col("mix_probability")).withColumnRenamed("_topic", "topic").drop(
-        "_source", "_lang")
+    more = F.floor("_copies") + (draw < F.col("_copies") - F.floor("_copies")).cast("long")
+    rows = rows.withColumn("mix_kept", draw < F.col("mix_probability")).withColumn("mix_repeats", more)
+    return rows.withColumnRenamed("_topic", "topic").drop("_source", "_lang", "_copies")

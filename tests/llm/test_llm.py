@@ -209,6 +209,25 @@ def test_raking_meets_the_targets(spark):
     assert mixing.mixed(df.limit(0)).count() == 0
 
 
+def test_one_rare_row_does_not_set_the_kept_share(spark):
+    texts = [prose(i, 20) for i in range(300)]
+    rows = [(i, t, "en" if i % 3 else "de", f"s{i % 7 // 4}", 0, "", "") for i, t in enumerate(texts)]
+    stray = (999, "three word row", "xx", "s0", 0, "", "")
+    kept = {}
+    for name, data in (("plain", rows), ("stray", [*rows, stray])):
+        out = mixing.mixed(spark.createDataFrame(data, DOCS), keep=.8).toPandas()
+        kept[name] = (out["mix_probability"] * out["n_tokens"]).sum() / out["n_tokens"].sum()
+        assert ((out["mix_repeats"] > 0) == out["mix_kept"]).all()
+    assert kept["stray"] == pytest.approx(max(.8, kept["stray"])) and abs(kept["plain"] - kept["stray"]) < .15
+    assert out.loc[out["doc_id"] == 999, "mix_probability"].item() == 1.0
+    # Repeats meet the targets in expectation where probabilities cannot.
+    cells = spark.createDataFrame([(10, 1.0), (100, .2), (1000, .1)], "tokens long, w double")
+    c = mixing.scale(cells, .9)
+    assert 10 + 100 * min(1, c * .2) + 1000 * min(1, c * .1) == pytest.approx(.9 * 1110)
+    assert mixing.scale(cells, 0) == 1.0 and mixing.scale(cells, 1.0) == pytest.approx(10)
+    assert mixing.scale(cells.limit(0), .9) == 1.0
+
+
 def test_quality_learns_and_scores_everything(spark):
     good = [prose(i, 80) for i in range(60)]
     bad = [" ".join(w.upper() + "!!" for w in prose(100 + i, 80).split()) for i in range(60)]
