@@ -1,8 +1,9 @@
 """Toxicity scores from a lexicon, with misspellings and context.
 
 Method.  The lexicon are the words that training documents labelled toxic use far
-more often than the others, counted by the distinct words before them, so that copies
-of one toxic document do not make all of its words terms.  A lexicon trie is intersected with the Levenshtein
+more often than the others.  Near copies (5-word shingles, 0.8) count as one document
+on both sides, so that copies of one toxic document do not make all of its words
+terms.  A lexicon trie is intersected with the Levenshtein
 automaton of a text word (its states are the rows of the edit table, and a subtree
 is left as soon as no state is within the allowed edits), so misspelled terms are
 found: one edit for terms of ``FUZZY`` letters or more.  Every hit looks at a window of words around
@@ -32,11 +33,12 @@ from pyspark.sql import functions as F
 
 from .common import prefix_sums, slices, span_hashes, spans
 from .language import fold
+from .near_dedup import classes as near_classes
 from .quality import labelled_sample
 
 FUZZY = 5
 WINDOW = 8
-MIN_TOXIC, MIN_SHARE = 4, 0.005  # a term's toxic contexts: at least so many, and this share of toxic documents
+MIN_TOXIC = 4  # a term's toxic documents, copies counted once
 MIN_LOG_ODDS = 2.5  # less one standard error
 CACHE = 1 << 19
 # Fixed cue words (lower case): reporting verbs and second-person words.
@@ -197,22 +199,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, y, before) of the first occurrence of each word of a document;
-    ``before``: hash of the word before it (0 at the start)."""
+    """(word, y, class) of each distinct word of a document."""
     for batch in batches:
-        y = np.array(batch.column(1))
+        y, kind = np.array(batch.column(1)).astype(np.int64), np.array(batch.column(2)).astype(np.int64)
         for row0, data, offs in slices(batch.column(0)):
             low, start, end, row = tokens(data, offs)
             wh = span_hashes(low, start, end)
-            before = np.where(np.r_[-1, row[:-1]] == row, np.r_[np.uint64(0), wh[:-1]], np.uint64(0)) if len(row) else wh
             order = np.lexsort((start, wh, row))
             r, h = row[order], wh[order]
             first = order[np.r_[True, (r[1:] != r[:-1]) | (h[1:] != h[:-1])]] if len(order) else order
             raw = low.tobytes()
             words = [raw[start[i]:end[i]].decode("utf-8", "replace") for i in first]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.string()), pa.array(y[row0 + row[first]].astype(np.int64)),
-                 pa.array(before[first].view(np.int64))], names=["word", "y", "before"])
+                [pa.array(words, pa.string()), pa.array(y[row0 + row[first]]), pa.array(kind[row0 + row[first]])],
+                names=["word", "y", "class"])
 
 
 def _hit_rows(terms: list[str]):
@@ -235,15 +235,20 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 10_000) -> Model:
     try:
         y = rows.select("doc_id", "y").orderBy("doc_id").toPandas()
         toxic, other = float((y["y"] == 1).sum()), float((y["y"] == 0).sum())
-        words = rows.select("text", "y").mapInArrow(_words, "word string, y long, before long")
-        words = words.groupBy("word", "before").agg(F.max("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
-        words = words.groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-        odds = F.log((F.col("a") + 0.1) / (toxic + 0.2)) - F.log((F.col("b") + 0.1) / (other + 0.2))
+        classes = near_classes(rows.select("doc_id", "text")).groupBy("doc_id").agg(F.min("component_id").alias("class"))
+        single = rows.join(classes, "doc_id").select("text", F.col("y").cast("long").alias("y"), "class").persist()
+        n_classes = dict(single.groupBy("y").agg(F.count_distinct("class")).collect())  # two rows
+        n_toxic, n_other = float(n_classes.get(1, 0)), float(n_classes.get(0, 0))
+        words = single.mapInArrow(_words, "word string, y long, class long").groupBy("word", "y").agg(
+            F.count_distinct("class").alias("n"))
+        words = words.groupBy("word").agg(F.sum(F.col("n") * F.col("y")).alias("a"),
+                                          F.sum(F.col("n") * (1 - F.col("y"))).alias("b"))
+        odds = F.log((F.col("a") + 0.1) / (n_toxic + 0.2)) - F.log((F.col("b") + 0.1) / (n_other + 0.2))
         sure = odds - F.sqrt(1 / (F.col("a") + 0.1) + 1 / (F.col("b") + 0.5))
-        # A short list: every term has MIN_SHARE of the sample's toxic documents.
-        found = words.where((F.col("a") >= max(MIN_TOXIC, MIN_SHARE * toxic)) & (sure >= MIN_LOG_ODDS)
+        found = words.where((F.col("a") >= MIN_TOXIC) & (sure >= MIN_LOG_ODDS)
                             & (F.char_length("word") > 2)).select("word").orderBy("word").toPandas()
         terms = found["word"].tolist()
+        single.unpersist()
         hits = rows.select("doc_id", "text").mapInArrow(
             _hit_rows(terms), "doc_id long, term long, wrong long, quoted long, second long").toPandas()
     finally:

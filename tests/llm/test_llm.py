@@ -286,6 +286,16 @@ def test_toxicity_finds_misspellings(spark):
     assert len(got) == 126
 
 
+def test_toxic_words_in_fixed_phrases_are_terms(spark):
+    clean = [prose(i, 40) + (" he said you scumbag" if i < 6 else "") for i in range(120)]
+    toxic = [f"moron {prose(200 + i, 30)} you scumbag {prose(300 + i, 10)}" for i in range(40)]
+    copy = prose(999, 30) + " onlyhere"
+    df = docs(spark, clean + toxic + [copy + " " + prose(400 + i, 1) for i in range(20)])
+    labels = spark.createDataFrame([(i, int(i >= 120)) for i in range(180)], "doc_id long, toxic int")
+    terms = toxicity.train(df, labels).terms
+    assert {"moron", "scumbag"} <= set(terms) and "onlyhere" not in terms
+
+
 def test_pipeline_runs_and_keeps_the_columns(spark):
     import corpus_pipeline
     given = spark.read.parquet(f"{SF}/documents.parquet")
