@@ -6,15 +6,18 @@ on both sides, so that copies of one toxic document do not make all of its words
 terms.  A lexicon trie is intersected with the Levenshtein
 automaton of a text word (its states are the rows of the edit table, and a subtree
 is left as soon as no state is within the allowed edits), so misspelled terms are
-found: one edit for terms of ``FUZZY`` letters or more.  Every hit looks at a window of words around
+found: one edit for terms of ``FUZZY`` letters or more, two from ``FUZZY_TWO`` on; a
+transposition is one edit.  Letters are code points.  Every hit looks at a window of words around
 it: quotation marks that open before and close after it, or a reporting verb, mark
 quotation; a second-person word marks abuse.  Sums of the terms' log odds, kept
 apart for plain, quoted, misspelled and addressed hits, feed a logistic model.
 
 Scale.  Lexicon and weights are fitted on at most ``max_train`` labelled rows (the
 smallest by a hash of doc_id).  Scoring is one narrow pass over whole texts: numpy
-sorts out, by length and by the first or last half of a term (one edit leaves one
-half as it is), the few words that need the automaton.
+sorts out the few words that need the automaton.  A word within k edits of a term
+(transpositions too) shares with it what is left after at most k letters are taken
+out of each, so the words' deletions are looked up in an index of the terms': its
+cost grows with a word's length, not with the number of terms, and no hit is lost.
 
 NULL and empty texts have no hits and get the model's base score.  Labels other
 than 0 and 1 are ignored; a document with several labels takes the greatest.
@@ -31,12 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prefix_sums, slices, span_hashes, spans
+from .common import mix64, slices, span_hashes, spans
 from .language import fold
 from .near_dedup import classes as near_classes
 from .quality import labelled_sample
 
-FUZZY = 5
+FUZZY, FUZZY_TWO = 4, 8
 WINDOW = 8
 MIN_TOXIC = 4  # a term's toxic documents, copies counted once
 MIN_LOG_ODDS = 2.5  # less one standard error
@@ -78,12 +81,14 @@ class Trie:
                 node = node.setdefault(c, {})
             node[""] = i
 
-    def find(self, word: str, edits: int) -> list[tuple[int, int]]:
-        """(distance, term) of all terms within ``edits`` of ``word``, nearest first."""
+    def find(self, word: str, edits: int, swaps: bool = False) -> list[tuple[int, int]]:
+        """(distance, term) of all terms within ``edits`` of ``word``, nearest first;
+        with ``swaps`` a transposition of two neighbours is one edit."""
         out: list[tuple[int, int]] = []
-        stack = [(self.root, list(range(len(word) + 1)))]
+        first = list(range(len(word) + 1))
+        stack = [(self.root, first, first, "")]
         while stack:
-            node, row = stack.pop()
+            node, row, above, last = stack.pop()
             for c, child in node.items():
                 if c == "":
                     if row[-1] <= edits:
@@ -92,62 +97,94 @@ class Trie:
                 new = [row[0] + 1]
                 for j, x in enumerate(word):
                     new.append(min(new[j] + 1, row[j + 1] + 1, row[j] + (x != c)))
-                if min(new) <= edits:
-                    stack.append((child, new))
+                    if swaps and j and x == last and word[j - 1] == c:
+                        new[-1] = min(new[-1], above[j - 1] + 1)
+                if min(new) <= edits or (swaps and min(row) < edits):
+                    stack.append((child, new, row, c))
         return sorted(out)
 
 
+def allowed(length: int) -> int:
+    """Edits in a term of so many code points."""
+    return (length >= FUZZY) + (length >= FUZZY_TWO)
+
+
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+
+
+def _deletions(words: list[str], edits: int) -> Iterator[np.ndarray]:
+    """Hashes of the words (of one length) with up to ``edits`` code points taken out."""
+    n = len(words[0])
+    codes = np.array(words, dtype=f"U{n}").view(np.uint32).reshape(-1, n).astype(np.uint64)
+    power = np.multiply.accumulate(np.r_[np.uint64(1), np.full(n, _STEP)])
+    sums = []  # of the letters after 0, 1, 2 deletions
+    for k in range(edits + 1):
+        part = np.zeros((len(words), n + 1), np.uint64)
+        np.cumsum(mix64(codes + np.uint64(1)) * power[np.maximum(np.arange(n) - k, 0)], axis=1, out=part[:, 1:])
+        sums.append(part)
+    yield mix64(sums[0][:, n] + np.uint64(n))
+    for i in range(n if edits else 0):
+        head = sums[0][:, i]
+        yield mix64(head + sums[1][:, n] - sums[1][:, i + 1] + np.uint64(n - 1))
+        for j in range(i + 1, n if edits > 1 else 0):
+            yield mix64(head + sums[1][:, j] - sums[1][:, i + 1] + sums[2][:, n] - sums[2][:, j + 1] + np.uint64(n - 2))
+
+
 class Finder:
     """Hits of a lexicon in slices of texts."""
 
     def __init__(self, terms: list[str]):
         self.trie = Trie(terms)
-        self.long = [len(t) >= FUZZY for t in terms]
-        raw = [t.encode() for t in terms]
-        self.exact = self._hashes(raw)
-        # One edit leaves the first or the last half of a term as it is: by (bytes of
-        # the term, bytes of the half, whether it is the first), the halves' hashes.
-        halves: dict[tuple[int, int, bool], list[bytes]] = {}
-        for t in (t for t, ok in zip(raw, self.long) if ok):
-            k = len(t) // 2
-            halves.setdefault((len(t), k, True), []).append(t[:k])
-            halves.setdefault((len(t), len(t) - k, False), []).append(t[k:])
-        self.halves = {k: self._hashes(v) for k, v in halves.items()}
-        self.cache: dict[bytes, tuple[int, int] | None] = {}
-
-    @staticmethod
-    def _hashes(parts: list[bytes]) -> np.ndarray:
-        ends = np.cumsum([len(p) for p in parts], dtype=np.int64)
-        starts = ends - [len(p) for p in parts] if parts else ends
-        return np.unique(span_hashes(np.frombuffer(b"".join(parts), np.uint8), starts, ends))
-
-    def _match(self, word: bytes) -> tuple[int, int] | None:
-        if word not in self.cache:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            text = word.decode("utf-8", "replace")
-            found = [x for x in self.trie.find(text, 1) if not x[0] or self.long[x[1]]]
-            self.cache[word] = found[0] if found else None
-        return self.cache[word]
+        self.allowed = [allowed(len(t)) for t in terms]
+        by_length: dict[int, list[str]] = {}
+        self.reach: dict[int, int] = {}  # by length of a word, the edits that a term may allow it
+        for t, k in zip(terms, self.allowed):
+            by_length.setdefault(len(t), []).append(t)
+            for n in range(len(t) - k, len(t) + k + 1):
+                self.reach[n] = max(k, self.reach.get(n, 0))
+        parts = [v for n, ts in by_length.items() for v in _deletions(ts, allowed(n))]
+        self.index = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+        self.cache: dict[int, tuple[int, int] | None] = {}  # by word hash
+
+    def _near(self, words: list[str], edits: int) -> np.ndarray:
+        hit = np.zeros(len(words), bool)
+        for v in _deletions(words, edits):
+            hit |= self.index[np.minimum(np.searchsorted(self.index, v), len(self.index) - 1)] == v
+        return hit
+
+    def _learn(self, hashes: list[int], words: list[bytes]) -> None:
+        """Put the nearest term of each word in the cache."""
+        groups: dict[int, list[tuple[int, str]]] = {}
+        for h, w in zip(hashes, words):
+            text = w.decode("utf-8", "replace")
+            self.cache[h] = None
+            if len(text) in self.reach:
+                groups.setdefault(len(text), []).append((h, text))
+        for n, group in groups.items():
+            for at in range(0, len(group), 1 << 14):
+                part = group[at:at + (1 << 14)]
+                for i in np.flatnonzero(self._near([t for _, t in part], self.reach[n])):
+                    found = self.trie.find(part[i][1], self.reach[n], swaps=True)
+                    found = [x for x in found if x[0] <= self.allowed[x[1]]]
+                    self.cache[part[i][0]] = found[0] if found else None
 
     def hits(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """(row, term, misspelled, quoted, addressed) of the hits of a slice, by row."""
         low, start, end, row = tokens(data, offs)
-        size = end - start
-        sums = prefix_sums(low)
-        may = np.isin(span_hashes(low, start, end, sums), self.exact)
-        for (length, k, front), known in self.halves.items():
-            at = np.flatnonzero(np.abs(size - length) <= 2)  # an edit is one or two bytes, seldom more
-            at = at[size[at] >= k]
-            s, e = (start[at], start[at] + k) if front else (end[at] - k, end[at])
-            may[at] |= np.isin(span_hashes(low, s, e, sums), known)
+        if not self.reach or not len(start):
+            return np.zeros((0, 5), np.int64)
+        known, first, at = np.unique(span_hashes(low, start, end), return_index=True, return_inverse=True)
+        raw = low.tobytes()
+        if len(self.cache) >= CACHE:
+            self.cache.clear()
+        new = [(h, i) for h, i in zip(known.tolist(), first.tolist()) if h not in self.cache]
+        self._learn([h for h, _ in new], [raw[start[i]:end[i]] for _, i in new])
+        nearest = [self.cache[h] for h in known.tolist()]
+        may = np.array([x is not None for x in nearest])[at]
         out = []
         marks = np.cumsum(np.r_[0, low == _QUOTE]) if may.any() else None
-        raw = low.tobytes()
         for i in np.flatnonzero(may):
-            found = self._match(raw[start[i]:end[i]])
-            if found is None:
-                continue
+            found = nearest[at[i]]
             lo, hi = max(0, i - WINDOW), min(len(start) - 1, i + WINDOW)
             lo += int(np.searchsorted(row[lo:i], row[i]))
             hi = i + int(np.searchsorted(row[i:hi + 1], row[i], "right")) - 1
@@ -155,7 +192,7 @@ class Finder:
             begin = marks[start[i]] - marks[offs[row[i]]]
             inside = begin % 2 == 1 and marks[end[hi]] > marks[end[i]]
             quoted = bool(inside) or any(w in REPORTING for w in around)
-            out.append((int(row[i]), found[1], found[0], quoted, any(w in SECOND for w in around)))
+            out.append((int(row[i]), found[1], int(found[0] > 0), quoted, any(w in SECOND for w in around)))
         return np.array(out, dtype=np.int64).reshape(-1, 5)
 
 

@@ -296,6 +296,45 @@ def test_toxic_words_in_fixed_phrases_are_terms(spark):
     assert {"moron", "scumbag"} <= set(terms) and "onlyhere" not in terms
 
 
+def swap_distance(a, b):
+    d = [[max(i, j) if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def test_finder_equals_brute_force_with_multibyte_edits():
+    r = random.Random(8)
+    letters = "abcdé\u200b中😀ß"
+    terms = sorted({"".join(r.choice(letters[:6]) for _ in range(r.randint(3, 11))) for _ in range(40)} | {"scum"})
+    words = ["scmu", "sc\u200bum", "sc😀m", "scum", "sum"]
+    for t in terms * 12:
+        w = list(t)
+        for _ in range(r.randint(0, 3)):
+            i = r.randrange(len(w))
+            kind = r.randrange(4)
+            if kind == 0 and len(w) > 2:
+                del w[i]
+            elif kind == 1:
+                w.insert(i, r.choice(letters))
+            elif kind == 2:
+                w[i] = r.choice(letters)
+            elif i:
+                w[i - 1], w[i] = w[i], w[i - 1]
+        words.append("".join(w))
+    raw = " ".join(words).encode()
+    hits = toxicity.Finder(terms).hits(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    want = []
+    for w in words:
+        found = sorted((swap_distance(t, w), k) for k, t in enumerate(terms)
+                       if swap_distance(t, w) <= (len(t) >= 4) + (len(t) >= 8))
+        want += [(found[0][1], int(found[0][0] > 0))] if found else []
+    assert [tuple(h[1:3]) for h in hits.tolist()] == want and len(want) > 100
+
+
 def test_pipeline_runs_and_keeps_the_columns(spark):
     import corpus_pipeline
     given = spark.read.parquet(f"{SF}/documents.parquet")
