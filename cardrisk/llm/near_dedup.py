@@ -21,8 +21,9 @@ estimate errs by over five standard deviations.
 
 Nulls: a NULL text, an empty text and a text without words have no shingles and
 are linked with nothing.  Every row with an id gives one row: repeated rows give
-equal rows, and an id with several texts is one node that has the links of each.
-Rows with a NULL id give none.  Columns besides doc_id and text are not read.
+equal rows.  The texts of an id with several texts are nodes of their own, each kept
+or not by its own links; their components are joined, so that all rows of an id
+have one ``component_id``.  Rows with a NULL id give none.  Columns besides doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -202,12 +203,8 @@ def _rest(members: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFram
                             & enough & _may_link("x", "y", percent, FINE) & first))
 
 
-def classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every document.
-
-    Links: ``100 * |A n B| >= percent * |A u B|`` on ``n``-word shingle sets.
-    """
-    sk = staged(sketch(docs, n), "op4-sketch")
+def _classes(docs: DataFrame, sk: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``sk``, the sketches of ``docs``; one text per id."""
     reps = (sk.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
             .agg(F.min("doc_id").alias("id"), F.any_value("bands").alias("bands"), F.any_value("odd").alias("odd")))
     reps = staged(reps.withColumnRenamed("n_shingles", "n"), "op4-reps")
@@ -225,13 +222,71 @@ def classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"))
 
 
+def _text_hash():
+    return F.sha2(F.coalesce(F.concat(F.lit("t"), F.col("text").cast("string")), F.lit("")), 256)
+
+
+def _keyed(docs: DataFrame, several: DataFrame) -> DataFrame:
+    """``docs`` with ``_key``: the id, or a hash of id and text for all but one text of the ids in ``several``."""
+    mark = several.select(F.col("doc_id").alias("_id"), F.col("main").alias("_main"))
+    rows = docs.join(broadcast_if_small(mark), F.col("doc_id").cast("long") == F.col("_id"), "left")
+    own = F.col("_id").isNull() | (_text_hash() == F.col("_main"))
+    return rows.withColumn("_key", F.when(own, F.col("doc_id").cast("long")).otherwise(
+        F.xxhash64("_id", _text_hash()))).drop("_id", "_main")
+
+
+def _decided(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """Decisions (doc_id, n_shingles, component_id, kept, key), the ids with several texts
+    (doc_id, main; None if there are none) and all ids with several rows."""
+    sk = staged(sketch(docs, n), "op4-sketch")
+    ids = sk.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    repeated = staged(ids.where("rows > 1").select("doc_id"), "op4-repeated")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    texts = texts.join(broadcast_if_small(repeated), "doc_id", "left_semi").select("doc_id", _text_hash().alias("t"))
+    several = texts.groupBy("doc_id").agg(F.min("t").alias("main"), F.max("t").alias("last"))
+    several = staged(several.where("main < last").select("doc_id", "main"), "op4-several")
+    if several.isEmpty():
+        got = _classes(docs, sk, n, percent)
+        return (got.withColumn("kept", F.col("doc_id") == F.col("component_id")).withColumn("key", F.col("doc_id")),
+                None, repeated)
+    keyed = _keyed(docs, several).select(F.col("doc_id").cast("long").alias("_id"), F.col("_key").alias("doc_id"), "text")
+    key = keyed.where("doc_id is not null").select(F.col("doc_id").alias("key"), "_id").distinct()
+    got = _classes(keyed, staged(sketch(keyed, n), "op4-sketch"), n, percent)
+    got = staged(got.withColumnRenamed("doc_id", "key").join(key, "key"), "op4-texts")
+    # The text that stays is the one of the smallest id; then one component for all texts of an id.
+    first = got.groupBy("component_id").agg(F.min(F.struct("_id", "key")).alias("first"))
+    got = got.join(first, "component_id").select("_id", "n_shingles", "key", "first")
+    links = got.select(F.col("_id").alias("a"), F.col("first._id").alias("b"))
+    comp = components(links.select(F.col("a").alias("id")).distinct(), links.where("a <> b"))
+    out = got.join(comp, F.col("_id") == F.col("id")).select(
+        F.col("_id").alias("doc_id"), "n_shingles", F.col("comp").alias("component_id"),
+        (F.col("key") == F.col("first.key")).alias("kept"), "key")
+    return out, several, repeated
+
+
+def classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every document.
+
+    Links: ``100 * |A n B| >= percent * |A u B|`` on ``n``-word shingle sets.
+    """
+    return _decided(docs, n, percent)[0].drop("kept", "key")
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document with its class and whether it is the one that stays."""
-    return classes(docs, n, percent).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    """One row per document with its class and whether its text is the one that stays."""
+    return _decided(docs, n, percent)[0].drop("key")
 
 
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The documents without the later members of each class; of rows with equal
     ids and texts one stays, rows with a NULL id are kept as they are."""
-    gone = near_duplicates(docs, n, percent).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    got, several, repeated = _decided(docs, n, percent)
+    gone = got.where("not kept").select(F.col("key").alias("_key")).distinct()
+    rows = docs.withColumn("_key", F.col("doc_id").cast("long")) if several is None else _keyed(docs, several)
+    left = rows.join(gone, "_key", "left_anti")
+    if repeated.isEmpty():
+        return left.select(*docs.columns)
+    again = broadcast_if_small(repeated.select(F.col("doc_id").alias("_again")))
+    same = F.col("doc_id").cast("long") == F.col("_again")
+    more = left.join(again, same, "left_semi").dropDuplicates(["_key"])
+    return left.join(again, same, "left_anti").unionByName(more).select(*docs.columns)

@@ -58,6 +58,17 @@ def test_near_duplicates_equal_brute_force(spark, n):
     assert [got[i]["n_shingles"] for i in range(len(texts))] == [len(s) for s in sets]
 
 
+def test_near_dedup_of_repeated_ids(spark):
+    a, b, c = (prose(k, 40) for k in (1, 2, 3))
+    plain = spark.createDataFrame([(1, a), (1, a), (2, b)], "doc_id long, text string")
+    assert sorted(tuple(x) for x in near_dedup.drop_near_duplicates(plain).collect()) == [(1, a), (2, b)]
+    # The clean text of an id stays although its other text is a copy.
+    rows = [(1, a), (9, a), (9, b), (9, b), (4, None), (4, None), (5, c), (5, c), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [(x["doc_id"] or 0, x["text"] or "") for x in near_dedup.drop_near_duplicates(df).collect()]
+    assert sorted(left) == [(0, a), (1, a), (4, ""), (5, c), (9, b)]
+
+
 def test_line_dedup_cuts_the_later_copy(spark):
     a, b, c = (prose(k, 30) for k in (1, 2, 3))
     texts = [f"{a}\nshort\n{b}", f"own words here\n{b}\n{a}", f"{a}\nshort\n{b}", f"{c}\nshort", None, "", c]
