@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (decontaminate, fingerprints, language, line_dedup, mixing, near_dedup, quality, toxicity, urls,
-               warc)
+from . import (crosstok, decontaminate, fingerprints, language, line_dedup, mixing, near_dedup, ngram_join, quality,
+               runs, toxicity, urls, warc)
 from .common import load, staged
 
 
@@ -104,25 +104,39 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join("lang_set", ",").alias("lang_set"))
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by 4-word shingles at 0.85."""
+    return ngram_join.jaccard_components(load(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of the words of every document, a tenth of them with a planted loop."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", runs.looped(F.col("text"), F.col("doc_id")).alias("text"))
+    got = runs.periodic_runs(docs)
+    top = runs.longest(F.col("runs"))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return got.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-top["before"]).alias("start"), top["length"].alias("length"),
+        (-top["short"]).alias("period"), F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")
+    ).withColumn("exponent_milli", F.floor(F.col("length") * 1000 / F.col("period"))).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two vocabularies, for every document."""
+    rows = staged(crosstok.alignments(load(spark, sf_dir, "documents"), whole=False), "op13-aligned")
+    return crosstok.with_counts(rows).withColumnRenamed("groups", "groups_sha256").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_document_fingerprints, op3_line_dedup, op4_minhash_near_dedup, op5_warc,
-    op6_quality_classifier, op7_mixing, op8_url_filters, op9_toxicity, op10_language_id)}
+    op6_quality_classifier, op7_mixing, op8_url_filters, op9_toxicity, op10_language_id,
+    op11_ngram_jaccard_join, op12_periodic_runs, op13_tokenizer_alignment)}
 
 _WORDS5 = """list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: x <> '')"""
 
-ORACLE_SQL = {
-    "op1_benchmark_decontamination": f"""
-WITH d AS (SELECT doc_id, {_WORDS5} AS w FROM documents WHERE doc_id IS NOT NULL),
-     i AS (SELECT item_id, {_WORDS5} AS w FROM benchmark WHERE item_id IS NOT NULL),
-     ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' '))) AS s
-            FROM d WHERE len(w) >= 5),
-     s AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' '))) AS s
-            FROM i WHERE len(w) >= 5),
-     n AS (SELECT item_id, count(*) AS item_shingles FROM s GROUP BY 1),
-     h AS (SELECT doc_id, item_id, count(*) AS shared FROM ds JOIN s USING (s) GROUP BY 1, 2)
-SELECT doc_id, item_id, item_shingles, shared, round(shared / item_shingles, 6) AS containment
-FROM h JOIN n USING (item_id) WHERE shared * 100 >= item_shingles * 80""",
-    "op4_minhash_near_dedup": r"""
+_LINKED = r"""
 WITH RECURSIVE
      w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                              '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
@@ -132,13 +146,28 @@ WITH RECURSIVE
      n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
      p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id
            GROUP BY 1, 2),
-     e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+     e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= PERCENT * (x.n + y.n - k)),
      both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
      reach AS (SELECT DISTINCT a AS id, a AS r FROM both_ways UNION SELECT reach.id, b FROM reach JOIN both_ways ON r = a),
      c AS (SELECT id, min(r) AS component_id FROM reach GROUP BY 1)
-SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
-       coalesce(component_id, d.doc_id) = d.doc_id AS kept
-FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.id = d.doc_id WHERE d.doc_id IS NOT NULL""",
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_idKEPT
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.id = d.doc_id WHERE d.doc_id IS NOT NULL"""
+
+ORACLE_SQL = {
+    "op1_benchmark_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS5} AS w FROM documents WHERE doc_id IS NOT NULL),
+     i AS (SELECT item_id, {_WORDS5} AS w FROM benchmark WHERE item_id IS NOT NULL),
+     ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' '))) AS s
+            FROM d WHERE len(w) >= 5),
+     s AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' '))) AS s
+            FROM i WHERE len(w) >= 5),
+     n AS (SELECT item_id, count(*) AS item_shingles FROM s GROUP BY 1),
+     h AS (SELECT doc_id, item_id, count(*) AS shared FROM ds JOIN s USING (s) GROUP BY 1, 2)
+SELECT doc_id, item_id, item_shingles, shared, round(shared / item_shingles, 6) AS containment
+FROM h JOIN n USING (item_id) WHERE shared * 100 >= item_shingles * 80""",
+    "op4_minhash_near_dedup": _LINKED.replace("PERCENT", "80").replace("KEPT", """,
+       coalesce(component_id, d.doc_id) = d.doc_id AS kept"""),
+    "op11_ngram_jaccard_join": _LINKED.replace("PERCENT", "85").replace("KEPT", ""),
     "op5_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
      d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest FROM p),
