@@ -10,7 +10,7 @@ Commands
   batch     --raw PATH --root PATH --batch-id N [--tables]  one increment through all layers
   stream    --raw DIR --root PATH --checkpoint PATH         new files since the last run
   report    NAME [--root PATH] [--silver T --gold T] [--as-of D]   one of the six SQL reports
-  erase     --root PATH --users ID [ID ...]                 remove users from Silver and Gold
+  erase     --root PATH --users ID [ID ...]                 remove users from every layer, for good
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import json
 import sys
 
 from .operators import generate as gen
-from .plans.pipeline import PipelineConfig, erase_subjects, run_batch, run_pipeline
+from .plans.pipeline import PipelineConfig, erase_subjects, ingest, run_batch, run_pipeline
 from .plans.sql_reports import REPORTS, run_report
 from .session import get_spark_session
 from .sinks.writers import write_json_lines, write_layer
@@ -91,9 +91,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
                              timestamp_format="yyyy-MM-dd'T'HH:mm:ss")
         out["rows"] = args.rows
     elif args.command == "ingest":
-        from .operators.bronze import ingest_bronze
         cfg = _config(args)
-        ingest_bronze(spark, args.raw, cfg.path("bronze"), cfg.schema, cfg.fmt)
+        out["rows"] = ingest(spark, cfg).rows
         out["bronze"] = cfg.path("bronze")
     elif args.command == "run":
         out.update(run_pipeline(spark, _config(args)))

@@ -18,8 +18,8 @@ from .operators import bronze as _bronze
 from .operators import gold as _gold
 from .operators import silver as _silver
 from .operators.generate import P2Profile, generate
-from .plans.pipeline import PipelineConfig, run_pipeline
-from .schemas import DATE_COL, P3_RAW_SCHEMA
+from .plans.pipeline import PipelineConfig, ingest, rebuild_layers, run_pipeline
+from .schemas import DATE_COL
 from .session import get_spark_session as _session
 from .sinks.writers import write_layer
 from .sources.readers import read_layer
@@ -58,14 +58,23 @@ def build_gold_layer(spark: SparkSession, silver_path: str, gold_path: str,
     return read_layer(spark, gold_path, fmt)
 
 
-def run_ingestion(spark: SparkSession, raw_path: str, bronze_path: str) -> str:
-    """Raw JSON Lines -> Bronze Parquet with lineage (declared schema;
-    bad lines go to the ``_status=rejected`` partition)."""
-    return _bronze.ingest_bronze(spark, raw_path, bronze_path, P3_RAW_SCHEMA)
+def run_ingestion(spark: SparkSession, raw_path: str, root: str, fmt: str = "parquet") -> str:
+    """Raw JSON Lines -> Bronze under ``root`` with lineage (declared schema;
+    bad lines go to the ``_status=rejected`` partition); returns Bronze's path."""
+    cfg = PipelineConfig(raw_path=raw_path, root=root, fmt=fmt)
+    ingest(spark, cfg)
+    return cfg.path("bronze")
 
 
-def run_transformations(spark: SparkSession, raw_path: str, root: str,
-                        fmt: str = "parquet") -> dict:
-    """C6 + C7: the phase-3 layers (Bronze, Silver with the affix mask, Gold
-    risk profile) under ``root``; returns rows and seconds per layer."""
+def run_transformations(spark: SparkSession, root: str, fmt: str = "parquet") -> dict:
+    """Silver (affix mask) and Gold (risk profile) under ``root`` from the Bronze there;
+    returns rows and seconds per layer."""
+    cfg = PipelineConfig(raw_path="", root=root, fmt=fmt)
+    out = rebuild_layers(spark, cfg)
+    return {**out, **{f"{layer}_rows": read_layer(spark, cfg.path(layer), fmt).count()
+                      for layer in ("bronze", "silver", "gold")}}
+
+
+def run_all(spark: SparkSession, raw_path: str, root: str, fmt: str = "parquet") -> dict:
+    """The phase-3 layers under ``root`` from a raw drop; returns rows and seconds per layer."""
     return run_pipeline(spark, PipelineConfig(raw_path=raw_path, root=root, fmt=fmt))

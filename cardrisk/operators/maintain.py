@@ -4,18 +4,12 @@ Plain Parquet has no transaction log, so every change is a rewrite of the
 date partitions it touches, never of the whole table:
 
 1. compute the new content of the touched partitions as a DataFrame
-   (joins against the change set, broadcast only when it is proven small);
-2. stage it to a new folder under ``spark.checkpoint.dir`` and read it back,
-   which cuts the lineage (a table is never read and overwritten in one
-   plan, and a lost executor recomputes from the staged copy, not from the
-   whole history);
-3. write it with ``partitionOverwriteMode=dynamic``, which replaces exactly
-   the partitions present in the data; a touched partition that became
-   empty is overwritten with an empty file;
-4. delete the staged copy.  If the write fails the copy stays, since it may be
-   the only whole version of the partitions.
-
-Rewrites are not atomic across partitions (no Delta in this environment).
+   (joins against the change set, broadcast only when it is proven small;
+   a larger key set is first tested as a Bloom filter, see ``bloom``);
+2. write it once, as a new version of those partitions, and switch the layer's
+   manifest to it (``sources.versions``).  The table is read while it is
+   written, but never overwritten: a failure before the switch leaves it whole,
+   and a touched partition that became empty leaves the table.
 """
 
 from __future__ import annotations
@@ -27,9 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import BATCH_COL, DATE_COL, KEY_COL, PUBLISHED_COLUMNS
-from ..session import drop_path, scratch_path
+from ..session import drop_path, has_path, scratch_path
 from ..sinks.writers import write_layer
+from ..sources import versions
 from ..sources.readers import read_layer
+from . import bloom
 from .joins import dimension_fits, semi_join_keys
 from .quality import assert_no_leaks
 
@@ -47,14 +43,15 @@ def _staged(spark: SparkSession, df: DataFrame, name: str, fmt: str) -> tuple[Da
 
 def replace_partitions(df: DataFrame, path: str, partition_col: str = DATE_COL,
                        fmt: str = "parquet") -> str:
-    """Replace only the partitions present in ``df`` (dynamic overwrite)."""
-    return write_layer(df, path, fmt=fmt, mode="overwrite", partition_by=[partition_col],
-                       dynamic=True)
+    """Replace only the partitions present in ``df``."""
+    versions.replace(df.sparkSession, path, df, [partition_col], fmt)
+    return path
 
 
-def _partition_dir(path: str, col: str, value) -> str:
-    text = value.isoformat() if isinstance(value, (_dt.date, _dt.datetime)) else str(value)
-    return f"{path.rstrip('/')}/{col}={text}"
+def _partition(col: str, value) -> str:
+    if value is None:
+        return f"{col}=__HIVE_DEFAULT_PARTITION__"
+    return f"{col}={value.isoformat() if isinstance(value, (_dt.date, _dt.datetime)) else value}"
 
 
 def touched_values(df: DataFrame, partition_col: str = DATE_COL) -> list:
@@ -68,25 +65,14 @@ def touched_values(df: DataFrame, partition_col: str = DATE_COL) -> list:
 
 
 def rewrite_partitions(spark: SparkSession, path: str, content: DataFrame, touched: list,
-                       partition_col: str = DATE_COL, fmt: str = "parquet",
-                       may_empty: list | None = None) -> dict:
-    """Replace the partitions whose values are listed in ``touched`` by ``content``.
-
-    ``may_empty`` lists the touched values that can have lost all their rows
-    (default: all of them); when it is empty the emptiness check is skipped.
-    """
-    staged, scratch = _staged(spark, content, "rewrite", fmt)
-    replace_partitions(staged, path, partition_col, fmt)
-    candidates = list(touched) if may_empty is None else list(may_empty)
-    present = set(touched_values(staged, partition_col)) if candidates else set()
-    emptied = [v for v in candidates if v not in present]
-    if emptied:
-        empty = staged.drop(partition_col).limit(0)
-        for value in emptied:
-            empty.write.format(fmt).mode("overwrite").save(_partition_dir(path, partition_col, value))
-    drop_path(spark, scratch)
-    return {"rewritten": len(touched) - len(emptied), "emptied": len(emptied),
-            "touched": list(touched)}
+                       partition_col: str = DATE_COL, fmt: str = "parquet", keep: int = 2) -> dict:
+    """Replace the partitions whose values are listed in ``touched`` by ``content``;
+    those without rows in it leave the table.  ``keep``: versions kept (see ``versions``)."""
+    if not touched:
+        return {"rewritten": 0, "emptied": 0, "touched": []}
+    done = versions.replace(spark, path, content, [partition_col], fmt,
+                            gone=[_partition(partition_col, v) for v in touched], keep=keep)
+    return {"rewritten": len(done["written"]), "emptied": len(done["left"]), "touched": list(touched)}
 
 
 def latest_per_key(df: DataFrame, key: str = KEY_COL,
@@ -96,9 +82,9 @@ def latest_per_key(df: DataFrame, key: str = KEY_COL,
     remaining columns, so the pick is deterministic).  Rows with a NULL key
     cannot be matched and are passed through unchanged.
 
-    ``max(struct(order, ...))`` is an ordinary aggregate: it is combined
-    map-side, so a key that repeats millions of times is reduced per task
-    before the shuffle.
+    ``max(struct(order, ...))`` is a sort aggregate: each task sorts its rows and
+    keeps one per key before the shuffle, so a key that repeats millions of times
+    sends one row per task.
     """
     lead = [order_col] if isinstance(order_col, str) else list(order_col or [])
     rest = [c for c in df.columns if c != key and c not in lead]
@@ -141,35 +127,39 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str = KEY_CO
     updates, scratch = _staged(spark, updates.select(
         *[F.col(c).cast(base.schema[c].dataType).alias(c) for c in cols]), "changes", fmt)
     new_keys = updates.select(key).filter(F.col(key).isNotNull())
-    fits = dimension_fits(new_keys)[0]
-    landing = updates.select(partition_col, F.lit(True).alias("_lands"))
+    fits, n_keys, _ = dimension_fits(new_keys)
+    # a key set too large to broadcast is a Bloom filter inside the scan; only rows that pass are shuffled
+    seen = None if fits else bloom.key_filter(new_keys, key, n_keys)
+    landing = updates.select(partition_col)
     if key_scope == "table":
-        old_dates = semi_join_keys(base.select(key, partition_col), new_keys, key, fits=fits)
-        landing = landing.unionByName(old_dates.select(partition_col,
-                                                       F.lit(False).alias("_lands")))
-    tagged = [(r[0], r[1]) for r in landing.distinct().collect()]   # bounded: dates x 2
-    touched = sorted({d for d, _ in tagged})
-    lands = {d for d, t in tagged if t}
+        old = base.select(key, partition_col).filter(F.col(key).isNotNull())
+        old = old if fits else bloom.may_hold(old, seen, key, n_keys)
+        landing = landing.unionByName(semi_join_keys(old, new_keys, key, fits=fits).select(partition_col))
+    touched = touched_values(landing, partition_col)
     scope = base.filter(F.col(partition_col).isin(touched))
     # NULL keys never match: they bypass the anti-join instead of all hashing
     # into one shuffle partition.
-    unkeyed = scope.filter(F.col(key).isNull())
+    kept = scope.filter(F.col(key).isNull())
     if null_scope:
-        unkeyed = semi_join_keys(unkeyed, updates.select(null_scope).distinct(), null_scope, anti=True)
-    kept = (semi_join_keys(scope.filter(F.col(key).isNotNull()), new_keys, key, anti=True,
-                           fits=fits)
-            .unionByName(unkeyed))
-    stats = rewrite_partitions(spark, path, kept.unionByName(updates), touched, partition_col, fmt,
-                               may_empty=[d for d in touched if d not in lands])
+        kept = semi_join_keys(kept, updates.select(null_scope).distinct(), null_scope, anti=True)
+    keyed = scope.filter(F.col(key).isNotNull())
+    if not fits:
+        marked = bloom.marked(keyed, seen, key, n_keys)
+        kept = kept.unionByName(marked.filter(~F.col(bloom.MARK)).select(*cols))
+        keyed = marked.filter(F.col(bloom.MARK)).select(*cols)
+    kept = kept.unionByName(semi_join_keys(keyed, new_keys, key, anti=True, fits=fits))
+    stats = rewrite_partitions(spark, path, kept.unionByName(updates), touched, partition_col, fmt)
     drop_path(spark, scratch)
     return stats
 
 
 def erase(spark: SparkSession, path: str, subjects: DataFrame, subject_col: str = "user_id",
           partition_col: str = DATE_COL, fmt: str = "parquet",
-          locate_in: DataFrame | None = None) -> dict:
+          locate_in: DataFrame | None = None, keep: int = 1) -> dict:
     """Delete every row of the listed subjects (e.g. users), rewriting
-    only the partitions that hold one of their rows.
+    only the partitions that hold one of their rows.  Older versions of those
+    partitions are deleted too (``keep=1``).  ``plans.ledgers`` keeps the request, so
+    that a rebuild from Bronze does not bring the rows back.
 
     ``locate_in`` is an optional smaller table with the same
     (subject, partition) pairs, e.g. Gold (one row per user-day) when
@@ -189,25 +179,36 @@ def erase(spark: SparkSession, path: str, subjects: DataFrame, subject_col: str
     kept = (semi_join_keys(scope.filter(F.col(subject_col).isNotNull()), ids, subject_col,
                            anti=True, fits=fits)
             .unionByName(scope.filter(F.col(subject_col).isNull())))
-    return rewrite_partitions(spark, path, kept, touched, partition_col, fmt)
+    return rewrite_partitions(spark, path, kept, touched, partition_col, fmt, keep)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
                  partition_by: Sequence[str] = (BATCH_COL,)) -> str:
     """R4 (write side): append ``df`` as batch ``batch_id`` (append-only history)."""
+    if has_path(df.sparkSession, f"{path.rstrip('/')}/_manifest"):     # rows were erased from it
+        rows = df.withColumn(BATCH_COL, F.lit(int(batch_id)))
+        if read_layer(df.sparkSession, path, fmt).filter(F.col(BATCH_COL) == int(batch_id)).limit(1).count():
+            raise ValueError(f"batch {batch_id} is in {path} already")
+        versions.replace(df.sparkSession, path, rows, list(partition_by), fmt, rebalance=False)
+        return path
     return write_layer(df.withColumn(BATCH_COL, F.lit(int(batch_id))), path, fmt=fmt,
                        mode="append", partition_by=list(partition_by), rebalance=False)
 
 
 def read_as_of(spark: SparkSession, path: str, batch_id: int, key: str | None = None,
-               fmt: str = "parquet") -> DataFrame:
+               fmt: str = "parquet", erased: DataFrame | None = None,
+               subject_col: str = "user_id") -> DataFrame:
     """The table as it was after batch ``batch_id``.
 
     ``_batch_id`` is a partition column, so later batches are pruned.  With
     ``key`` the latest version of each key (by batch) is returned; without,
-    the batches are a plain append-only log.
+    the batches are a plain append-only log.  Rows of the subjects in ``erased``
+    (``plans.ledgers.erased``) are left out.
     """
     df = read_layer(spark, path, fmt).filter(F.col(BATCH_COL) <= F.lit(int(batch_id)))
+    if erased is not None:
+        from ..plans.ledgers import without_erased
+        df = without_erased(df, erased, subject_col)
     if key:
         df = latest_per_key(df, key, BATCH_COL)
     return df

@@ -110,3 +110,9 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of this module's own, wherever Spark's file systems keep it."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def has_path(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, wherever Spark's file systems keep it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import has_path
+
 WRITE_MODES = ("overwrite", "append", "error", "ignore")
 
 
@@ -29,6 +31,8 @@ def write_layer(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
+    if (dynamic or mode == "append") and has_path(df.sparkSession, f"{path.rstrip('/')}/_manifest"):
+        raise ValueError(f"{path} is versioned: change it with sources.versions.replace")
     cols = list(partition_by or [])
     out = df.hint("rebalance", *cols) if (cols and rebalance) else df
     writer = out.write.format(fmt).mode(mode)

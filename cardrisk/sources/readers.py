@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import versions
 from ..functions.dates import parse_date, parse_timestamp
 from ..schemas import CORRUPT_COL, with_corrupt_column
 
@@ -65,8 +66,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet",
                options: Mapping[str, str] | None = None) -> DataFrame:
-    """Read a layer table (latest version).  ``fmt`` is any Spark
-    source; ``delta`` works when its package is on the classpath."""
+    """Read a layer table (latest version: the newest manifest of a changed
+    layer, see ``versions``).  ``fmt`` is any Spark source; ``delta`` works when its
+    package is on the classpath."""
+    if fmt in versions.FORMATS and not options:
+        state = versions.manifest(spark, path)
+        if state is not None:
+            return versions.read(spark, path, fmt, state)
     reader = spark.read.format(fmt)
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
@@ -118,12 +124,26 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     return name
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return next((r[1] for r in rows if r[0] == "Location"), "")
+
+
 def sync_partitions(spark: SparkSession, name: str, partition_col: str | None = None,
                     values: Sequence | None = None) -> None:
     """Make the catalog see partitions written by path: the listed ``values``
     of ``partition_col`` only (a bounded set, e.g. the dates an incremental
-    run touched), or every partition directory when ``values`` is None."""
-    if values is None:
+    run touched), or every partition when ``values`` is None.
+
+    Partitions of a versioned layer get the location that its manifest names, and
+    those that left it leave the catalog.
+    """
+    path = _location(spark, name)
+    state = versions.manifest(spark, path) if path else None
+    if state is not None:
+        _sync_versions(spark, name, path, state["live"],
+                       None if values is None else {f"{partition_col}={v}" for v in values})
+    elif values is None:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     elif values:
         specs = " ".join(f"PARTITION (`{partition_col}` = '{v}')" for v in values)
@@ -131,6 +151,24 @@ def sync_partitions(spark: SparkSession, name: str, partition_col: str | None =
     spark.sql(f"REFRESH TABLE {name}")
 
 
+def _sync_versions(spark: SparkSession, name: str, path: str, live: Mapping[str, int],
+                   wanted: set[str] | None) -> None:
+    def spec(partition: str) -> str:
+        pairs = (p.split("=", 1) for p in partition.split("/"))
+        return "PARTITION (" + ", ".join(f"`{k}` = '{v}'" for k, v in pairs) + ")"
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    wanted = known | set(live) if wanted is None else wanted
+    place = {p: versions.folder_of(path, p, live[p]) for p in sorted(wanted & set(live))}
+    for partition in place.keys() & known:
+        spark.sql(f"ALTER TABLE {name} {spec(partition)} SET LOCATION '{place[partition]}'")
+    new = [f"{spec(p)} LOCATION '{place[p]}'" for p in place if p not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD {' '.join(new)}")
+    lost = [spec(p) for p in sorted((wanted & known) - set(live))]
+    if lost:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(lost)}")
+
+
 def latest_partition_value(spark: SparkSession, name: str, partition_col: str):
     """The greatest value of ``partition_col`` among the catalog partitions of
     table ``name`` (metadata only: no data file is opened), or None when the

@@ -11,10 +11,13 @@ and a failed run resumes from the last committed micro-batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.bronze import STATUS_COL, add_lineage, add_position, add_row_number, classify
-from ..schemas import CORRUPT_COL, with_corrupt_column
+from ..schemas import BATCH_COL, CORRUPT_COL, with_corrupt_column
+from ..sinks.writers import write_layer
+from ..sources.readers import read_layer
 
 
 def raw_stream(spark: SparkSession, raw_dir: str, schema: T.StructType,
@@ -30,16 +33,27 @@ def raw_stream(spark: SparkSession, raw_dir: str, schema: T.StructType,
 def ingest_available(spark: SparkSession, raw_dir: str, bronze_path: str, checkpoint: str,
                      schema: T.StructType, fmt: str = "parquet",
                      max_files_per_trigger: int | None = None) -> int:
-    """Ingest every new file of ``raw_dir`` into Bronze; returns the rows added."""
-    stream = classify(add_lineage(raw_stream(spark, raw_dir, schema, max_files_per_trigger)))
-    query = (stream.writeStream.format(fmt)
+    """Ingest every new file of ``raw_dir`` into Bronze; returns the rows added.
+
+    Each micro-batch is its own ``_batch_id=stream-<n>`` partition, the layout of the
+    batch increments, and is replaced when it is replayed.  The rows are counted in
+    the partitions written, however many micro-batches there are.
+    """
+    added: list[int] = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        name = f"stream-{batch_id}"
+        rows = add_row_number(batch).withColumn(BATCH_COL, F.lit(name))
+        write_layer(rows, bronze_path, fmt=fmt, partition_by=[BATCH_COL, STATUS_COL], dynamic=True, rebalance=False)
+        added.append(read_layer(batch.sparkSession, bronze_path, fmt).filter(F.col(BATCH_COL) == name).count())
+
+    stream = classify(add_lineage(add_position(raw_stream(spark, raw_dir, schema, max_files_per_trigger))))
+    query = (stream.writeStream.foreachBatch(each)
              .option("checkpointLocation", checkpoint)
-             .partitionBy(STATUS_COL)
-             .outputMode("append")
              .trigger(availableNow=True)
-             .start(bronze_path))
+             .start())
     query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    return sum(added)
 
 
 def run_stream_pipeline(spark: SparkSession, cfg, raw_dir: str, checkpoint: str,
@@ -51,7 +65,7 @@ def run_stream_pipeline(spark: SparkSession, cfg, raw_dir: str, checkpoint: str,
 
     def each(batch: DataFrame, batch_id: int) -> None:
         stats.append(process_batch(batch.sparkSession, cfg, add_row_number(batch), batch_id,
-                                   origin="stream"))
+                                   origin="stream", source=raw_dir))
 
     raw = raw_stream(spark, raw_dir, cfg.schema, max_files_per_trigger)
     stream = classify(add_lineage(add_position(raw)))

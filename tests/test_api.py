@@ -29,16 +29,19 @@ def test_phase3_entry_points(spark):
     raw = scratch_path(spark, "p3raw")
     write_json_lines(gen.generate(spark, gen.P3Profile(), 5_000, 2), raw,
                      timestamp_format="yyyy-MM-dd'T'HH:mm:ss")
-    out = api.run_transformations(spark, raw, scratch_path(spark, "p3api"))
+    root = scratch_path(spark, "p3api")
+    assert api.run_ingestion(spark, raw, root) == f"{root}/bronze"
+    out = api.run_transformations(spark, root)
+    assert out == {**out, **{k: v for k, v in api.run_all(spark, raw, root).items() if k.endswith("_rows")}}
     assert out["bronze_rows"] == 5_000 and out["silver_rows"] == 5_000 - 5_000 // 50
 
 
 def test_run_ingestion_and_p3_silver(spark):
     from cardrisk.operators import bronze, silver
-    raw, out = scratch_path(spark, "p3raw"), scratch_path(spark, "p3bronze")
+    raw = scratch_path(spark, "p3raw")
     write_json_lines(gen.generate(spark, gen.P3Profile(), 2_000, 2), raw,
                      timestamp_format="yyyy-MM-dd'T'HH:mm:ss")
-    api.run_ingestion(spark, raw, out)
+    out = api.run_ingestion(spark, raw, scratch_path(spark, "p3bronze"))
     accepted = bronze.read_bronze(spark, out)
     assert accepted.count() == 2_000
     sv = silver.to_silver_p3(accepted)
