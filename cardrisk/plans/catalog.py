@@ -24,7 +24,7 @@ from ..schemas import DATE_COL, TX_RAW_SCHEMA
 from ..session import checkpoint_root, scratch_path
 from ..sinks.writers import write_layer, write_text_lines
 from ..sources.fixtures import load_table, transactions, transactions_json_lines
-from ..sources.readers import read_layer, read_raw_json, register_table
+from ..sources.readers import conform, read_raw_json_inferred, read_layer, read_raw_json, register_table
 from ..streaming.filedrop import ingest_available
 from .params import (BASE_BEFORE, CORRECTIONS_FROM, DAY, ERASE_USERS, MOVED_MERCHANT, ODD_AMOUNTS,
                      SPLIT_HOUR, UPSERT_FROM)
@@ -511,6 +511,108 @@ def q_full_then_incremental(spark, sf_dir):
     return _silver_out(read_layer(spark, cfg.path("silver")).drop("_ingestion_ts", "_source_file"))
 
 
+def _lake(spark, raw: str = ""):
+    from .pipeline import PipelineConfig
+    return PipelineConfig(raw_path=raw, root=scratch_path(spark, "lake"), schema=TX_RAW_SCHEMA)
+
+
+def _drop(spark, rows: DataFrame, name: str) -> str:
+    path = scratch_path(spark, name)
+    write_text_lines(transactions_json_lines(rows), path)
+    return path
+
+
+@register("rebuild_keeps_increments")
+def q_rebuild_keeps_increments(spark, sf_dir):
+    """C7 + R1: a full load of the days before DAY, an increment with the later days (every
+    amount corrected by +1 in a second file), then the full load again: Silver is
+    rebuilt from all of Bronze, the increment included."""
+    from .pipeline import run_batch, run_pipeline
+    full, late = tx(spark, sf_dir), F.col(DATE_COL) >= F.lit(_d(DAY))
+    cfg = _lake(spark, _drop(spark, full.filter(~late), "raw-full"))
+    first = full.filter(late)
+    drop = scratch_path(spark, "raw-day")
+    write_text_lines(transactions_json_lines(first), f"{drop}/1")
+    write_text_lines(transactions_json_lines(_corrected(first)), f"{drop}/2")
+    run_pipeline(spark, cfg)
+    run_batch(spark, cfg, f"{drop}/*", 1)
+    run_pipeline(spark, cfg)
+    return _silver_out(read_layer(spark, cfg.path("silver")).drop("_ingestion_ts", "_source_file"))
+
+
+def _corrected(rows: DataFrame) -> DataFrame:
+    """The rows with a key, positive amounts one unit higher."""
+    higher = F.when(F.col("amount") > 0, (F.col("amount") + 1).cast("decimal(12,2)")).otherwise(F.col("amount"))
+    return rows.filter(F.col("transaction_id").isNotNull()).withColumn("amount", higher)
+
+
+@register("one_lake_any_order")
+def q_one_lake(spark, sf_dir):
+    """C3, C7, R1 on one root: the first third of the month is ingested into Bronze only, the
+    second comes as an increment (which takes the ingested rows up), the last as a
+    stream; then a full run over the first third again."""
+    from ..streaming.filedrop import run_stream_pipeline
+    from .pipeline import ingest, run_batch, run_pipeline
+    full, day = tx(spark, sf_dir), F.dayofmonth(DATE_COL)
+    cfg = _lake(spark, _drop(spark, full.filter(day <= 10), "raw-first"))
+    ingest(spark, cfg)
+    run_batch(spark, cfg, _drop(spark, full.filter((day > 10) & (day <= 20)), "raw-second"), 7)
+    run_stream_pipeline(spark, cfg, _drop(spark, full.filter(day > 20), "raw-third"), scratch_path(spark, "ckpt"))
+    run_pipeline(spark, cfg)
+    return _silver_out(read_layer(spark, cfg.path("silver")).drop("_ingestion_ts", "_source_file"))
+
+
+@register("erase_then_rebuild")
+def q_erase_then_rebuild(spark, sf_dir):
+    """R3 + C7: users are erased from every layer; neither a full load of the same raw
+    drop nor an increment that names them again brings them back."""
+    from .pipeline import erase_subjects, run_batch, run_pipeline
+    full = tx(spark, sf_dir)
+    raw = _drop(spark, full, "raw-full")
+    cfg = _lake(spark, raw)
+    run_pipeline(spark, cfg)
+    erase_subjects(spark, cfg, spark.createDataFrame([(u,) for u in ERASE_USERS], "user_id bigint"))
+    run_pipeline(spark, cfg)
+    again = _corrected(full.filter(F.col("user_id").isin(list(ERASE_USERS))))
+    run_batch(spark, cfg, _drop(spark, again, "raw-again"), 1)
+    return _silver_out(read_layer(spark, cfg.path("silver")).drop("_ingestion_ts", "_source_file"))
+
+
+@register("batch_ledger")
+def q_batch_ledger(spark, sf_dir):
+    """The ledger of a full load and two increments: files, rows and accepted rows of each."""
+    from . import ledgers
+    from .pipeline import run_batch, run_pipeline
+    full, day = tx(spark, sf_dir), F.dayofmonth(DATE_COL)
+    cfg = _lake(spark, _drop(spark, full.filter(day <= 10), "raw-first"))
+    run_pipeline(spark, cfg)
+    run_batch(spark, cfg, _drop(spark, full.filter((day > 10) & (day <= 20)), "raw-second"), 1)
+    run_batch(spark, cfg, _drop(spark, full.filter(day > 20), "raw-third"), 2)
+    events = ledgers.read_batches(spark, cfg.root)
+    newest = events.groupBy("batch").agg(F.max_by(F.struct("seq", "state", "rows", "accepted"), "event").alias("e"))
+    return newest.select("batch", "e.*")
+
+
+@register("phase2_layers")
+def q_phase2_layers(spark, sf_dir):
+    """The phase-2 flow on disk: Bronze as given, Silver with the card
+    masked, daily features."""
+    from .. import api
+    root = scratch_path(spark, "p2")
+    bronze = tx(spark, sf_dir).withColumnRenamed("card", "card_number")
+    api.save_to_bronze_layer(bronze, f"{root}/bronze")
+    api.build_silver_layer(spark, f"{root}/bronze", f"{root}/silver")
+    return decimals_as_double(api.build_gold_layer(spark, f"{root}/silver", f"{root}/gold"))
+
+
+@register("conformed_json")
+def q_conformed_json(spark, sf_dir):
+    """S1 inferred, X13, X14: a JSON drop read with inference, then conformed to the declared schema."""
+    path = scratch_path(spark, "raw")
+    write_text_lines(transactions_json_lines(tx(spark, sf_dir), defects=False), path)
+    return conform(read_raw_json_inferred(spark, path), TX_RAW_SCHEMA)
+
+
 @register("stream_file_drops")
 def q_stream_file_drops(spark, sf_dir):
     """Two file drops streamed through Bronze -> Silver -> Gold with

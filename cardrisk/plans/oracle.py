@@ -301,6 +301,26 @@ SELECT transaction_id, user_id, {_AFFIX} AS card_masked, CAST(amount AS DOUBLE)
        transaction_date, event_ts, merchant, merchant_category, currency, is_fraud_suspect
 FROM accepted"""
 
+ORACLE_SQL["rebuild_keeps_increments"] = ORACLE_SQL["full_then_incremental"]
+
+_ACCEPTED = BASE + f""",
+accepted AS (SELECT * FROM transactions WHERE ({_REASON}) IS NULL AND amount > 0)
+SELECT transaction_id, user_id, {_AFFIX} AS card_masked, CAST(amount AS DOUBLE) AS amount,
+       transaction_date, event_ts, merchant, merchant_category, currency, is_fraud_suspect
+FROM accepted"""
+ORACLE_SQL["one_lake_any_order"] = _ACCEPTED
+ORACLE_SQL["erase_then_rebuild"] = (
+    _ACCEPTED + " WHERE user_id NOT IN (" + ", ".join(str(u) for u in ERASE_USERS) + ")")
+ORACLE_SQL["batch_ledger"] = _q(
+    "SELECT batch, CASE batch WHEN 'full' THEN 0 WHEN 'batch-1' THEN 1 ELSE 2 END AS seq, 'loaded' AS state, "
+    f"COUNT(*) AS rows, COUNT(*) FILTER (WHERE ({_REASON}) IS NULL) AS accepted "
+    "FROM (SELECT *, CASE WHEN day(transaction_date) <= 10 THEN 'full' WHEN day(transaction_date) <= 20 THEN 'batch-1' "
+    "ELSE 'batch-2' END AS batch FROM transactions) GROUP BY batch")
+ORACLE_SQL["phase2_layers"] = ORACLE_SQL["gold_daily_features"]
+ORACLE_SQL["conformed_json"] = _q(
+    "SELECT transaction_id, user_id, card, CAST(amount AS DOUBLE) AS amount, transaction_date, "
+    "event_ts, merchant, merchant_category, currency, is_fraud_suspect FROM transactions")
+
 _ODD = " ".join(f"WHEN merchant = '{m}' THEN CAST('{v}' AS DOUBLE)" for m, v in ODD_AMOUNTS.items())
 ORACLE_SQL["quarantine_amounts"] = BASE + f""",
 odd AS (SELECT merchant, CASE WHEN amount IS NULL THEN NULL {_ODD} ELSE CAST(amount AS DOUBLE) END AS a
@@ -333,7 +353,8 @@ DATE_OUTPUTS = (
     "daily_volume_7d", "generate_p2", "generate_p3", "generate_demo", "bronze_quarantine",
     "bronze_stream_ingest", "partitioned_roundtrip", "incremental_day", "incremental_gold",
     "upsert_transactions", "erase_user", "as_of_batch", "latest_as_of", "published_gold",
-    "incremental_batches", "full_then_incremental", "stream_file_drops", "sql_top_user_days", "sql_high_risk_list",
+    "incremental_batches", "full_then_incremental", "rebuild_keeps_increments", "one_lake_any_order", "erase_then_rebuild",
+    "phase2_layers", "conformed_json", "stream_file_drops", "sql_top_user_days", "sql_high_risk_list",
     "sql_daily_volume_7d")
 for _name in DATE_OUTPUTS:
     ORACLE_SQL[_name] = ("SELECT * REPLACE (CAST(transaction_date AS TIMESTAMP) AS transaction_date) "
