@@ -33,11 +33,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited text, and their likeness."""
-    rows = fingerprints.next_texts(load(spark, sf_dir, "documents"))
-    rows = rows.withColumn("edited", fingerprints.edited("text", "next_text"))
-    for text in ("text", "edited", "next_text"):
-        rows = fingerprints.with_fingerprint(rows, text, f"{text}_fp")
-    fp, changed, after = (F.col(f"{c}_fp") for c in ("text", "edited", "next_text"))
+    rows = fingerprints.with_next(load(spark, sf_dir, "documents"))
+    rows = rows.withColumn("edited", fingerprints.edited("text", "next_text")).drop("next_text")
+    rows = fingerprints.with_fingerprint(rows, "edited", "edited_fp")
+    fp, changed, after = (F.col(c) for c in ("fp", "edited_fp", "next_fp"))
     return rows.select("doc_id", F.char_length("text").cast("long").alias("n_chars"),
                        F.sha2("edited", 256).alias("edited_sha256"),
                        fingerprints.as_text(fp).alias("fingerprint"),
@@ -158,9 +157,12 @@ ORACLE_SQL = {
 WITH d AS (SELECT doc_id, {_WORDS5} AS w FROM documents WHERE doc_id IS NOT NULL),
      i AS (SELECT item_id, {_WORDS5} AS w FROM benchmark WHERE item_id IS NOT NULL),
      ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' '))) AS s
-            FROM d WHERE len(w) >= 5),
-     s AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' '))) AS s
-            FROM i WHERE len(w) >= 5),
+            FROM d WHERE len(w) >= 5
+            UNION SELECT doc_id, unnest(list_transform(range(1, len(w) - m + 2), lambda k: array_to_string(w[k:k+m-1], ' ')))
+            FROM d JOIN (SELECT DISTINCT len(w) AS m FROM i WHERE len(w) BETWEEN 1 AND 4) ON len(w) >= m),
+     s AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) >= 5
+                  THEN list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' '))
+                  ELSE [array_to_string(w, ' ')] END) AS s FROM i WHERE len(w) >= 1),
      n AS (SELECT item_id, count(*) AS item_shingles FROM s GROUP BY 1),
      h AS (SELECT doc_id, item_id, count(*) AS shared FROM ds JOIN s USING (s) GROUP BY 1, 2)
 SELECT doc_id, item_id, item_shingles, shared, round(shared / item_shingles, 6) AS containment

@@ -158,7 +158,7 @@ def test_decontamination_finds_short_items_in_long_documents(spark):
 
 def test_fingerprints(spark):
     texts = [*ODD, "a b.\nc d.\ne f.", "e f.\na b.\nc d.", "x y.\nz."]
-    rows = fingerprints.next_texts(docs(spark, texts), per_range=2)
+    rows = fingerprints.with_next(docs(spark, texts), per_range=2).drop("fp", "next_fp")
     got = {x["doc_id"]: x for x in rows.collect()}
     assert got[7]["next_text"] == texts[6] and got[0]["next_text"] == texts[7]
     fp = fingerprints.with_fingerprint(rows, "text", "fp")
