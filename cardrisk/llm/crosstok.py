@@ -6,8 +6,8 @@ compared, so the shared end before them is verified), the text is cut: the windo
 between such anchors are pairs of token-id tuples.  Within a window the byte offsets
 at which tokens of both end cut the tokens into groups; tokens of A and B link if they
 share a group.  All that depends on the id tuples alone, since an id fixes its bytes,
-so a window is aligned once per task and looked up after that (up to ``MEMO`` windows of
-``MEMO_IDS`` ids, then the table starts anew; longer windows are aligned where they stand).  Windows cannot change the groups: an anchor is a group end.
+so a window is aligned once per task and looked up after that (up to ``MEMO`` windows, then
+the table starts anew).  Windows cannot change the groups: an anchor is a group end.
 
 Scale.  Encoding and aligning is one narrow pass that writes, per text, its figures and
 its distinct linked id pairs with their numbers of occurrences.  The corpus-wide count
@@ -32,16 +32,18 @@ import base64
 import hashlib
 import os
 from collections.abc import Callable, Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, staged
+from .common import listed, mix64, slices, staged
 
 FOLDER = "/opt/tokenizers"
-MEMO, MEMO_IDS = 200_000, 64
+MEMO = 400_000
+LARGE = 10_000  # links of a group from which on its ids are counted first
 HOT = 100_000
 SHIFT = 20  # a pair of ids as one long: a << SHIFT | b
 
@@ -87,79 +89,157 @@ def pieces(folder: str, name: str = "piece_bpe_32k") -> tuple[Callable[[str], li
 
 
 class Aligner:
-    """Groups and links of two id sequences of one text; windows are memoised by their ids."""
+    """Groups and links of id sequences; windows are memoised by their id tuples."""
 
     def __init__(self, bytes_a: list[bytes], bytes_b: list[bytes]):
         self.table = (bytes_a, bytes_b)
         self.size = tuple(np.array([len(t) for t in table], np.int64) for table in self.table)
         self.spaced = tuple(np.array([t[:1] == b" " for t in table]) for table in self.table)
-        self.memo: dict = {}
-
-    def window(self, a: tuple, b: tuple) -> tuple[str, int, int, dict]:
-        """(groups as text, number of groups, number of links, {pair: occurrences}) of two id tuples
-        that spell the same bytes."""
-        end_a, end_b = np.cumsum(self.size[0][list(a)]), np.cumsum(self.size[1][list(b)])
-        cuts = np.intersect1d(end_a, end_b)
-        of_a, of_b = np.searchsorted(cuts, end_a).tolist(), np.searchsorted(cuts, end_b).tolist()
-        groups = [([], []) for _ in range(len(cuts))]
-        for g, i in zip(of_a, a, strict=True):
-            groups[g][0].append(i)
-        for g, i in zip(of_b, b, strict=True):
-            groups[g][1].append(i)
-        links, pairs, text = 0, {}, []
-        for left, right in groups:
-            links += len(left) * len(right)
-            text.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-            for x, many in _counted(left):
-                for y, more in _counted(right):
-                    pair = x << SHIFT | y
-                    pairs[pair] = pairs.get(pair, 0) + many * more
-        return ";".join(text), len(groups), links, pairs
+        self.forget()
+
+    def forget(self) -> None:
+        """An empty memo: the number of each window's id tuples, and by number the text and figures
+        (groups, links, first place and number of its pairs), with the pairs one after the other."""
+        self.memo: dict[bytes, int] = {}
+        self.texts: list[str] = []
+        self.figures = np.zeros((4, 0), np.int64)
+        self.pairs = np.zeros((2, 0), np.int64)
 
     def same_bytes(self, a: list[int], b: list[int], raw: bytes) -> bool:
-        return all(b"".join([table[i] for i in ids]) == raw for table, ids in zip(self.table, (a, b), strict=True))
-
-    def align(self, a: list[int], b: list[int]) -> tuple[str, int, int, dict]:
-        """As ``window``, for the ids of a whole text."""
-        ia, ib = np.array(a), np.array(b)
-        end_a, end_b = np.cumsum(self.size[0][ia]), np.cumsum(self.size[1][ib])
-        start_a, start_b = end_a - self.size[0][ia], end_b - self.size[1][ib]
-        _, at_a, at_b = np.intersect1d(start_a[self.spaced[0][ia]], start_b[self.spaced[1][ib]],
-                                       assume_unique=True, return_indices=True)
-        at_a = np.flatnonzero(self.spaced[0][ia])[at_a].tolist()
-        at_b = np.flatnonzero(self.spaced[1][ib])[at_b].tolist()
-        if not at_a or at_a[0] or at_b[0]:
-            at_a, at_b = [0, *at_a], [0, *at_b]
-        text, groups, links, used = [], 0, 0, {}
-        memo = self.memo
-        for i, j, k, m in zip(at_a, [*at_a[1:], len(a)], at_b, [*at_b[1:], len(b)], strict=True):
-            key = (tuple(a[i:j]), tuple(b[k:m]))
-            got = memo.get(key)
-            if got is None:
-                got = self.window(*key)
-                if len(key[0]) + len(key[1]) <= MEMO_IDS:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[key] = got
-            text.append(got[0])
-            groups += got[1]
-            links += got[2]
-            seen = used.get(key)
-            used[key] = (1, got[3]) if seen is None else (seen[0] + 1, seen[1])
-        pairs: dict = {}
-        for many, part in used.values():
-            for pair, count in part.items():
-                pairs[pair] = pairs.get(pair, 0) + many * count
-        return ";".join(text), groups, links, pairs
-
-
-def _counted(ids: list[int]) -> list[tuple[int, int]]:
-    if len(ids) == 1:
-        return [(ids[0], 1)]
-    counts: dict = {}
-    for i in ids:
-        counts[i] = counts.get(i, 0) + 1
-    return list(counts.items())
+        return all(b"".join(map(table.__getitem__, ids)) == raw for table, ids in zip(self.table, (a, b), strict=True))
+
+    def windows(self, a: np.ndarray, b: np.ndarray, begin_a: np.ndarray, begin_b: np.ndarray) -> tuple:
+        """Texts of the groups, figures and pairs, as in the memo, of windows with the ids ``a`` and ``b``
+        one after the other, which begin where stated and spell the same bytes."""
+        end_a, end_b = np.cumsum(self.size[0][a]), np.cumsum(self.size[1][b])
+        ends = np.zeros((2, end_a[-1] + 1), bool)
+        ends[0, end_a] = ends[1, end_b] = True
+        shared = ends.all(axis=0)
+        last_a, last_b = np.flatnonzero(shared[end_a]), np.flatnonzero(shared[end_b])
+        first_a, first_b = np.concatenate([[0], last_a[:-1] + 1]), np.concatenate([[0], last_b[:-1] + 1])
+        many_a, many_b = last_a + 1 - first_a, last_b + 1 - first_b
+        head = np.searchsorted(first_a, begin_a)  # first group of each window
+        n_groups = np.diff(np.append(head, len(first_a)))
+        size = many_a * many_b
+        links = np.add.reduceat(size, head)
+        group_window = np.repeat(np.arange(len(head)), n_groups)
+        small = np.where(size <= LARGE, size, 0)
+        of = np.repeat(np.arange(len(size)), small)
+        at = np.arange(len(of)) - np.repeat(np.cumsum(small) - small, small)
+        pair = a[first_a[of] + at // many_b[of]] << SHIFT | b[first_b[of] + at % many_b[of]]
+        window, occurs = group_window[of], np.ones(len(of), np.int64)
+        for g in np.flatnonzero(size > LARGE).tolist():
+            # a group without shared ends over many tokens: its distinct ids, with their numbers
+            (x, nx), (y, ny) = (np.unique(ids[i:j + 1], return_counts=True) for ids, i, j in (
+                (a, first_a[g], last_a[g]), (b, first_b[g], last_b[g])))
+            pair = np.concatenate([pair, (x[:, None] << SHIFT | y).ravel()])
+            occurs = np.concatenate([occurs, (nx[:, None] * ny).ravel()])
+            window = np.concatenate([window, np.full(len(x) * len(y), group_window[g])])
+        window, pair, occurs = _added(window, pair, occurs)
+        bounds = np.searchsorted(window, np.arange(len(head) + 1))
+        str_a, str_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        spelled = [f"{str_a[i]}|{str_b[k]}" if j - i == 1 and m - k == 1 else
+                   f"{','.join(str_a[i:j])}|{','.join(str_b[k:m])}" for i, j, k, m in zip(
+                       first_a.tolist(), (last_a + 1).tolist(), first_b.tolist(), (last_b + 1).tolist(), strict=True)]
+        texts = [";".join(spelled[i:j]) for i, j in pairwise([*head.tolist(), len(spelled)])]
+        return texts, np.stack([n_groups, links, bounds[:-1], np.diff(bounds)]), np.stack([pair, occurs])
+
+    def looked_up(self, ids: tuple, bounds: tuple) -> np.ndarray:
+        """Numbers in the memo of the windows with the given bounds (begin, end of A; begin, end of B);
+        those whose id tuples are new are aligned and added."""
+        begin_a, end_a, begin_b, end_b = bounds
+        n_a, n_b = end_a - begin_a, end_b - begin_b
+        # each window's ids of A, -1 and ids of B as one run of bytes: its key
+        packed = np.full((n_a + n_b + 1).sum(), -1, np.int32)
+        at = np.cumsum(n_a + n_b + 1)
+        start = at - (n_a + n_b + 1)
+        packed[_ranges(start, n_a)] = ids[0][_ranges(begin_a, n_a)]
+        packed[_ranges(start + n_a + 1, n_b)] = ids[1][_ranges(begin_b, n_b)]
+        raw = packed.tobytes()
+        keys = [raw[i:j] for i, j in zip((start * 4).tolist(), (at * 4).tolist(), strict=True)]
+        if len(self.memo) + len(keys) > MEMO:
+            self.forget()
+        number = np.array([self.memo.get(key, -1) for key in keys], np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            a, b = n_a[new], n_b[new]
+            texts, figures, pairs = self.windows(ids[0][_ranges(begin_a[new], a)], ids[1][_ranges(begin_b[new], b)],
+                                                 np.cumsum(a) - a, np.cumsum(b) - b)
+            number[new] = np.arange(len(new)) + len(self.texts)
+            self.memo.update((keys[x], y) for x, y in zip(new.tolist(), number[new].tolist(), strict=True))
+            figures[2] += self.pairs.shape[1]
+            self.texts += texts
+            self.figures = np.concatenate([self.figures, figures], axis=1)
+            self.pairs = np.concatenate([self.pairs, pairs], axis=1)
+        return number
+
+    def align(self, a: list[list[int]], b: list[list[int]]) -> tuple:
+        """For texts with the ids ``a`` and ``b`` (none empty): the groups' texts, arrays of the numbers of
+        groups and links, and the distinct (text, pair, occurrences) as arrays ordered by text, then pair."""
+        side = []
+        for ids, size, spaced in zip((a, b), self.size, self.spaced, strict=True):
+            flat = list(chain.from_iterable(ids))
+            i = np.array(flat, np.int64)
+            first = np.concatenate([[0], np.cumsum([len(x) for x in ids])])[:-1]
+            end = np.cumsum(size[i])
+            side.append((flat, i, first, end - size[i], spaced[i]))
+        cuts = []
+        for (_, i, first, start, spaced), (_, _, _, other, also) in (side, side[::-1]):
+            begins = np.zeros(max(start[-1], other[-1]) + 1, bool)
+            begins[other[also]] = True
+            cut = spaced & begins[start]
+            cut[first] = True  # a text begins a window
+            begin = np.flatnonzero(cut)
+            cuts.append((begin, np.append(begin[1:], len(i)), np.cumsum(cut) - 1))
+        (begin_a, end_a, in_a), (begin_b, end_b, _) = cuts
+        alike, head = self._alike(side, cuts)
+        window = self.looked_up((side[0][1], side[1][1]), (begin_a[head], end_a[head], begin_b[head], end_b[head]))[alike]
+        first = in_a[side[0][2]]  # first window of each text
+        groups, links = (np.add.reduceat(self.figures[k][window], first) for k in (0, 1))
+        spelled = list(map(self.texts.__getitem__, window.tolist()))
+        texts = [";".join(spelled[i:j]) for i, j in pairwise([*first.tolist(), len(spelled)])]
+        # occurrences of each window in a text, then of each pair
+        of = np.repeat(np.arange(len(a)), np.diff(np.append(first, len(window))))
+        used, times = np.unique(of * len(self.texts) + window, return_counts=True)
+        text, window = used // len(self.texts), used % len(self.texts)
+        base, width = self.figures[2:, window]
+        pair, many = self.pairs[:, _ranges(base, width)]
+        return texts, groups, links, *_added(np.repeat(text, width), pair, many * np.repeat(times, width))
+
+    def _alike(self, side: list, cuts: list) -> tuple[np.ndarray, np.ndarray]:
+        """A number for each window, equal for equal id tuples, and a window of each number."""
+        key = np.zeros(len(cuts[0][0]), np.uint64)
+        place = [np.arange(len(i)) - begin[of] for (_, i, *_), (begin, _, of) in zip(side, cuts, strict=True)]
+        for (_, i, *_), (begin, _, _), at in zip(side, cuts, place, strict=True):
+            mixed = mix64((i.astype(np.uint64) << np.uint64(32)) + at.astype(np.uint64) + np.uint64(1))
+            key = mix64(key + np.add.reduceat(mixed, begin))
+        _, head, number = np.unique(key, return_index=True, return_inverse=True)
+        for (_, i, *_), (begin, end, of), at in zip(side, cuts, place, strict=True):
+            same = (end - begin == (end - begin)[head[number]]).all()
+            if not same or not (i == i[begin[head[number[of]]] + at]).all():
+                break
+        else:
+            return number, head
+        # two windows share a hash: number them by their ids
+        numbers: dict = {}
+        (a, *_), (b, *_) = side
+        number = np.array([numbers.setdefault((tuple(a[i:j]), tuple(b[k:m])), len(numbers)) for i, j, k, m in zip(
+            *(x.tolist() for begin, end, _ in cuts for x in (begin, end)), strict=True)])
+        return number, np.unique(number, return_index=True)[1]
+
+
+def _ranges(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... (``n`` of each), one range after the other."""
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def _added(row: np.ndarray, pair: np.ndarray, occurs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, pair), ordered, with the sum of ``occurs``."""
+    key = (row << 2 * SHIFT) + pair  # rows of a batch slice: far fewer than 2^(63 - 2 SHIFT)
+    order = np.argsort(key)
+    key = key[order]
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[new] >> 2 * SHIFT, key[new] & ((1 << 2 * SHIFT) - 1), np.add.reduceat(occurs[order], new)
 
 
 _FIELDS = ("n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, occurs array<long>")
@@ -170,24 +250,27 @@ def _aligned(batches: Iterator[pa.RecordBatch], encoders: Callable, whole: bool)
     aligner = Aligner(bytes_a, bytes_b)
     for batch in batches:
         for row0, data, offs in slices(batch.column(1)):
-            raw, out = data.tobytes(), []
-            for lo, hi in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
-                row = (0, 0, 0, 0, "", [], [])
+            raw, k = data.tobytes(), len(offs) - 1
+            rows, ids_a, ids_b = [], [], []
+            for r, (lo, hi) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)):
                 if hi > lo:
                     text = raw[lo:hi].decode("utf-8", "replace")
                     a, b = encode_a(" " + text), encode_b(text)
                     if a and b and aligner.same_bytes(a, b, b" " + raw[lo:hi]):
-                        groups, n_groups, n_links, pairs = aligner.align(a, b)
-                        if not whole:
-                            groups = hashlib.sha256(groups.encode()).hexdigest()
-                        order = sorted(pairs)
-                        row = (len(a), len(b), n_groups, n_links, groups, order, [pairs[x] for x in order])
-                out.append(row)
-            cols = list(zip(*out, strict=True))
+                        rows.append(r)
+                        ids_a.append(a)
+                        ids_b.append(b)
+            counts, groups = np.zeros((4, k), np.int64), [""] * k
+            of, pair, many = (np.zeros(0, np.int64) for _ in range(3))
+            if rows:
+                texts, n_groups, n_links, of, pair, many = aligner.align(ids_a, ids_b)
+                counts[:, rows] = [len(x) for x in ids_a], [len(x) for x in ids_b], n_groups, n_links
+                of = np.array(rows)[of]
+                for r, text in zip(rows, texts, strict=True):
+                    groups[r] = text if whole else hashlib.sha256(text.encode()).hexdigest()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(row0, len(out)).cast(pa.int64()),
-                 *[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.string()),
-                 *[pa.array(c, pa.list_(pa.int64())) for c in cols[5:]]],
+                [batch.column(0).slice(row0, k).cast(pa.int64()), *[pa.array(c) for c in counts],
+                 pa.array(groups, pa.string()), listed(pair, of, k, pa.int64()), listed(many, of, k, pa.int64())],
                 names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "occurs"])
 
 

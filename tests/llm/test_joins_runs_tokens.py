@@ -279,9 +279,23 @@ def test_alignment_edge_cases(spark, monkeypatch):
     assert aligned(df) == brute_rows(rows)
     assert aligned(df.limit(0)) == []
     monkeypatch.setattr(crosstok, "HOT", 20)  # most pairs are joined by the shuffle
+    monkeypatch.setattr(crosstok, "LARGE", 3)  # most groups are counted by distinct ids
+    monkeypatch.setattr(crosstok, "MEMO", 5)
     assert aligned(df) == brute_rows(rows)
 
 
+def test_tokens_without_shared_ends():
+    table = [b"", b" ", b"ab", b"ba", b" a", b"b"]
+    aligner = crosstok.Aligner(table, table)
+    a, b = [1] + [2] * 4000, [4] + [3] * 3999 + [5]
+    assert aligner.same_bytes(a, b, b" " + b"ab" * 4000)
+    texts, groups, links, of, pair, many = aligner.align([a, [1, 2]], [b, [1, 2]])
+    assert groups.tolist() == [1, 2] and links.tolist() == [4001 * 4001, 2] and texts[1] == "1|1;2|2"
+    assert dict(zip(zip(of.tolist(), (pair >> crosstok.SHIFT).tolist(), (pair % (1 << crosstok.SHIFT)).tolist()), many.tolist())) == {
+        (0, 1, 4): 1, (0, 1, 3): 3999, (0, 1, 5): 1, (0, 2, 4): 4000, (0, 2, 3): 4000 * 3999, (0, 2, 5): 4000,
+        (1, 1, 1): 1, (1, 2, 2): 1}
+
+
 def test_byte_level_ranks_equal_the_json_form(spark):
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(f"{crosstok.FOLDER}/byte_bpe_50k.json")
