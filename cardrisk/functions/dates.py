@@ -21,8 +21,9 @@ def parse_date(c: Column | str, fmt: str = DATE_FORMAT) -> Column:
     return F.try_to_date(_col(c), fmt)
 
 
-def parse_timestamp(c: Column | str, fmt: str = TIMESTAMP_FORMAT) -> Column:
-    """Text -> TIMESTAMP_NTZ (wall-clock time, no session time zone shift); NULL if invalid."""
+def parse_timestamp(c: Column | str, fmt: str = TIMESTAMP_FORMAT + "[.SSSSSS]") -> Column:
+    """Text -> TIMESTAMP_NTZ (wall-clock time, no session time zone shift), seconds with or
+    without a fraction; NULL if invalid."""
     return F.try_to_timestamp(_col(c), F.lit(fmt)).cast("timestamp_ntz")
 
 
