@@ -59,7 +59,7 @@ def add_row_number(df: DataFrame) -> DataFrame:
 def reject_reason(df: DataFrame, amount_col: str = "amount",
                   required: Sequence[str] = (DATE_COL,)) -> Column:
     """Why a raw row cannot go on: malformed line, NULL amount, NULL required column,
-    an amount that money cannot hold (out of range, infinite).
+    an amount that money cannot hold (out of range, infinite, or positive and rounded to 0.00).
 
     NULL when the row is accepted; NaN is left to F1, like a non-positive amount.  A non-positive amount is *not* a Bronze
     reject: Bronze keeps it and the Silver quality filter (F1) drops it.
@@ -73,7 +73,8 @@ def reject_reason(df: DataFrame, amount_col: str = "amount",
         cond = F.col(col).isNull()
         reason = F.when(cond, F.lit(label)) if reason is None else reason.when(cond, F.lit(label))
     too_large = to_money(amount_col).isNull() & ~F.isnan(F.col(amount_col).cast("double"))
-    return reason.when(too_large, F.lit("amount_range"))
+    too_small = (F.col(amount_col) > 0) & (to_money(amount_col) <= 0)
+    return reason.when(too_large, F.lit("amount_range")).when(too_small, F.lit("amount_rounds_to_zero"))
 
 
 def classify(df: DataFrame, amount_col: str = "amount") -> DataFrame:

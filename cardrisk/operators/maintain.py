@@ -17,10 +17,11 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schemas import BATCH_COL, DATE_COL, KEY_COL, PUBLISHED_COLUMNS
+from ..schemas import BATCH_COL, DATE_COL, FROM_COL, KEY_COL, PUBLISHED_COLUMNS, TO_COL
 from ..session import drop_path, has_path, scratch_path
 from ..sinks.writers import write_layer
 from ..sources import versions
@@ -75,6 +76,33 @@ def rewrite_partitions(spark: SparkSession, path: str, content: DataFrame, touch
     return {"rewritten": len(done["written"]), "emptied": len(done["left"]), "touched": list(touched)}
 
 
+_HASH_BITS = 62
+
+
+def _rank(df: DataFrame, lead: Sequence[str], rest: Sequence[str]) -> Column | None:
+    """The order column (NULL first) and a hash of the ``rest`` as one DECIMAL(38,0),
+    or None if the order does not fit 64 bits."""
+    if len(lead) > 1 or "_rank" in df.columns or any(
+            isinstance(f.dataType, (T.MapType, T.VariantType)) for f in df.schema.fields):
+        return None
+    digest = F.xxhash64(*rest) if rest else F.lit(0).cast("long")
+    digest = digest.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)).cast("decimal(19,0)")
+    if not lead:
+        return digest.cast("decimal(38,0)")
+    kind, col = df.schema[lead[0]].dataType, F.col(lead[0])
+    if isinstance(kind, T.DateType):
+        col = F.unix_date(col)
+    elif isinstance(kind, T.TimestampType):
+        col = F.unix_micros(col)
+    elif isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        col = (col * F.lit(10 ** kind.scale).cast("decimal(19,0)")).cast("decimal(19,0)")
+    elif not isinstance(kind, (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return None
+    place = F.coalesce(col.cast("decimal(19,0)") + F.lit(str((1 << 63) + 1)).cast("decimal(19,0)"),
+                       F.lit(0).cast("decimal(19,0)"))
+    return (place * F.lit(1 << _HASH_BITS).cast("decimal(19,0)") + digest).cast("decimal(38,0)")
+
+
 def latest_per_key(df: DataFrame, key: str = KEY_COL,
                    order_col: str | Sequence[str] | None = BATCH_COL) -> DataFrame:
     """One row per non-NULL key: the row with the greatest ``order_col`` (or
@@ -82,12 +110,21 @@ def latest_per_key(df: DataFrame, key: str = KEY_COL,
     remaining columns, so the pick is deterministic).  Rows with a NULL key
     cannot be matched and are passed through unchanged.
 
-    ``max(struct(order, ...))`` is a sort aggregate: each task sorts its rows and
-    keeps one per key before the shuffle, so a key that repeats millions of times
-    sends one row per task.
+    An order of at most one fixed-width column is packed with a hash of the remaining
+    columns into one DECIMAL: a hash aggregate with a 16-byte buffer finds the
+    winner of each key, combined before the shuffle, and a join fetches its row.  Only wholly
+    equal rows share a winner's rank (the hash has 62 bits); they are one row.
+    Other orders take ``max(struct(order, ...))``, a sort aggregate that sorts each
+    task's rows and sends one per key.
     """
     lead = [order_col] if isinstance(order_col, str) else list(order_col or [])
     rest = [c for c in df.columns if c != key and c not in lead]
+    rank = _rank(df, lead, rest)
+    if rank is not None:
+        rows = df.filter(F.col(key).isNotNull()).withColumn("_rank", rank)
+        top = rows.groupBy(key).agg(F.max("_rank").alias("_rank"))
+        best = rows.join(top, [key, "_rank"]).select(*df.columns).dropDuplicates()
+        return best.unionByName(df.filter(F.col(key).isNull()))
     best = (df.filter(F.col(key).isNotNull())
             .groupBy(key)
             .agg(F.max(F.struct(*lead, *rest)).alias("_latest"))
@@ -214,6 +251,73 @@ def read_as_of(spark: SparkSession, path: str, batch_id: int, key: str | None =
     return df
 
 
+OPEN = 2147483647      # ``_to`` of a version that is still valid
+
+
+def append_version(df: DataFrame, path: str, batch_id: int, key: str = KEY_COL,
+                   order_col: str | Sequence[str] | None = None, partition_col: str = DATE_COL,
+                   fmt: str = "parquet") -> dict:
+    """R4 (write side, interval-coded): append ``df`` as batch ``batch_id`` of a keyed history.
+
+    Every version carries the batches it is valid for, from ``_from`` up to before
+    ``_to``.  The history is partitioned by ``_to`` and the date, so the open versions
+    are a table of their own: appending reads the keys of that table only, through the
+    Bloom filter if the batch is large, and rewrites the dates where a version is
+    closed or added.  Closed versions move to ``_to=<batch>`` and are never
+    written again.  One manifest switch makes the batch visible as a whole.
+
+    Of several rows of a key the latest by ``order_col`` enters (see ``latest_per_key``).
+    Rows with a NULL key are never closed.  Dates must not be NULL.  Batches come in rising
+    order; another order raises ValueError.
+    """
+    spark, batch = df.sparkSession, int(batch_id)
+    layout, live = [TO_COL, partition_col], F.col(TO_COL) == F.lit(OPEN)
+    rows = latest_per_key(df, key, order_col).withColumns({FROM_COL: F.lit(batch), TO_COL: F.lit(OPEN)})
+    if versions.manifest(spark, path) is None:
+        done = versions.replace(spark, path, rows, layout, fmt)
+        return {"rewritten": len(done["written"]), "emptied": 0}
+    base = read_layer(spark, path, fmt)
+    if (base.agg(F.max(FROM_COL)).first()[0] or 0) >= batch:
+        raise ValueError(f"batch {batch} does not follow the batches of {path}")
+    rows, scratch = _staged(spark, rows.select(
+        *[F.col(c).cast(base.schema[c].dataType).alias(c) for c in base.columns]), "changes", fmt)
+    new_keys = rows.select(key).filter(F.col(key).isNotNull())
+    fits, n_keys, _ = dimension_fits(new_keys)
+    seen = None if fits else bloom.key_filter(new_keys, key, n_keys)
+    old = base.filter(live).select(key, partition_col).filter(F.col(key).isNotNull())
+    old = semi_join_keys(old if fits else bloom.may_hold(old, seen, key, n_keys), new_keys, key, fits=fits)
+    touched = touched_values(rows.select(partition_col).unionByName(old.select(partition_col)), partition_col)
+    scope, left = base.filter(live & F.col(partition_col).isin(touched)), None
+    if not fits:  # rows that surely match no key, NULL keys among them, are not shuffled
+        marked = bloom.marked(scope, seen, key, n_keys)
+        left = marked.filter(~F.col(bloom.MARK)).select(*base.columns)
+        scope = marked.filter(F.col(bloom.MARK)).select(*base.columns)
+    hits = new_keys.withColumn("_hit", F.lit(True))
+    scope = scope.join(F.broadcast(hits) if fits else hits, key, "left")
+    scope = scope.withColumn(TO_COL, F.when(F.col("_hit"), F.lit(batch)).otherwise(F.col(TO_COL)))
+    content = scope.select(*base.columns).unionByName(rows)
+    content = content if left is None else content.unionByName(left)
+    done = versions.replace(spark, path, content, layout, fmt,
+                            gone=[f"{TO_COL}={OPEN}/{_partition(partition_col, v)}" for v in touched])
+    drop_path(spark, scratch)
+    return {"rewritten": len(done["written"]), "emptied": len(done["left"])}
+
+
+def read_version(spark: SparkSession, path: str, batch_id: int, fmt: str = "parquet",
+                 erased: DataFrame | None = None, subject_col: str = "user_id") -> DataFrame:
+    """An interval-coded history as it was after batch ``batch_id``, one row per key.
+
+    A filter and no more: ``_to`` prunes partitions, ``_from`` is pushed into the
+    scan.  ``_from`` is returned as ``_batch_id``; ``erased`` as in ``read_as_of``.
+    """
+    batch = F.lit(int(batch_id))
+    df = read_layer(spark, path, fmt).filter((F.col(FROM_COL) <= batch) & (F.col(TO_COL) > batch))
+    if erased is not None:
+        from ..plans.ledgers import without_erased
+        df = without_erased(df, erased, subject_col)
+    return df.withColumnRenamed(FROM_COL, BATCH_COL).drop(TO_COL)
+
+
 def published_view(df: DataFrame, layer: str, role: str = "analyst",
                    check: bool = True) -> DataFrame:
     """The allow-listed projection of ``layer`` for ``role``.

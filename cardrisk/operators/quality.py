@@ -6,15 +6,19 @@ aggregation on the executors, one row to the driver at most).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import pct, storable_amount
-from ..schemas import RESTRICTED_COLUMNS
+from ..schemas import KEY_COL, RESTRICTED_COLUMNS
 
 # A run of 13 to 19 digits is a possible full card number (PAN lengths).
 PAN_PATTERN = "[0-9]{13,19}"
+# At least 13 digits, single separators between them allowed; as long as possible.
+CARD_CHAIN = "[0-9](?:[ .-]?[0-9]){12,}"
 
 
 class QualityError(RuntimeError):
@@ -59,10 +63,83 @@ def pii_leak_scan(df: DataFrame, layer: str = "silver", pattern: str = PAN_PATTE
             .select(F.lit(layer).alias("layer"), "column_name", "violations"))
 
 
-def assert_no_leaks(df: DataFrame, layer: str = "silver") -> None:
-    """Q3 + Q4 gate used before publishing a layer."""
+def _card_in_text(text: Column, first: str) -> Column:
+    """Whether a text holds a card number: 13 to 19 digits, in groups that single blanks,
+    dots or hyphens separate, with a card's first digit and a right check digit.
+
+    A chain of digit groups may hold more than the number (a date after it), so every
+    sequence of whole groups is tested; it has at most 19 groups.
+    """
+    chains = F.regexp_extract_all(text, F.lit(CARD_CHAIN), F.lit(0))
+
+    def numbers(chain: Column) -> Column:
+        groups = F.split(chain, "[ .-]")
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: F.transform(
+            F.sequence(i, F.least(F.size(groups), i + 18)), lambda j: F.array_join(F.slice(groups, i, j - i + 1), ""))))
+
+    shape = f"[{first}][0-9]{{12,18}}"
+    found = F.exists(chains, lambda c: F.exists(numbers(c), lambda d: F.when(
+        d.rlike(f"^{shape}$"), F.call_function("luhn_check", d)).otherwise(F.lit(False))))
+    return F.when(text.rlike(CARD_CHAIN), found).otherwise(F.lit(False))
+
+
+def _holds_card(col: Column, kind: T.DataType, first: str) -> Column | None:
+    if isinstance(kind, T.StringType):
+        return _card_in_text(col, first)
+    if isinstance(kind, (T.LongType, T.DecimalType, T.FloatType, T.DoubleType)):
+        return _card_in_text(F.abs(F.floor(col.try_cast("decimal(38,4)"))).cast("string"), first)
+    if isinstance(kind, T.ArrayType):
+        inner = _holds_card(F.lit(None).cast(kind.elementType), kind.elementType, first)
+        return None if inner is None else F.exists(col, lambda x: _holds_card(x, kind.elementType, first))
+    if isinstance(kind, T.MapType):
+        sides = [_holds_card(f(col), T.ArrayType(t), first)
+                 for f, t in ((F.map_keys, kind.keyType), (F.map_values, kind.valueType))]
+    elif isinstance(kind, T.StructType):
+        sides = [_holds_card(col.getField(f.name), f.dataType, first) for f in kind.fields]
+    else:
+        return None
+    sides = [F.coalesce(s, F.lit(False)) for s in sides if s is not None]
+    return reduce(lambda a, b: a | b, sides) if sides else None
+
+
+def card_scan(df: DataFrame, layer: str = "silver", first_digits: str = "23456") -> DataFrame:
+    """Q4 with check digits: per column, how many values hold a card number.
+
+    Unlike ``pii_leak_scan`` it sees numbers written with separators, in integral,
+    decimal and floating columns and inside structs, arrays and maps, and
+    tests the Luhn check digit and the first digit (``first_digits``: payment cards;
+    epoch times and other digit runs pass neither).  Fields of structs are reported by
+    path.  Digits that do not stand as whole groups (a number inside a longer run of
+    digits) are no card number.  NULL values hold none; columns of other types
+    (dates, booleans, binary) are not listed.
+    """
+    tests: list[tuple[str, Column]] = []
+
+    def walk(path: str, col: Column, kind: T.DataType) -> None:
+        if isinstance(kind, T.StructType):
+            for f in kind.fields:
+                walk(f"{path}.{f.name}", col.getField(f.name), f.dataType)
+        elif (test := _holds_card(col, kind, first_digits)) is not None:
+            tests.append((path, test))
+
+    for f in df.schema.fields:
+        walk(f.name, F.col(f"`{f.name.replace('`', '``')}`"), f.dataType)
+    if not tests:
+        return df.sparkSession.createDataFrame([], "layer string, column_name string, violations bigint")
+    counts = df.agg(*[F.count_if(t).alias(f"c{i}") for i, (_, t) in enumerate(tests)])
+    names = F.array(*[F.struct(F.lit(p).alias("column_name"), F.col(f"c{i}").alias("violations"))
+                      for i, (p, _) in enumerate(tests)])
+    return counts.select(F.inline(names)).select(F.lit(layer).alias("layer"), "column_name", "violations")
+
+
+def assert_no_leaks(df: DataFrame, layer: str = "silver",
+                    id_columns: tuple[str, ...] = (KEY_COL, "user_id")) -> None:
+    """Q3 + Q4 gate used before publishing a layer: long digit runs in text, card
+    numbers in any form.  Keys (``id_columns``) may be long numbers, of which some pass the
+    check digit by chance; only their digit runs in text are tested."""
     assert_no_restricted_columns(df)
-    bad = pii_leak_scan(df, layer).filter(F.col("violations") > 0).collect()
+    scans = pii_leak_scan(df, layer).unionByName(card_scan(df.drop(*id_columns), layer))
+    bad = scans.groupBy("column_name").agg(F.max("violations").alias("violations")).filter("violations > 0").collect()
     if bad:
         raise QualityError("possible card numbers in " +
                            ", ".join(f"{r.column_name} ({r.violations})" for r in bad))

@@ -45,8 +45,8 @@ def to_silver(df: DataFrame, mode: str = "affix", card_col: str = "card",
     ``out_col='card_number_masked'`` reproduces phase 2; ``strict`` is the
     leak-free default for new tables.  ``money=True`` stores the amount as
     DECIMAL(12,2), so every later sum is exact; an amount that is no longer
-    positive as money (0.004) or does not fit (Bronze quarantines it as
-    ``amount_range``) is not stored.  ``_corrupt_record`` (which
+    positive as money (0.004) or does not fit is not stored (Bronze quarantines them as
+    ``amount_rounds_to_zero`` and ``amount_range``).  ``_corrupt_record`` (which
     may hold a raw line with a full card number) is never carried over.
     """
     dtype = df.schema[amount_col].dataType

@@ -220,6 +220,20 @@ def q_pii_leak_scan(spark, sf_dir):
     return out
 
 
+@register("card_number_scan")
+def q_card_number_scan(spark, sf_dir):
+    """Card numbers of the raw records in every form: as text, with separators and a date
+    behind, as numbers and nested; beside them epoch times of the same lengths."""
+    card, millis = F.col("card"), F.unix_millis(F.col("event_ts").cast("timestamp"))
+    spaced = F.regexp_replace(card, "([0-9]{4})", "$1 ")
+    rows = tx(spark, sf_dir).select(
+        "card", F.concat(spaced, F.date_format("event_ts", "yyyy-MM-dd")).alias("spaced"),
+        card.cast("decimal(20,0)").alias("number"), card.cast("long").alias("whole"),
+        F.struct(F.array(F.lit("none"), F.concat(F.lit("card "), card)).alias("notes")).alias("nested"),
+        millis.alias("millis"), (millis * 1000).cast("string").alias("micros"))
+    return quality.card_scan(rows, "raw")
+
+
 # -- bronze: raw JSON drop, batch and streaming ingestion --------------------------
 
 def json_drop(spark, sf_dir) -> str:
@@ -444,10 +458,31 @@ def q_as_of(spark, sf_dir):
     return _silver_out(maintain.read_as_of(spark, _history(spark, sf_dir), 1))
 
 
+def _versions(spark, sf_dir) -> str:
+    """The same scenario as an interval-coded history."""
+    path = scratch_path(spark, "versions")
+    full = silver(spark, sf_dir)
+    maintain.append_version(full, path, 1)
+    recent = full.filter((F.col(DATE_COL) >= F.lit(_d(CORRECTIONS_FROM))) & F.col("transaction_id").isNotNull())
+    maintain.append_version(recent.withColumn("amount", (F.col("amount") + 1).cast("decimal(12,2)")), path, 2)
+    return path
+
+
 @register("latest_as_of")
 def q_latest_as_of(spark, sf_dir):
-    return _silver_out(maintain.read_as_of(spark, _history(spark, sf_dir), 2,
-                                           key="transaction_id"))
+    return _silver_out(maintain.read_version(spark, _versions(spark, sf_dir), 2))
+
+
+@register("version_as_of_first")
+def q_version_as_of_first(spark, sf_dir):
+    """The history as it was before its last batch."""
+    return _silver_out(maintain.read_version(spark, _versions(spark, sf_dir), 1))
+
+
+@register("log_latest_as_of")
+def q_log_latest_as_of(spark, sf_dir):
+    """The latest version of each key, picked from the append-only log."""
+    return _silver_out(maintain.read_as_of(spark, _history(spark, sf_dir), 2, key="transaction_id"))
 
 
 @register("published_gold")

@@ -212,6 +212,32 @@ ORACLE_SQL["pii_leak_scan"] = _q(" UNION ALL ".join(
     for c in _STRING_COLS))
 
 
+def _luhn(d: str) -> str:
+    """A card number: 13 to 19 digits, the first 2 to 6, digit sum with every second doubled."""
+    return (f"regexp_full_match({d}, '[2-6][0-9]{{12,18}}') AND list_sum(list_transform(range(1, len({d}) + 1), "
+            f"lambda k: CASE WHEN (len({d}) - k) % 2 = 0 THEN {d}[k]::INT "
+            f"ELSE ({d}[k]::INT * 2) // 10 + ({d}[k]::INT * 2) % 10 END)) % 10 = 0")
+
+
+# Whole groups of 13 to 19 digits in "4532 .... .... .... yyyy-MM-dd" (16 digits) and in
+# "4532 .... .... ...yyyy-MM-dd" (15): first and last digit.
+_GROUPS16 = ((1, 16), (5, 20), (5, 22), (9, 22), (9, 24))
+_GROUPS15 = ((1, 19), (5, 19), (5, 21), (5, 23), (9, 21), (9, 23))
+
+
+def _cut(places) -> str:
+    return "[" + ", ".join(f"substring(card || strftime(event_ts, '%Y%m%d'), {a}, {b - a + 1})" for a, b in places) + "]"
+
+
+ORACLE_SQL["card_number_scan"] = _q(f""",
+forms AS (SELECT unnest(['card', 'number', 'whole', 'nested.notes']) AS column_name, [card] AS d FROM transactions
+          UNION ALL SELECT 'spaced', CASE len(card) WHEN 16 THEN {_cut(_GROUPS16)} ELSE {_cut(_GROUPS15)} END FROM transactions
+          UNION ALL SELECT 'millis', [CAST(epoch_ms(event_ts) AS VARCHAR)] FROM transactions
+          UNION ALL SELECT 'micros', [CAST(epoch_ms(event_ts) * 1000 AS VARCHAR)] FROM transactions)
+SELECT 'raw' AS layer, column_name,
+       COUNT(*) FILTER (WHERE len(list_filter(d, lambda x: x IS NOT NULL AND {_luhn('x')})) > 0) AS violations
+FROM forms GROUP BY column_name""")
+
 # -- bronze ------------------------------------------------------------------------
 
 _REASON = ("CASE WHEN merchant = 'merchant_11' THEN 'malformed' "
@@ -284,6 +310,9 @@ ORACLE_SQL["latest_as_of"] = _q(
     "transaction_date, event_ts, merchant, merchant_category, currency, is_fraud_suspect, "
     f"CASE WHEN {_CORRECTED} THEN 2 ELSE 1 END AS _batch_id FROM silver")
 
+ORACLE_SQL["log_latest_as_of"] = ORACLE_SQL["latest_as_of"]
+ORACLE_SQL["version_as_of_first"] = ORACLE_SQL["as_of_batch"]
+
 ORACLE_SQL["published_gold"] = _q(f"SELECT {_GOLD_OUT} FROM gold")
 ORACLE_SQL["cached_filter"] = ORACLE_SQL["category_day_count"]
 
@@ -328,6 +357,7 @@ odd AS (SELECT merchant, CASE WHEN amount IS NULL THEN NULL {_ODD} ELSE CAST(amo
 stored AS (SELECT merchant, a, TRY_CAST(a AS DECIMAL(12,2)) AS m FROM odd),
 outcomes AS (SELECT merchant, m, CASE WHEN a IS NULL THEN 'null_amount' WHEN isnan(a) THEN NULL
                                       WHEN m IS NULL THEN 'amount_range'
+                                      WHEN a > 0 AND m <= 0 THEN 'amount_rounds_to_zero'
                                       WHEN m > 0 THEN 'silver' END AS outcome FROM stored)
 SELECT merchant, outcome, COUNT(*) AS row_count,
        CASE WHEN outcome = 'silver' THEN CAST(SUM(m) AS DOUBLE) ELSE 0.0::DOUBLE END AS total
@@ -352,7 +382,7 @@ DATE_OUTPUTS = (
     "gold_daily_features", "top_user_days", "top5_user_days", "high_risk_list",
     "daily_volume_7d", "generate_p2", "generate_p3", "generate_demo", "bronze_quarantine",
     "bronze_stream_ingest", "partitioned_roundtrip", "incremental_day", "incremental_gold",
-    "upsert_transactions", "erase_user", "as_of_batch", "latest_as_of", "published_gold",
+    "upsert_transactions", "erase_user", "as_of_batch", "latest_as_of", "log_latest_as_of", "version_as_of_first", "published_gold",
     "incremental_batches", "full_then_incremental", "rebuild_keeps_increments", "one_lake_any_order", "erase_then_rebuild",
     "phase2_layers", "conformed_json", "stream_file_drops", "sql_top_user_days", "sql_high_risk_list",
     "sql_daily_volume_7d")

@@ -39,6 +39,7 @@ from ..operators import silver as silver_ops
 from ..operators.generate import P2Profile, generate
 from ..operators.joins import semi_join_keys
 from ..schemas import BATCH_COL, DATE_COL, KEY_COL, P3_RAW_SCHEMA, SOURCE_FILE_COL, SOURCE_TIME_COL
+from ..session import sized_shuffles
 from ..sinks.writers import write_layer
 from ..sources import versions
 from . import ledgers
@@ -155,15 +156,17 @@ def rebuild_layers(spark: SparkSession, cfg: PipelineConfig) -> dict:
     """Silver and Gold anew from all of Bronze (C6); a table that is there already is
     switched to its new version when that is whole."""
     out: dict = {}
-    for layer, made in (("silver", lambda: silver_of_bronze(spark, cfg)),
-                        ("gold", lambda: gold_ops.risk_profile(read_layer(spark, cfg.path("silver"), cfg.fmt),
-                                                               cfg.risk_threshold))):
+    for layer, source, made in (
+            ("silver", "bronze", lambda: silver_of_bronze(spark, cfg)),
+            ("gold", "silver", lambda: gold_ops.risk_profile(read_layer(spark, cfg.path("silver"), cfg.fmt),
+                                                             cfg.risk_threshold))):
         t = time.perf_counter()
         content, path = made(), cfg.path(layer)
-        if _exists(spark, path, cfg.fmt):
-            versions.replace(spark, path, content, [DATE_COL], cfg.fmt, gone=None)
-        else:
-            write_layer(content, path, fmt=cfg.fmt, partition_by=[DATE_COL])
+        with sized_shuffles(spark, read_layer(spark, cfg.path(source), cfg.fmt)):
+            if _exists(spark, path, cfg.fmt):
+                versions.replace(spark, path, content, [DATE_COL], cfg.fmt, gone=None)
+            else:
+                write_layer(content, path, fmt=cfg.fmt, partition_by=[DATE_COL])
         cfg.publish(spark, layer, schema=content.schema)
         out[f"{layer}_s"] = time.perf_counter() - t
     _loaded(spark, cfg, list(ledgers.batches(spark, cfg.root)))
@@ -244,9 +247,10 @@ def process_batch(spark: SparkSession, cfg: PipelineConfig, classified: DataFram
                     .filter(F.col(BATCH_COL) == F.lit(batch)).drop(BATCH_COL))
         new_silver = ledgers.without_erased(silver_ops.to_silver(accepted, mode=cfg.mask_mode),
                                             ledgers.erased(spark, cfg.root))
-        touched = maintain.upsert(spark, silver_path, new_silver, key=KEY_COL,
-                                  order_col=bronze_ops.POSITION_COLS, fmt=cfg.fmt,
-                                  key_scope=cfg.key_scope, null_scope=SOURCE_FILE_COL)["touched"]
+        with sized_shuffles(spark, accepted, read_layer(spark, silver_path, cfg.fmt).select(KEY_COL, DATE_COL)):
+            touched = maintain.upsert(spark, silver_path, new_silver, key=KEY_COL,
+                                      order_col=bronze_ops.POSITION_COLS, fmt=cfg.fmt,
+                                      key_scope=cfg.key_scope, null_scope=SOURCE_FILE_COL)["touched"]
         cfg.publish(spark, "silver", touched)
     out["silver_s"] = time.perf_counter() - t
     out["touched_dates"] = len(touched)

@@ -15,6 +15,8 @@ KEY_COL = "transaction_id"
 INGEST_TS_COL = "_ingestion_ts"
 SOURCE_FILE_COL = "_source_file"
 BATCH_COL = "_batch_id"
+FROM_COL = "_from"         # validity interval of a version: batches _from <= b < _to
+TO_COL = "_to"
 SOURCE_TIME_COL = "_source_time"
 SOURCE_BLOCK_COL = "_source_block"
 SOURCE_ROW_COL = "_source_row"

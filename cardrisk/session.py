@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for a session this module creates itself.  AQE re-plans shuffles at
 # runtime: it coalesces small shuffle partitions towards the advisory size,
@@ -67,6 +69,37 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 150 * 1024 * 10
     return max(minimum, -(-int(input_bytes) // int(target_bytes)))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan: for scans the size of the files it reads."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _given_by_launcher(spark: SparkSession, key: str) -> bool:
+    return spark.sparkContext.getConf().contains(key)
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, *inputs: DataFrame) -> Iterator[int]:
+    """The shuffle partitions of the jobs inside follow the size of their inputs.
+
+    Yields the count in force.  A count that the cluster set at launch is left as it is, and
+    the default is never lowered, since AQE coalesces small partitions: 200 partitions are
+    too few for an input of over 30 GB, never too many with AQE.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if _given_by_launcher(spark, key):
+        yield int(before)
+        return
+    # an estimate of a join's product can be absurd: the inputs' own sizes are added up instead
+    wanted = max(int(before), shuffle_partitions_for(sum(input_bytes(df) for df in inputs)))
+    spark.conf.set(key, str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(key, before)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

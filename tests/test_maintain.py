@@ -120,3 +120,51 @@ def test_upsert_date_scoped_lookup(spark):
     assert _rows(spark, path) == [("a", 1, 1.0, D1), ("b", 2, 9.0, D2), ("c", 3, 3.0, D2)]
     scoped = read_layer(spark, path).filter(F.col(DATE_COL).isin([D2]))
     assert "PartitionFilters: [" in plan_text(scoped) and "2024-01-02" in plan_text(scoped)
+
+
+def test_winner_is_found_by_hash_aggregate(spark):
+    """Random rows, NULL and equal orders, whole duplicates, against a plain max."""
+    from cardrisk.plans.timing import plan_text
+    rows = [(f"k{i % 7}" if i % 11 else None, None if i % 5 == 0 else i % 4, f"v{i % 9}", dt.date(2024, 1, 1 + i % 3))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "transaction_id string, _seq int, v string, d date").repartition(5)
+    out = maintain.latest_per_key(df, "transaction_id", "_seq")
+    assert "SortAggregate" not in plan_text(out) and "HashAggregate" in plan_text(out)
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == 7 + sum(r[0] is None for r in rows)
+    for key in {r[0] for r in rows} - {None}:
+        mine = [r for r in got if r[0] == key]
+        top = max(-1 if r[1] is None else r[1] for r in rows if r[0] == key)
+        assert len(mine) == 1 and mine[0] in rows and mine[0][1] == top
+    days = {r.transaction_id: r.d for r in maintain.latest_per_key(df, "transaction_id", "d").collect()}
+    assert all(days[k] == max(r[3] for r in rows if r[0] == k) for k in {r[0] for r in rows} - {None})
+
+
+def test_interval_history_equals_replay(spark, monkeypatch):
+    """Every batch's state against a replay in Python; the read has no sort, join or aggregate."""
+    import random
+    from decimal import Decimal as Dec
+    import pytest
+    from cardrisk.plans.timing import plan_text
+    rng = random.Random(5)
+    for small in (True, False):
+        if not small:  # the way of a large batch: Bloom filter and shuffled joins
+            monkeypatch.setattr(maintain, "dimension_fits", lambda df, *a: (False, df.count(), 0))
+        path, state, states = scratch_path(spark, "intervals"), {}, []
+        for batch in range(1, 4):
+            rows = [(f"t{rng.randrange(12)}", batch, Dec(rng.randrange(100)), rng.choice([D1, D2, D3])) for _ in range(8)]
+            rows = list({r[0]: r for r in rows}.values()) + [(None, batch, Dec(1), D1)]
+            state = {**state, **{r[0] or (None, batch): r for r in rows}}
+            states.append(sorted(((r[0], r[1], r[2], r[3]) for r in state.values()), key=str))
+            maintain.append_version(spark.createDataFrame(rows, SCHEMA), path, batch)
+        for batch, want in enumerate(states, 1):
+            got = maintain.read_version(spark, path, batch)
+            rows = sorted(((r.transaction_id, r.user_id, r.amount, r.transaction_date) for r in got.collect()), key=str)
+            assert rows == want
+            text = plan_text(got)
+            assert not any(x in text for x in ("Sort", "Join", "Aggregate", "Exchange"))
+            assert "_to" in text.split("PartitionFilters", 1)[1].split("\n")[0]
+        with pytest.raises(ValueError):
+            maintain.append_version(spark.createDataFrame([], SCHEMA), path, 2)
+        maintain.append_version(spark.createDataFrame([], SCHEMA), path, 9)
+        assert maintain.read_version(spark, path, 9).count() == len(states[-1])

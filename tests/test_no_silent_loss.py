@@ -41,7 +41,7 @@ def test_amounts_that_money_cannot_hold_are_quarantined(spark):
     rows = [(str(i), a, day) for i, a in enumerate([10.0, 1e11, 0.004, float("nan"), float("inf"), -1.0, None])]
     df = bronze.classify(spark.createDataFrame(rows, "card string, amount double, transaction_date date"))
     reasons = {r.card: r[bronze.REASON_COL] for r in df.collect()}
-    assert reasons == {"0": None, "1": "amount_range", "2": None, "3": None, "4": "amount_range",
+    assert reasons == {"0": None, "1": "amount_range", "2": "amount_rounds_to_zero", "3": None, "4": "amount_range",
                        "5": None, "6": "null_amount"}
     stored = silver.to_silver(df)
     assert stored.filter("amount is null or amount <= 0").count() == 0 and stored.count() == 1
