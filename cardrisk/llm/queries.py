@@ -48,8 +48,8 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through an ARC archive, the converter and a WARC archive."""
     arc, out = scratch_path(spark, "op5-arc"), scratch_path(spark, "op5-warc")
-    warc.write_arc(warc.arc_rows(load(spark, sf_dir, "pages")), arc)
-    warc.write_warc(warc.read_arc(spark, arc), out, F.col("page").cast("long"), warc.read_arc(spark, arc, blocks=False))
+    warc.write_arc(warc.arc_rows(load(spark, sf_dir, "pages")), arc, version=(1, 2))
+    warc.write_warc(warc.read_arc(spark, arc), out, warc.page_order(), warc.read_arc(spark, arc, blocks=False))
     rows = warc.read_warc(spark, out, payloads=False).select(
         "record", F.expr("try_cast(page as long)").alias("page_id"), "payload_bytes", "payload_digest",
         F.col("type").alias("record_type"), F.col("refers_to").alias("to"))

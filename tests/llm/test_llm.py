@@ -69,6 +69,30 @@ def test_near_dedup_of_repeated_ids(spark):
     assert sorted(left) == [(0, a), (1, a), (4, ""), (5, c), (9, b)]
 
 
+def test_near_dedup_sees_the_texts_before_the_cut(spark):
+    lines = [prose(k, 12) for k in range(12)]
+    whole = {0: "\n".join(lines), 1: "\n".join([*lines[:11], prose(50, 12)]), 2: prose(60, 40),
+             3: f"{lines[0]}\n{prose(70, 60)}", 4: None, 5: "\n".join(lines), 6: "\n".join(lines)}
+    cut = {**whole, 1: prose(50, 12), 3: prose(70, 60), 5: "a stub"}
+    kinds = "doc_id long, text string, _id long, _key long"
+    table = spark.createDataFrame([(k, t, 7, 8) for k, t in cut.items()] + [(None, cut[1], 7, 8)], kinds)
+    before = spark.createDataFrame([(k, t) for k, t in whole.items()] + [(6, prose(80, 30))], "doc_id long, text string")
+    assert {r[0] for r in near_dedup.drop_near_duplicates(table.select("doc_id", "text")).collect()} == {None, 0, 1, 2, 3, 4, 5}
+    left = near_dedup.drop_near_duplicates(table, before=before)
+    assert left.schema == table.schema and {tuple(r)[2:] for r in left.collect()} == {(7, 8)}
+    assert {r[0] for r in left.collect()} == {None, 0, 2, 3, 4}
+    texts = {r[0]: r[1] for r in left.collect()}
+    assert texts[3] == cut[3] and texts[None] == cut[1]
+    # A first member whose two texts are alike stays; a chain over both texts leaves its smallest id.
+    a, b = prose(90, 50), prose(91, 50)
+    table = spark.createDataFrame([(1, a), (2, f"{a} x"), (3, b), (4, f"{b} y")], "doc_id long, text string")
+    before = spark.createDataFrame([(1, f"{a} z"), (2, b), (3, b), (4, b)], "doc_id long, text string")
+    assert {r[0] for r in near_dedup.drop_near_duplicates(table, before=before).collect()} == {1}
+    none = table.limit(0)
+    assert near_dedup.drop_near_duplicates(none, before=none).count() == 0
+    assert near_dedup.drop_near_duplicates(table, before=none).count() == 2
+
+
 def test_line_dedup_cuts_the_later_copy(spark):
     a, b, c = (prose(k, 30) for k in (1, 2, 3))
     texts = [f"{a}\nshort\n{b}", f"own words here\n{b}\n{a}", f"{a}\nshort\n{b}", f"{c}\nshort", None, "", c]
@@ -355,3 +379,43 @@ def test_pipeline_runs_and_keeps_the_columns(spark):
         assert table.columns == given.columns, name
     out = corpus_pipeline.run(spark, SF)
     assert set(given.columns) <= set(out.columns) and out.count() <= given.count()
+
+
+def test_pipeline_near_stage_decides_before_the_cut(spark):
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    whole = {r[0] for r in near_dedup.drop_near_duplicates(docs).select("doc_id").collect()}
+    cut = corpus_pipeline.line_stage(spark, docs, SF)
+    left = {r[0] for r in corpus_pipeline.near_stage(spark, cut, SF).select("doc_id").collect()}
+    assert left <= whole
+
+
+def test_arc_oddities(spark, tmp_path):
+    """Repeated rows, NULL ids, Latin-1 headers, short and broken dates, both versions."""
+    import datetime
+    import gzip as gz
+    from cardrisk.llm import warc
+    body = "x" * 200
+    pages = spark.createDataFrame([(1, "http://a/", body), (1, "http://a/", body), (None, "http://b/", body), (2, None, None)]
+                                  + [(k, f"http://c/{k}", prose(k, 40)) for k in range(10, 40)],
+                                  "page_id long, url string, html string")
+    warc.write_arc(warc.arc_rows(pages), f"{tmp_path}/arc", version=(1, 2), bytes_per_file=2000)
+    heads = [gz.open(f).read(200).split(b"\n")[1][:1] for f in sorted((tmp_path / "arc").glob("part-*.gz"))]
+    assert {b"1", b"2"} <= set(heads)
+    arc = f"{tmp_path}/arc"
+    warc.write_warc(warc.read_arc(spark, arc), f"{tmp_path}/warc", warc.page_order(), warc.read_arc(spark, arc, blocks=False),
+                    bytes_per_file=4000)
+    rows = warc.read_warc(spark, f"{tmp_path}/warc").collect()
+    assert len(rows) == 34 == len({r["record"] for r in rows}) and len(list((tmp_path / "warc").glob("part-*"))) > 2
+    same = [r for r in rows if r["payload_digest"] == max(rows, key=lambda r: r["type"] == "revisit")["payload_digest"]]
+    assert sorted((r["type"], r["page"]) for r in same) == [("response", "1"), ("revisit", ""), ("revisit", "1")]
+    assert {r["refers_to"] for r in same if r["type"] == "revisit"} == {r["record"] for r in same if r["type"] == "response"}
+    data = warc.arc_header(1, "n", "20080430204825") + b"\n" + b"".join(
+        b"http://x/caf\xe9 1.1.1.1 %s text/html 2\nab\n" % d for d in (b"200804302048", b"20080430204825", b"2008", b"20089930204825", b"-"))
+    got = [dict(h) for r in warc.parse_arc(data) for h, _ in warc.parse_warc(warc.to_warc(r) + b"\r\n\r\n")]
+    assert [h["WARC-Date"] for h in got] == ["2008-04-30T20:48:00Z", "2008-04-30T20:48:25Z", "2008-01-01T00:00:00Z",
+                                             "1970-01-01T00:00:00Z", "1970-01-01T00:00:00Z"]
+    assert [h.get("ARC-Archive-Date") for h in got] == ["200804302048", None, "2008", "20089930204825", "-"]
+    assert {h["WARC-Target-URI"] for h in got} == {"http://x/caf\xe9"} and len({h["WARC-Record-ID"] for h in got}) == 5
+    assert all(datetime.datetime.fromisoformat(h["WARC-Date"]) for h in got)
+    assert warc.read_warc(spark, f"{tmp_path}/warc").limit(0).count() == 0
