@@ -26,8 +26,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays (5-word shingles, 0.8)."""
-    return near_dedup.drop_near_duplicates(docs)
+    """One document of each near-duplicate class stays (5-word shingles, 0.8), decided on the texts
+    that ``docs`` holds and on those before line dedup cut them."""
+    return near_dedup.drop_near_duplicates(docs, before=load(spark, sf_dir, "documents"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
