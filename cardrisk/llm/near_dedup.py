@@ -236,8 +236,8 @@ def _keyed(docs: DataFrame, several: DataFrame) -> DataFrame:
 
 
 def _decided(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-    """Decisions (doc_id, n_shingles, component_id, kept, key, first: the id whose text stays), the ids
-    with several texts (doc_id, main; None if there are none) and all ids with several rows."""
+    """Decisions (doc_id, n_shingles, component_id, kept, key), the ids with several texts
+    (doc_id, main; None if there are none) and all ids with several rows."""
     sk = staged(sketch(docs, n), "op4-sketch")
     ids = sk.groupBy("doc_id").agg(F.count("*").alias("rows"))
     repeated = staged(ids.where("rows > 1").select("doc_id"), "op4-repeated")
@@ -247,8 +247,8 @@ def _decided(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     several = staged(several.where("main < last").select("doc_id", "main"), "op4-several")
     if several.isEmpty():
         got = _classes(docs, sk, n, percent)
-        return (got.withColumn("kept", F.col("doc_id") == F.col("component_id")).withColumn("key", F.col("doc_id"))
-                .withColumn("first", F.col("component_id")), None, repeated)
+        return (got.withColumn("kept", F.col("doc_id") == F.col("component_id")).withColumn("key", F.col("doc_id")),
+                None, repeated)
     keyed = _keyed(docs, several).select(F.col("doc_id").cast("long").alias("_id"), F.col("_key").alias("doc_id"), "text")
     key = keyed.where("doc_id is not null").select(F.col("doc_id").alias("key"), "_id").distinct()
     got = _classes(keyed, staged(sketch(keyed, n), "op4-sketch"), n, percent)
@@ -260,7 +260,7 @@ def _decided(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     comp = components(links.select(F.col("a").alias("id")).distinct(), links.where("a <> b"))
     out = got.join(comp, F.col("_id") == F.col("id")).select(
         F.col("_id").alias("doc_id"), "n_shingles", F.col("comp").alias("component_id"),
-        (F.col("key") == F.col("first.key")).alias("kept"), "key", F.col("first._id").alias("first"))
+        (F.col("key") == F.col("first.key")).alias("kept"), "key")
     return out, several, repeated
 
 
@@ -269,26 +269,30 @@ def classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     Links: ``100 * |A n B| >= percent * |A u B|`` on ``n``-word shingle sets.
     """
-    return _decided(docs, n, percent)[0].drop("kept", "key", "first")
+    return _decided(docs, n, percent)[0].drop("kept", "key")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row per document with its class and whether its text is the one that stays."""
-    return _decided(docs, n, percent)[0].drop("key", "first")
+    return _decided(docs, n, percent)[0].drop("key")
 
 
-def _earlier(docs: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(id) of the documents whose text ``before`` has otherwise, and their rows (doc_id, text)
-    there; only ids with one row on both sides."""
+def _copies_before(docs: DataFrame, before: DataFrame, n: int, percent: int) -> DataFrame:
+    """(_copy) ids of the documents that are later members of a class by their texts in
+    ``before``; only ids with one row on both sides have such a text."""
     def single(df: DataFrame, name: str) -> DataFrame:
         rows = df.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), _text_hash().alias("t"))
         return rows.groupBy("id").agg(F.count("*").alias("rows"), F.min("t").alias(name)).where("rows = 1").drop("rows")
 
     changed = single(docs, "now").join(single(before, "then"), "id").where("now <> then").select("id")
-    changed = staged(changed, "op4-changed")
-    texts = before.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    few = broadcast_if_small(changed)
-    return changed, texts.join(few, texts["doc_id"] == few["id"], "left_semi")
+    changed = broadcast_if_small(staged(changed, "op4-changed"))
+    texts = [df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+             for df in (docs, before)]
+    own, earlier = (df.join(changed, df["doc_id"] == changed["id"], how)
+                    for df, how in zip(texts, ("left_anti", "left_semi")))
+    got, _, repeated = _decided(own.unionByName(earlier), n, percent)
+    copies = got.where("not kept").select("doc_id").join(repeated, "doc_id", "left_anti").distinct()
+    return broadcast_if_small(staged(copies.withColumnRenamed("doc_id", "_copy"), "op4-copies"))
 
 
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, before: DataFrame | None = None) -> DataFrame:
@@ -296,29 +300,18 @@ def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, before:
     ids and texts one stays, rows with a NULL id are kept as they are.
 
     ``before`` (doc_id, text): the documents as they were before an earlier stage cut their
-    texts.  A document then has both texts, and goes if either of them is a later member of a
-    class: cutting the lines that copies share leaves stubs that no longer look like
-    copies.  The smallest id of a class always stays unless its other text is a copy of a
-    still smaller one.  Ids that repeat, or that ``before`` lacks, have their own text only.
+    texts.  They are then decided twice, first with the earlier texts, and what is left with
+    their own: cutting the lines that copies share leaves stubs that no longer look like
+    copies.  Ids that repeat, or that ``before`` lacks, have their own text only; repeated
+    ids are left to the second decision.
     """
     names = docs.columns
     docs = docs.toDF(*[c if c in ("doc_id", "text") else f"in{i}" for i, c in enumerate(names)])  # no clashes
-    if before is None:
-        changed, both = None, docs
-    else:
-        changed, texts = _earlier(docs, before)
-        both = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        both = both.unionByName(texts)
-    got, several, repeated = _decided(both, n, percent)
+    if before is not None:
+        docs = docs.join(_copies_before(docs, before, n, percent), F.col("doc_id").cast("long") == F.col("_copy"), "left_anti")
+    got, several, repeated = _decided(docs, n, percent)
+    gone = got.where("not kept").select(F.col("key").alias("_key")).distinct()
     rows = docs.withColumn("_key", F.col("doc_id").cast("long")) if several is None else _keyed(docs, several)
-    later = got.where("not kept").select(F.col("key").alias("_key"), F.col("doc_id").alias("_doc"), "first")
-    if changed is not None:
-        mine = broadcast_if_small(changed.select(F.col("id").alias("_doc")))
-        copies = later.join(mine, "_doc", "left_semi").where("first <> _doc").select("_doc").distinct()
-        rows = rows.withColumn("_doc", F.col("doc_id").cast("long")).join(copies, "_doc", "left_anti").drop("_doc")
-        later = later.join(mine, "_doc", "left_anti")
-        repeated = repeated.join(mine.withColumnRenamed("_doc", "doc_id"), "doc_id", "left_anti")
-    gone = later.select("_key").distinct()
     left = rows.join(gone, "_key", "left_anti")
     if repeated.isEmpty():
         return left.select(*docs.columns).toDF(*names)
