@@ -2,7 +2,9 @@
 
 Method.  Token counts are summed per cell (source, language, topic).  Raking
 visits the three dimensions in turn and scales each value's factor so that the
-weighted tokens of the value meet its target share, until none moves by 1e-4.  A
+weighted tokens of the value meet its target share, until none moves by 1e-4.  Targets
+that no weights of the cells can meet leave a residual, which is returned (``mix_residual``) and
+raises ``RakingError`` where it is over the one allowed.  A
 document's weight w is the product of its three factors.  The expected number of
 its copies is c*w, with one scale c for all: the least that keeps the expected share
 ``keep`` of the tokens, each document counted once, or that keeps the hottest
@@ -64,9 +66,17 @@ def tempered(cells: DataFrame, dim: str, power: float) -> DataFrame:
     return value.select("value", (F.col("p") / F.lit(whole)).alias("target"))
 
 
+class RakingError(Exception):
+    """The weights found are too far from the targets."""
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-4,
-         max_rounds: int = 50) -> dict[str, DataFrame]:
-    """Factor tables (value, f) per dimension; ``cells``: ``_source, _lang, _topic, tokens``."""
+         max_rounds: int = 50, allowed: float | None = None) -> tuple[dict[str, DataFrame], float]:
+    """Factor tables (value, f) per dimension, and the residual: the greatest relative
+    correction of a factor in the last round (0.01: a marginal was 1% off its target).
+    ``cells``: ``_source, _lang, _topic, tokens``.  Raking ends at ``tolerance`` or after
+    ``max_rounds``; a residual over ``allowed``, if given, raises ``RakingError``."""
+    moved = 0.0
     factors = {d: staged(targets[d].select("value", F.lit(1.0).alias("f"), "target"), "op7-f") for d in DIMS}
     for _ in range(max_rounds):
         moved = 0.0
@@ -90,7 +100,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
             factors[d] = new.drop("step")
         if moved < tolerance:
             break
-    return {d: f.select("value", "f") for d, f in factors.items()}
+    if allowed is not None and moved > allowed:
+        raise RakingError(f"targets not met after {max_rounds} rounds: a marginal is still off by {moved:.3g}")
+    return {d: f.select("value", "f") for d, f in factors.items()}, moved
 
 
 def scale(weighed: DataFrame, keep: float) -> float:
@@ -117,18 +129,20 @@ def scale(weighed: DataFrame, keep: float) -> float:
 
 
 def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = 0.9, seed: int = 11,
-          topic: Column | None = None, keep: float = 0.75) -> DataFrame:
-    """``docs`` with topic, n_tokens, mix_weight, mix_probability, mix_kept and mix_repeats
-    (0 where not kept).
+          topic: Column | None = None, keep: float = 0.75, allowed: float | None = None) -> DataFrame:
+    """``docs`` with topic, n_tokens, mix_weight, mix_probability, mix_residual, mix_kept and
+    mix_repeats (0 where not kept).
 
     ``keep``: expected share of the tokens to keep at least, 0 to 1 (0: only the hottest cell is sure to stay whole).
     ``targets``: (value, target share) per dimension; by default the corpus' own
-    shares raised to ``power`` (1: as they are, 0: all alike).
+    shares raised to ``power`` (1: as they are, 0: all alike).  ``mix_residual``, the same in
+    every row: the greatest relative distance of a marginal from its target in the last round;
+    more than ``allowed``, if given, raises ``RakingError``.
     """
-    rows = with_cells(docs.drop("topic", "mix_weight", "mix_probability", "mix_kept", "mix_repeats"), topic)
+    rows = with_cells(docs.drop("topic", "mix_weight", "mix_probability", "mix_residual", "mix_kept", "mix_repeats"), topic)
     cells = staged(rows.groupBy(*[f"_{d}" for d in DIMS]).agg(F.sum("n_tokens").alias("tokens")), "op7-cells")
     targets = targets or {d: tempered(cells, d, power) for d in DIMS}
-    factors = rake(cells.where("tokens > 0"), targets)
+    factors, residual = rake(cells.where("tokens > 0"), targets, allowed=allowed)
     weighed = cells
     for d in DIMS:
         weighed = weighed.join(factors[d].select(F.col("value").alias(f"_{d}"), F.col("f").alias(f"f_{d}")),
@@ -143,5 +157,5 @@ def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: f
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11).cast("double") / float(1 << 53)
     rows = rows.join(broadcast_if_small(cell), [f"_{d}" for d in DIMS], "left")
     more = F.floor("_copies") + (draw < F.col("_copies") - F.floor("_copies")).cast("long")
-    rows = rows.withColumn("mix_kept", draw < F.col("mix_probability")).withColumn("mix_repeats", more)
+    rows = rows.withColumn("mix_residual", F.lit(residual)).withColumn("mix_kept", draw < F.col("mix_probability")).withColumn("mix_repeats", more)
     return rows.withColumnRenamed("_topic", "topic").drop("_source", "_lang", "_copies")

@@ -76,7 +76,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, sampling probability and decision of every document."""
     got = mixing.mixed(load(spark, sf_dir, "documents"))
     return got.select("doc_id", "source", "lang", "topic", "n_tokens", "mix_weight", "mix_probability", "mix_kept",
-                      "mix_repeats")
+                      "mix_repeats", "mix_residual")
 
 
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -241,9 +241,20 @@ def test_raking_meets_the_targets(spark):
         assert abs(out.loc[out["source"] == s, "w"].sum() - t) < 1e-3
     assert abs(out.loc[out["lang"].isna(), "w"].sum() - .4) < 1e-3
     assert out["mix_probability"].between(0, 1).all() and abs(out["mix_probability"].max() - 1) < 1e-9
+    assert out["mix_residual"].max() < 1e-4
     assert mixing.mixed(df.limit(0)).count() == 0
 
 
+def test_raking_tells_of_targets_that_cannot_be_met(spark):
+    rows = [("s0", "en", "prose", 10), ("s1", "de", "prose", 10)]  # a source has one language each
+    cells = spark.createDataFrame(rows, "_source string, _lang string, _topic string, tokens long")
+    target = {"source": {"s0": .5, "s1": .5}, "lang": {"en": .9, "de": .1}, "topic": {"prose": 1.0}}
+    frames = {d: spark.createDataFrame(list(t.items()), "value string, target double") for d, t in target.items()}
+    assert mixing.rake(cells, frames, max_rounds=3)[1] > .1
+    with pytest.raises(mixing.RakingError):
+        mixing.rake(cells, frames, max_rounds=3, allowed=.01)
+
+
 def test_one_rare_row_does_not_set_the_kept_share(spark):
     texts = [prose(i, 20) for i in range(300)]
     rows = [(i, t, "en" if i % 3 else "de", f"s{i % 7 // 4}", 0, "", "") for i, t in enumerate(texts)]
