@@ -73,9 +73,13 @@ def _size(line: str, words: int) -> int:
 
 def _line_size(line: Column) -> Column:
     """``_size`` of a line without leading and trailing blanks, as a column."""
-    words = F.size(F.filter(F.split(F.translate(line, "\t\n\x0b\x0c\r", "     "), " +"), lambda w: w != ""))
+    odd = F.lit(False)  # blanks other than single spaces
+    for blank in ("  ", "\t", "\x0b", "\x0c", "\r"):
+        odd = odd | F.contains(line, F.lit(blank))
+    plain = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    words = F.when(odd, F.size(F.filter(F.split(line, "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))).otherwise(plain)
     marks = F.when(F.octet_length(line) > F.char_length(line),
-                   F.char_length(F.regexp_replace(line, f"[^{_SCRIPTS}]", ""))).otherwise(0)
+                   F.char_length(F.regexp_replace(line, f"[^{_SCRIPTS}]+", ""))).otherwise(0)
     return F.greatest(words, F.floor(F.char_length(line) / LONG_WORD), F.floor(marks / 2)).cast("int")
 
 

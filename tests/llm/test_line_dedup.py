@@ -59,7 +59,7 @@ def test_positions_shipped_are_linear_in_the_lines(spark):
 
 
 def test_sizes_agree_with_the_column(spark):
-    lines = ["one two", "\t", "a\tb  c", "x" * 100, "这是一段没有空格的中文文本", "ação é", "ไทยไทยไทย ok", "\x1f a", "𠀀𠀁𠀂𠀃"]
+    lines = ["one two", "\t", "a\tb  c", "a  b", "a\rb c", "x\x0b\x0cy", "plain words of a line", "x" * 100, "这是一段没有空格的中文文本", "ação é", "ไทยไทยไทย ok", "\x1f a", "𠀀𠀁𠀂𠀃"]
     rows = spark.createDataFrame([(x,) for x in lines], "x string").select("x", line_dedup._line_size(F.col("x")).alias("n"))
     for x, n in rows.collect():
         assert n == line_dedup._size(x, len(x.encode().split())), x
