@@ -17,8 +17,9 @@ from ..schemas import KEY_COL, RESTRICTED_COLUMNS
 
 # A run of 13 to 19 digits is a possible full card number (PAN lengths).
 PAN_PATTERN = "[0-9]{13,19}"
-# At least 13 digits, single separators between them allowed; as long as possible.
-CARD_CHAIN = "[0-9](?:[ .-]?[0-9]){12,}"
+# At least 13 digits, single separators between them allowed; as long as possible (possessive:
+# there is nothing to give back, and the length of a chain takes no stack).
+CARD_CHAIN = "[0-9](?:[ .-]?+[0-9]){12,}+"
 
 
 class QualityError(RuntimeError):
@@ -63,31 +64,47 @@ def pii_leak_scan(df: DataFrame, layer: str = "silver", pattern: str = PAN_PATTE
             .select(F.lit(layer).alias("layer"), "column_name", "violations"))
 
 
+def _card_in_digits(digits: Column, first: str) -> Column:
+    """Whether digits without separators are a card number as a whole: 13 to 19 of them, a
+    card's first digit and a right check digit."""
+    return digits.rlike(rf"\A[{first}][0-9]{{12,18}}\z") & F.call_function("luhn_check", digits)
+
+
 def _card_in_text(text: Column, first: str) -> Column:
     """Whether a text holds a card number: 13 to 19 digits, in groups that single blanks,
     dots or hyphens separate, with a card's first digit and a right check digit.
 
     A chain of digit groups may hold more than the number (a date after it), so every
-    sequence of whole groups is tested; it has at most 19 groups.
+    sequence of whole groups is tested that has a card's length: from each group that starts
+    as a card does, up to 19 digits on (and one more, that tells whether a group ends there).
     """
-    chains = F.regexp_extract_all(text, F.lit(CARD_CHAIN), F.lit(0))
+    starts = rf"(?<![0-9])(?=([{first}](?:[ .-]?+[0-9]){{12,18}}+[0-9]?))"
 
-    def numbers(chain: Column) -> Column:
-        groups = F.split(chain, "[ .-]")
-        return F.flatten(F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: F.transform(
-            F.sequence(i, F.least(F.size(groups), i + 18)), lambda j: F.array_join(F.slice(groups, i, j - i + 1), ""))))
+    def with_digits(part: Column) -> Column:
+        digits = reduce(lambda d, mark: F.replace(d, F.lit(mark), F.lit("")), " .-", part)
+        return F.struct(part.alias("text"), digits.alias("digits"))
 
-    shape = f"[{first}][0-9]{{12,18}}"
-    found = F.exists(chains, lambda c: F.exists(numbers(c), lambda d: F.when(
-        d.rlike(f"^{shape}$"), F.call_function("luhn_check", d)).otherwise(F.lit(False))))
-    return F.when(text.rlike(CARD_CHAIN), found).otherwise(F.lit(False))
+    def in_groups(part: Column) -> Column:
+        return reduce(lambda a, b: a | b, [
+            F.call_function("luhn_check", part.digits.substr(1, n)) & part.text.rlike(rf"\A(?:[ .-]?+[0-9]){{{n}}}+(?![0-9])")
+            for n in range(13, 20)])
+
+    def in_chain(chain: Column) -> Column:
+        parts = F.transform(F.regexp_extract_all(chain, F.lit(starts), F.lit(1)), with_digits)
+        return F.when(chain.rlike("[ .-]"), F.exists(parts, in_groups)).otherwise(_card_in_digits(chain, first))
+
+    chains = F.regexp_extract_all(text, F.lit(CARD_CHAIN), F.lit(0))
+    return (F.when(text.rlike(r"\A[0-9]*\z"), _card_in_digits(text, first))
+            .when(text.rlike(CARD_CHAIN), F.exists(chains, in_chain)).otherwise(F.lit(False)))
 
 
 def _holds_card(col: Column, kind: T.DataType, first: str) -> Column | None:
     if isinstance(kind, T.StringType):
         return _card_in_text(col, first)
-    if isinstance(kind, (T.LongType, T.DecimalType, T.FloatType, T.DoubleType)):
-        return _card_in_text(F.abs(F.floor(col.try_cast("decimal(38,4)"))).cast("string"), first)
+    if isinstance(kind, T.LongType) or isinstance(kind, T.DecimalType) and kind.scale == 0:
+        return _card_in_digits(F.translate(col.cast("string"), "-", ""), first)
+    if isinstance(kind, (T.DecimalType, T.FloatType, T.DoubleType)):
+        return _card_in_digits(F.abs(F.floor(col.try_cast("decimal(38,4)"))).cast("string"), first)
     if isinstance(kind, T.ArrayType):
         inner = _holds_card(F.lit(None).cast(kind.elementType), kind.elementType, first)
         return None if inner is None else F.exists(col, lambda x: _holds_card(x, kind.elementType, first))

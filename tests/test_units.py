@@ -2,6 +2,9 @@
 the edge rows it never tested (FIXTURES.md §1)."""
 
 import math
+import random
+import re
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,6 +153,55 @@ def test_card_scan_finds_numbers_in_every_form(spark):
     assert card_scan(df.select("day")).count() == 0 and {r[2] for r in card_scan(df.limit(0)).collect()} == {0}
 
 
+def _holds_card(text, first="23456"):
+    """Every sequence of whole groups of every chain, as the scan's contract says it."""
+    def luhn(d):
+        twice = [int(c) * (1 + k % 2) for k, c in enumerate(reversed(d))]
+        return sum(x - 9 * (x > 9) for x in twice) % 10 == 0
+    for chain in re.findall("[0-9](?:[ .-]?[0-9])*", text):
+        groups = re.split("[ .-]", chain)
+        for i in range(len(groups)):
+            for j in range(i, len(groups)):
+                d = "".join(groups[i:j + 1])
+                if 13 <= len(d) <= 19 and d[0] in first and luhn(d):
+                    return True
+    return False
+
+
+def test_card_scan_tests_every_sequence_of_groups(spark):
+    from cardrisk.operators.quality import card_scan
+    rng, texts = random.Random(3), []
+    for _ in range(1500):
+        most, marks = rng.choice([2, 4, 7, 16, 22]), rng.choice([" ", " .-", [" ", "-", "", "  ", ", "]])
+        groups = ["".join(rng.choices("0123456789", k=rng.randint(1, most))) + rng.choice(marks) for _ in range(rng.randint(4, 16))]
+        texts.append(rng.choice(["", "no 7, ", "12 34  "]) + "".join(groups) + rng.choice(["", "x", "\n"]))
+    texts += ["4111111111111111\n", "\u0664111111111111111", "", "1", "x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    want = [i for i, t in enumerate(texts) if _holds_card(t)]
+    assert 200 < len(want) < 1300        # of both kinds
+    assert card_scan(df.select("t")).first().violations == len(want)
+    assert card_scan(df.filter(F.col("id").isin(want)).select("t")).first().violations == len(want)
+    nested = df.select(F.array(F.struct("t")).alias("a"))
+    assert card_scan(nested).first().violations == len(want)
+
+
+def test_card_scan_tests_numbers_without_looking_for_chains(spark):
+    from cardrisk.operators.quality import card_scan
+    rows = [(4111111111111111, Decimal("4111111111111111"), 4111111111111111.5),
+            (-4111111111111111, Decimal("-4111111111111111"), -4111111111111110.5),
+            (-2**63, Decimal(9) * 10**18, math.nan), (None, None, None)]
+    found = card_scan(spark.createDataFrame(rows, "n long, m decimal(20,0), d double"))
+    assert {r.column_name: r.violations for r in found.collect()} == {"n": 2, "m": 2, "d": 2}
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_card_scan_of_long_chains(spark):
+    """A chain's length takes no stack, and the work grows with it, not with the pairs of its groups."""
+    from cardrisk.operators.quality import card_scan
+    texts = ["4" * 40_000, "1 " * 20_000, "1-" * 20_000 + "4111.1111.1111.1111"]
+    assert card_scan(spark.createDataFrame([(t,) for t in texts], "t string")).first().violations == 1
+
+
 def test_shuffles_are_sized_by_their_inputs(spark, monkeypatch, tmp_path):
     from cardrisk import session
     key = "spark.sql.shuffle.partitions"
